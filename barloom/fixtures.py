@@ -273,3 +273,10 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("start_ts"),
         F.when(size < 95, start + F.expr("INTERVAL 5 MINUTES")).alias("end_ts"),
         F.when(size < 40, "FAILED").otherwise("SUCCESS").alias("result_state"))
+
+
+def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All bronze tables the models read."""
+    makers = (markets_raw, company_prices_raw, macro_raw, quotes_raw, tickers_raw,
+              tickers_universe, etf_holdings_raw)
+    return {make.__name__: make(spark, sf_dir) for make in makers}

@@ -8,25 +8,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import constants as C
+from barloom.session import written
 
 _CUTS = [i / 64 for i in range(1, 64)]
 
 
-def split_by_size(members: DataFrame, group: Sequence[str],
-                  limit: int = C.LARGE_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Split group members into those of ordinary and of large groups.
+def split_by_size(members: DataFrame, group: Sequence[str], limit: int = C.LARGE_GROUP_ROWS,
+                  ) -> tuple[DataFrame, DataFrame | None]:
+    """Split group members into those of ordinary and of large groups; None if none is large.
 
-    The split is made on the membership table, before any fact row is read, so each fact row is
-    ranked on one side only; an empty side is dropped at run time by adaptive execution.
+    The check reads the membership table only, never a fact row, and brings one boolean to the
+    driver. Each fact row is then ranked on one side.
     """
     keys = list(group)
-    if keys:
-        sizes = members.groupBy(*keys).agg(F.count("*").alias("_members"))
-        sized = members.join(sizes, keys)
-    else:
-        sized = members.withColumn("_members", members.agg(F.count("*")).scalar())
-    return (sized.filter(F.col("_members") <= limit).drop("_members"),
-            sized.filter(F.col("_members") > limit).drop("_members"))
+    sizes = members.groupBy(*keys).agg(F.count("*").alias("_members"))
+    large = sizes.filter(F.col("_members") > limit)
+    if large.isEmpty():
+        return members, None
+    if not keys:
+        return members.limit(0), members
+    large = large.select(*keys)
+    return members.join(large, keys, "left_anti"), members.join(large, keys, "left_semi")
 
 
 def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]) -> DataFrame:
@@ -49,9 +51,11 @@ def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, s
     Equal values are first folded into (value, copies). Approximate quantiles cut each group's
     values into ordered buckets; a running sum of copies inside a bucket plus the copies in all
     higher buckets gives the rank. The cuts only balance the work: any cut gives the same rank.
+    Input and buckets are each read several times, so both are written out first.
     """
     group = list(group)
     keys = [*group, "_rank"]
+    df = written(df, "rank-input")
     values = (
         df.select(*group, F.inline(F.array(*[
             F.struct(F.lit(name).alias("_rank"), F.col(value).alias("_value"))
@@ -60,9 +64,10 @@ def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, s
         .groupBy(*keys, "_value").agg(F.count("*").alias("_copies"))
     )
     cuts = values.groupBy(*keys).agg(F.percentile_approx("_value", _CUTS, 1000).alias("_cuts"))
-    bucketed = values.join(cuts, keys).select(
+    bucketed = written(values.join(cuts, keys).select(
         *keys, "_value", "_copies",
-        F.size(F.filter("_cuts", lambda c: c > F.col("_value"))).alias("_bucket"))
+        F.size(F.filter("_cuts", lambda c: c > F.col("_value"))).alias("_bucket")),
+        "rank-buckets")
     above = (
         bucketed.groupBy(*keys, "_bucket").agg(F.sum("_copies").alias("_in_bucket"))
         .withColumn("_above", F.coalesce(F.sum("_in_bucket").over(

@@ -11,6 +11,7 @@ from barloom import constants as C
 from barloom.functions.columns import change
 from barloom.operators.ranking import rank_across_tasks, rank_in_window, split_by_size
 from barloom.operators.timeseries import forward_return, price_health, trailing_returns
+from barloom.session import written
 
 mart_market_daily = price_health
 mart_company_daily = price_health
@@ -47,8 +48,10 @@ def mart_sector_relative_strength(stg_markets: DataFrame, dim_symbol: DataFrame,
         return returns.join(symbols, "symbol").join(base, "obs_date").select(
             "obs_date", "symbol", *_RETURNS, *[f"spy_{r}" for r in _RETURNS], *_excess("spy"))
 
-    return rank_in_window(relative(few), ["obs_date"], _RANKS).unionByName(
-        rank_across_tasks(relative(many), ["obs_date"], _RANKS))
+    ranked = rank_in_window(relative(few), ["obs_date"], _RANKS)
+    if many is not None:
+        ranked = ranked.unionByName(rank_across_tasks(relative(many), ["obs_date"], _RANKS))
+    return ranked
 
 
 def _parent_rows(hierarchy: DataFrame, returns: DataFrame) -> DataFrame:
@@ -91,11 +94,12 @@ def mart_drilldown_relative_strength(hierarchy: DataFrame, returns: DataFrame,
 
     small = _against_parents(few, returns, health).withColumn(
         "children_reporting", F.count("*").over(Window.partitionBy(*group)))
-    small = rank_in_window(small, group, _RANKS)
-    large = _against_parents(many, returns, health)
-    large = rank_across_tasks(
-        large.join(large.groupBy(*group).agg(F.count("*").alias("children_reporting")), group),
-        group, _RANKS)
+    ranked = rank_in_window(small, group, _RANKS)
+    if many is not None:
+        large = written(_against_parents(many, returns, health), "large-parents")
+        reporting = large.groupBy(*group).agg(F.count("*").alias("children_reporting"))
+        ranked = ranked.unionByName(
+            rank_across_tasks(large.join(reporting, group), group, _RANKS))
 
     # A priced child is one that shares at least one day with its parent, which needs only the
     # keys of the returns.
@@ -107,7 +111,7 @@ def mart_drilldown_relative_strength(hierarchy: DataFrame, returns: DataFrame,
         .select("parent_symbol", "child_symbol").distinct()
         .groupBy("parent_symbol").agg(F.count("*").alias("children_priced"))
     )
-    return small.unionByName(large).join(priced, "parent_symbol").select(
+    return ranked.join(priced, "parent_symbol").select(
         "parent_symbol", "child_symbol", "obs_date", "level", "weight", "has_children",
         *_RETURNS, *[f"parent_{r}" for r in _RETURNS], *[f"rel_{n}" for n in _NAMES],
         "above_sma_200", "drawdown", "children_reporting", "children_priced", *_RANKS)

@@ -25,17 +25,34 @@ LAYERS = {
 }
 
 
+# Tables read by windows over a symbol or joined by (symbol, day). Stored bucketed by symbol, none
+# of those needs an exchange.
+SERIES = ("stg_markets", "stg_company_prices", "int_symbol_returns", "mart_market_daily",
+          "mart_company_daily")
+
+
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], seed: DataFrame,
           watchlist: DataFrame, root: str, as_of_date, benchmark: str = C.BENCHMARK,
-          ) -> dict[str, DataFrame]:
-    """Build every model in dependency order. Each is written once and read back, so models that
-    share an input do not repeat its work."""
+          buckets: int | None = None, catalog_prefix: str = "barloom_") -> dict[str, DataFrame]:
+    """Build every model in dependency order.
+
+    Each is written once and read back, so models that share an input do not repeat its work.
+    With ``buckets`` the series tables are registered as catalog tables bucketed by symbol;
+    choose it so that one bucket fits a task.
+    """
     models: dict[str, DataFrame] = {}
 
     def store(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = layer_path(root, name, LAYERS)
-        make().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        models[name] = spark.read.parquet(path)
+        writer = make().write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if buckets and name in SERIES:
+            table = f"{catalog_prefix}{name}"
+            (writer.bucketBy(buckets, "symbol").sortBy("symbol", "obs_date")
+             .option("path", path).saveAsTable(table))
+            models[name] = spark.table(table)
+        else:
+            writer.parquet(path)
+            models[name] = spark.read.parquet(path)
         return models[name]
 
     indicators = store("dim_indicator", lambda: D.dim_indicator(seed, bronze["macro_raw"]))

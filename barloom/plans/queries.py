@@ -23,7 +23,7 @@ from barloom.quality import checks as Q
 from barloom.quality import run as R
 from barloom.quality import tests as V
 from barloom.seeds import indicator_seed
-from barloom.session import scratch_dir
+from barloom.session import scratch_dir, written
 from barloom.sinks import tables as K
 from barloom.sources import holdings as H
 from barloom.sources import payloads as L
@@ -85,17 +85,10 @@ def hierarchy(s, d):
     return D.dim_symbol_hierarchy(symbols(s, d), company_dim(s, d), holdings(s, d), X.BENCHMARK)
 
 
-def stored(s, name: str, df: DataFrame) -> DataFrame:
-    """A model as a table, the way the build stores it: later models read it, not its lineage."""
-    path = scratch_dir(s, name)
-    df.write.parquet(path)
-    return s.read.parquet(path)
-
-
 def stored_models(s, d) -> dict[str, DataFrame]:
     """Inputs of the hierarchy marts, each written once in dependency order."""
     m: dict[str, DataFrame] = {}
-    put = lambda name, df: m.update({name: stored(s, name, df)})
+    put = lambda name, df: m.update({name: written(df, name)})
     put("stg_markets", markets(s, d))
     put("stg_company_prices", companies(s, d))
     put("stg_etf_holdings", holdings(s, d))
@@ -518,7 +511,8 @@ _RS = [f"{p}_{n}" for n in C.HORIZONS for p in ("return", "rel")]
 
 @query
 def mart_sector_relative_strength(s, d):
-    return r6(G.mart_sector_relative_strength(markets(s, d), symbols(s, d), X.BENCHMARK),
+    return r6(G.mart_sector_relative_strength(
+        markets(s, d), written(symbols(s, d), "dim_symbol"), X.BENCHMARK),
               *_RS, *[f"spy_return_{n}" for n in C.HORIZONS])
 
 
@@ -1138,30 +1132,9 @@ def test_expression(s, d):
 
 @query
 def declared_tests(s, d):
-    """All declared tests of all models, failing rows counted."""
-    from barloom.plans.pipeline import declared_tests as run_declared
-
-    return run_declared(build_models(s, d))
+    """The whole build, then all declared tests of all models with their failing rows counted."""
+    from barloom.plans.pipeline import build, declared_tests as run_declared
 
-
-def build_models(s, d) -> dict[str, DataFrame]:
-    """Every model, unmaterialised."""
-    stg_m, stg_c, stg_h = markets(s, d), companies(s, d), holdings(s, d)
-    returns = I.int_symbol_returns(stg_m, stg_c)
-    daily = I.int_macro_daily(macro(s, d), X.AS_OF_DATE)
-    market_daily, company_daily = G.mart_market_daily(stg_m), G.mart_company_daily(stg_c)
-    return {
-        "dim_indicator": D.dim_indicator(indicator_seed(s), X.macro_raw(s, d)),
-        "stg_markets": stg_m, "stg_company_prices": stg_c, "stg_etf_holdings": stg_h,
-        "stg_macro": macro(s, d), "stg_trades": trades(s, d),
-        "int_symbol_returns": returns, "int_macro_daily": daily,
-        "dim_date": D.dim_date(stg_m, X.AS_OF_DATE), "dim_symbol": symbols(s, d),
-        "dim_company": company_dim(s, d), "dim_symbol_hierarchy": hierarchy(s, d),
-        "mart_market_daily": market_daily, "mart_company_daily": company_daily,
-        "mart_sector_relative_strength": G.mart_sector_relative_strength(
-            stg_m, symbols(s, d), X.BENCHMARK),
-        "mart_drilldown_relative_strength": G.mart_drilldown_relative_strength(
-            hierarchy(s, d), returns, market_daily, company_daily),
-        "mart_macro_market_signals": G.mart_macro_market_signals(market_daily, daily),
-        "mart_intraday_bars": intraday_bars(trades(s, d)),
-    }
+    return run_declared(build(
+        s, X.bronze(s, d), indicator_seed(s), D.watchlist_frame(s, X.WATCHLIST),
+        scratch_dir(s, "lake"), X.AS_OF_DATE, X.BENCHMARK))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     # Eastern-time columns are derived from UTC instants, so the zone is pinned.
@@ -14,8 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Series tables are hash-partitioned by symbol; let (symbol, day) joins reuse that.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # Joins on (parent, day) must hash both columns: by parent alone a big parent is one task.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Replace only the partitions present in the written frame.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -50,3 +50,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe against lost executors, and
+    later steps read it instead of repeating its lineage."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
