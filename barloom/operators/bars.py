@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import constants as C
@@ -13,46 +13,53 @@ from barloom.functions.columns import bar_start
 BAR_KEYS = ["symbol", "bar_minutes", "bar_start"]
 
 
-def _rollup(open_col, high, low, close_col, volume, turnover, trades, day, regular) -> list:
+def _fold(tick_first, tick_last, high, low, volume, turnover, trades) -> list:
     return [
-        F.min(day).alias("bar_date"),
-        F.min(open_col).alias("_first"),
+        F.min("bar_date").alias("bar_date"),
+        F.min(tick_first).alias("_first"),
         F.max(high).alias("high"),
         F.min(low).alias("low"),
-        F.max(close_col).alias("_last"),
+        F.max(tick_last).alias("_last"),
         F.sum(volume).alias("volume"),
         F.sum(turnover).alias("_turnover"),
         F.sum(trades).alias("trade_count"),
-        F.bool_and(regular).alias("is_regular_session"),
+        F.bool_and("is_regular_session").alias("is_regular_session"),
     ]
 
 
+def _start(ts: str, width: int) -> Column:
+    return bar_start(F.col(ts), F.lit(width)).alias("bar_start")
+
+
 def intraday_bars(trades: DataFrame, widths: Sequence[int] = C.BAR_MINUTES) -> DataFrame:
     """OHLCV and VWAP per (symbol, width, start).
 
-    Trades are folded once, into one-minute partial bars, and only those are widened, so the raw
-    trades are neither multiplied by the number of widths nor grouped by symbol alone. First and
-    last price are ordered by (time, price), which also settles equal times.
+    Trades are folded once, into the narrowest bars; wider bars are folded from those, so raw
+    trades are read, sorted and shuffled once however many widths there are. First and last
+    price are ordered by (time, price), which also settles equal times.
     """
+    narrow, *wider = sorted(widths)
+    if any(w % narrow for w in wider):
+        raise ValueError(f"bar widths {widths} must be multiples of the narrowest")
     tick = F.struct("trade_ts", "price")
-    minutes = (
-        trades.groupBy("symbol", bar_start(F.col("trade_ts"), F.lit(1)).alias("minute"))
-        .agg(*_rollup(tick, "price", "price", tick, "volume", F.col("price") * F.col("volume"),
-                      F.lit(1), "trade_date", "is_regular_session"))
+    base = (
+        trades.withColumnRenamed("trade_date", "bar_date")
+        .groupBy("symbol", _start("trade_ts", narrow))
+        .agg(*_fold(tick, tick, "price", "price", "volume", F.col("price") * F.col("volume"),
+                    F.lit(1)))
     )
-    return (
-        minutes.withColumn("bar_minutes", F.explode(F.array(*[F.lit(w) for w in widths])))
-        .groupBy("symbol", "bar_minutes",
-                 bar_start(F.col("minute"), F.col("bar_minutes")).alias("bar_start"))
-        .agg(*_rollup("_first", "high", "low", "_last", "volume", "_turnover", "trade_count",
-                      "bar_date", "is_regular_session"))
-        .select(
-            *BAR_KEYS, "bar_date",
-            F.col("_first.price").alias("open"), "high", "low",
-            F.col("_last.price").alias("close"), "volume",
-            F.try_divide("_turnover", "volume").alias("vwap"),
-            "trade_count", "is_regular_session",
-        )
+    out = base.withColumn("bar_minutes", F.lit(narrow))
+    for width in wider:
+        out = out.unionByName(
+            base.groupBy("symbol", _start("bar_start", width))
+            .agg(*_fold("_first", "_last", "high", "low", "volume", "_turnover", "trade_count"))
+            .withColumn("bar_minutes", F.lit(width)))
+    return out.select(
+        *BAR_KEYS, "bar_date",
+        F.col("_first.price").alias("open"), "high", "low",
+        F.col("_last.price").alias("close"), "volume",
+        F.try_divide("_turnover", "volume").alias("vwap"),
+        "trade_count", "is_regular_session",
     )
 
 

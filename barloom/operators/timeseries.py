@@ -35,28 +35,57 @@ def forward_return(prices: DataFrame, rows: int, name: str, price: str = "adj_cl
     return prices.withColumn(name, change(F.lead(price, rows).over(by_day()), F.col(price)))
 
 
+# Rolling sums are stacked: ten rows, five of those, four of those again. A row then costs 17
+# additions instead of 250, nothing is ever subtracted, so no error builds up along the series,
+# and a flat price gives exactly equal averages.
+_BASE = 10
+
+
+def _stack(column: str, width: int, copies: int) -> Column:
+    """Sum of ``copies`` adjacent frames of ``width`` rows each, added pairwise."""
+    parts = [F.lag(column, k * width).over(by_day()) if k else F.col(column)
+             for k in range(copies)]
+    while len(parts) > 1:
+        pairs = [parts[i] + parts[i + 1] for i in range(0, len(parts) - 1, 2)]
+        parts = pairs + parts[len(parts) - len(parts) % 2:]
+    return parts[0]
+
+
 def price_health(prices: DataFrame) -> DataFrame:
     """Trend, crosses, volatility and drawdown per (symbol, day).
 
     All frames share one partitioning and order, so the whole function needs one exchange and
-    one sort; the lags of the averages reuse both.
+    one sort; the lags of the sums and of the averages reuse both.
     """
-    day_n = F.row_number().over(by_day())
-    gated = {
-        "sma_50": F.when(day_n >= C.SHORT_SMA, F.avg("adj_close").over(_frame(C.SHORT_SMA))),
-        "sma_200": F.when(day_n >= C.LONG_SMA, F.avg("adj_close").over(_frame(C.LONG_SMA))),
-        # The first day has no return, so VOL_DAYS returns need one more row.
-        "vol_20d_ann": F.when(
-            day_n > C.VOL_DAYS,
-            F.stddev_samp("daily_return").over(_frame(C.VOL_DAYS))
-            * F.sqrt(F.lit(float(C.TRADING_DAYS_PER_YEAR))),
-        ),
-        "running_peak": F.max("adj_close").over(
-            by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    so_far = by_day().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    long_copies = C.LONG_SMA // C.SHORT_SMA
+    day_n = F.col("_day_n")
+
+    def average(total: str, rows: int) -> Column:
+        """Mean of the non-null values in the last ``rows`` rows, once there are that many."""
+        seen = F.col("_seen") - F.coalesce(F.lag("_seen", rows).over(by_day()), F.lit(0))
+        return F.when(day_n >= rows, F.try_divide(F.col(total), seen))
+
+    windows = {
+        "_day_n": F.row_number().over(by_day()),
+        "_seen": F.count("adj_close").over(so_far),
+        "_base": F.coalesce(F.sum("adj_close").over(_frame(_BASE)), F.lit(0.0)),
+        "_vol": F.stddev_samp("daily_return").over(_frame(C.VOL_DAYS)),
+        "running_peak": F.max("adj_close").over(so_far),
     }
     return (
         prices.select("symbol", "obs_date", "close", "adj_close", "volume", "daily_return")
-        .withColumns(gated)
+        .withColumns(windows)
+        .withColumn("_short", _stack("_base", _BASE, C.SHORT_SMA // _BASE))
+        .withColumn("_long", _stack("_short", C.SHORT_SMA, long_copies))
+        .withColumns({
+            "sma_50": average("_short", C.SHORT_SMA),
+            "sma_200": average("_long", C.LONG_SMA),
+            # The first day has no return, so VOL_DAYS returns need one more row.
+            "vol_20d_ann": F.when(
+                day_n > C.VOL_DAYS,
+                F.col("_vol") * F.sqrt(F.lit(float(C.TRADING_DAYS_PER_YEAR)))),
+        })
         .withColumns({
             "_was_50": F.lag("sma_50").over(by_day()),
             "_was_200": F.lag("sma_200").over(by_day()),

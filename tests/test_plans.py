@@ -56,9 +56,11 @@ def test_dedupe_cuts_copies_before_the_exchange(spark, stored):
     assert text.rindex("WindowGroupLimit") > text.rindex("Exchange hashpartitioning(symbol, obs_date")
 
 
-def test_bars_fold_before_widening(spark, stored):
-    text = plan(intraday_bars(P.stg_trades(stored["quotes_raw"])))
-    assert text.index("explode") < text.rindex("partial_sum")      # widened above the first fold
+def test_bars_read_and_shuffle_trades_once(spark, stored):
+    bars = intraday_bars(P.stg_trades(stored["quotes_raw"]))
+    bars.collect()
+    text = plan(bars).split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
 
 
 def test_filters_and_columns_reach_the_scan(spark, stored):
