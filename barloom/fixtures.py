@@ -6,7 +6,7 @@ whole cents. Nothing depends on today's date.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom import schemas as S
@@ -193,8 +193,6 @@ def etf_holdings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(F.when(F.col("p_size") <= 25, F.array(first, second)).otherwise(F.array(second)))
         .alias("as_of_date"),
         F.col("p_type").alias("etf_symbol"), "p_brand", cents(F.col("p_retailprice")).alias("c"))
-    from pyspark.sql import Window
-
     sheet = Window.partitionBy("etf_symbol", "as_of_date")
     # At most one row per brand and sheet after this aggregate.
     stocks = held.groupBy("etf_symbol", "as_of_date", "p_brand").agg(

@@ -6,12 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom import constants as C
 from barloom import fixtures as X
-from barloom.functions.columns import bar_start, is_regular_session, mask_secrets, to_symbol
-from barloom.functions.columns import clean_text
+from barloom.functions import columns as FN
+from barloom.functions.columns import bar_start, is_regular_session, to_symbol
 from barloom.operators import merge as M
 from barloom.operators.bars import BAR_KEYS, intraday_bars
 from barloom.operators.dedupe import first_per_key, latest_bar
@@ -859,8 +858,8 @@ SECRETS = (*C.SECRET_PATTERNS, (r'token = "[0-9a-f]+"', 'token = "***"'))
 
 
 @query
-def mask_secrets_text(s, d):
-    return mask_secrets(X.table(s, d, "documents").select(
+def mask_secrets(s, d):
+    return FN.mask_secrets(X.table(s, d, "documents").select(
         "doc_id", F.concat("text", F.lit(" key sk-ant-ab_c-"), "doc_id").alias("text")), "text", SECRETS)
 
 

@@ -21,11 +21,26 @@ SESSION_CONF = {
 }
 
 
-def build_session(app: str = "barloom", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_PARTITION_MB = 128
+
+
+def build_session(app: str = "barloom", master: str | None = None,
+                  largest_shuffle_gb: float | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the jobs rely on.
+
+    ``largest_shuffle_gb`` is the biggest exchange the job will run; it sets the number of
+    shuffle partitions so that one holds about 128 MB. Adaptive execution then merges what
+    turns out small and splits what turns out skewed.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    sized = {} if largest_shuffle_gb is None else {
+        "spark.sql.shuffle.partitions": str(
+            max(1, round(largest_shuffle_gb * 1024 / SHUFFLE_PARTITION_MB))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{SHUFFLE_PARTITION_MB}m",
+    }
+    for key, value in {**SESSION_CONF, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barloom import constants as C
 from barloom import schemas as S
-from barloom.functions.columns import clean_text, leading_date
+from barloom.functions.columns import leading_date
 
 
 def _stamp(loaded_at) -> Column:
@@ -101,9 +101,3 @@ def parse_news(landed: DataFrame, loaded_at=None) -> DataFrame:
 def read_seed(spark: SparkSession, path: str, schema=S.SEED_INDICATOR) -> DataFrame:
     """Reference CSV with quoted fields; doubled quotes stand for one quote."""
     return spark.read.schema(schema).csv(path, header=True, quote='"', escape='"')
-
-
-def symbol_of(df: DataFrame, column: str = "ticker") -> DataFrame:
-    from barloom.functions.columns import to_symbol
-
-    return df.withColumn("symbol", to_symbol(clean_text(F.col(column))))

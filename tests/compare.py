@@ -23,7 +23,7 @@ def connect(sf_dir: str):
 
 def _plain(value):
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else (0.0 if value == 0 else value)
+        return "NaN" if math.isnan(value) else value
     if isinstance(value, (datetime, date)):
         return value.isoformat()
     return value
@@ -47,7 +47,7 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> str | None:
     if len(got) != len(want):
         return f"rows {len(got)} != {len(want)}"
     bad = [(g, w) for g, w in zip(got, want, strict=True)
-           if g != w or [type(x) for x in g] != [type(x) for x in w]]
+           if repr(g) != repr(w) or [type(x) for x in g] != [type(x) for x in w]]
     return f"{len(bad)} of {len(got)} rows, e.g.\n   {bad[0][0]}\n   {bad[0][1]}" if bad else None
 
 

@@ -73,7 +73,7 @@ def test_filters_and_columns_reach_the_scan(spark, stored):
 
 def test_no_python_in_any_model(spark, stored):
     for name in ("mart_market_daily", "mart_macro_market_signals", "mart_intraday_bars", "stg_etf_holdings",
-                 "mask_secrets_text", "src_holdings", "chk_price_jump"):
+                 "mask_secrets", "src_holdings", "chk_price_jump"):
         text = plan(Q.QUERIES[name](spark, SF_DIR))
         assert "Python" not in text and "CartesianProduct" not in text, name
 
