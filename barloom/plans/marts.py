@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import constants as C
-from barloom.functions.columns import change
 from barloom.operators.ranking import rank_across_tasks, rank_in_window, split_by_size
 from barloom.operators.timeseries import forward_return, price_health, trailing_returns
 from barloom.session import written

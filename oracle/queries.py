@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from oracle.ctes import sql
+from oracle.ctes import CTES, sql
 
 ORACLE: dict[str, str] = {}
+BODIES: dict[str, str] = {}
 
 
 def put(name: str, body: str) -> None:
+    BODIES[name] = body
     ORACLE[name] = sql(body)
 
 
@@ -448,3 +450,88 @@ put("test_relationships", "SELECT series_id, obs_date, value FROM stg_macro WHER
 put("test_accepted_range", """SELECT etf_symbol, as_of_date, position, weight FROM stg_etf_holdings WHERE weight NOT BETWEEN 0 AND 1
 UNION ALL SELECT etf_symbol, as_of_date, position, weight FROM stg_etf_holdings WHERE is_equity AND weight <= 0.04""")
 put("test_expression", f"SELECT * FROM ({BARS.format(src='stg_trades')}) WHERE close < open")
+
+
+# Declared tests: (model, test, failing rows). Row rules are predicates, key rules count groups.
+BAD_BAR = [("not_null:symbol", "symbol IS NULL"), ("not_null:obs_date", "obs_date IS NULL"),
+           ("not_null:adj_close", "adj_close IS NULL"), ("accepted_range:adj_close", "adj_close <= 0")]
+BAD_HEALTH = [("not_null:symbol", "symbol IS NULL"), ("not_null:obs_date", "obs_date IS NULL"),
+              ("accepted_values:cross_signal", "cross_signal NOT IN ('golden_cross', 'death_cross')"),
+              ("accepted_range:vol_20d_ann", "vol_20d_ann < 0"), ("accepted_range:drawdown", "drawdown < -1 OR drawdown > 0")]
+ROW_RULES = {
+    "dim_indicator": ("indicators", [
+        ("not_null:series_id", "series_id IS NULL"),
+        ("accepted_values:category", "category NOT IN ('inflation', 'labor', 'rates', 'growth', 'sentiment')"),
+        ("accepted_values:frequency", "frequency NOT IN ('daily', 'monthly', 'quarterly')")]),
+    "stg_markets": ("stg_markets", [*BAD_BAR, ("relationships:symbol", "symbol NOT IN (SELECT symbol FROM dim_symbol)")]),
+    "stg_company_prices": ("stg_company_prices", [
+        *BAD_BAR, ("relationships:symbol", "symbol NOT IN (SELECT symbol FROM dim_company)")]),
+    "stg_etf_holdings": ("stg_etf_holdings", [
+        *[(f"not_null:{c}", f"{c} IS NULL") for c in ("etf_symbol", "as_of_date", "position")],
+        ("not_null:symbol", "is_equity AND symbol IS NULL"),
+        ("accepted_values:etf_symbol", "etf_symbol NOT IN ('XLK', 'XLF', 'XLE', 'XLU')"),
+        ("accepted_range:weight", "is_equity AND weight NOT BETWEEN 0 AND 1")]),
+    "stg_macro": ("stg_macro", [
+        *[(f"not_null:{c}", f"{c} IS NULL") for c in ("series_id", "obs_date", "value")],
+        ("relationships:series_id", "series_id NOT IN (SELECT series_id FROM indicators)")]),
+    "stg_trades": ("stg_trades", [
+        *[(f"not_null:{c}", f"{c} IS NULL") for c in ("trade_key", "symbol", "price", "trade_ts")],
+        ("accepted_range:price", "price <= 0")]),
+    "int_symbol_returns": ("int_symbol_returns", BAD_BAR[:2]),
+    "int_macro_daily": ("int_macro_daily", [
+        *[(f"not_null:{c}", f"{c} IS NULL") for c in ("date_day", "series_id", "value")],
+        ("accepted_range:days_since_obs", "days_since_obs < 0")]),
+    "dim_symbol": ("dim_symbol", [
+        ("not_null:symbol", "symbol IS NULL"), ("not_null:role", "role IS NULL"),
+        ("accepted_values:role", "role NOT IN ('broad_market', 'sector', 'size', 'bond')")]),
+    "dim_company": ("dim_company", [("not_null:symbol", "symbol IS NULL"), ("not_null:sector_etf", "sector_etf IS NULL")]),
+    "dim_symbol_hierarchy": ("dim_symbol_hierarchy", [
+        ("not_null:parent_symbol", "parent_symbol IS NULL"), ("not_null:child_symbol", "child_symbol IS NULL"),
+        ("accepted_values:level", "level NOT IN (1, 2)")]),
+    "mart_market_daily": ("mart_market_daily", BAD_HEALTH),
+    "mart_company_daily": ("mart_company_daily", BAD_HEALTH),
+    "mart_intraday_bars": (f"({BARS.format(src='stg_trades')})", [
+        ("not_null:symbol", "symbol IS NULL"), ("not_null:bar_start", "bar_start IS NULL"),
+        ("accepted_values:bar_minutes", "bar_minutes NOT IN (1, 5)"),
+        ("expression:low <= open and low <= close and high >= open and high >= close",
+         "least(open, close) < low OR greatest(open, close) > high")]),
+}
+for name in ("dim_date", "mart_sector_relative_strength", "mart_drilldown_relative_strength",
+             "mart_macro_market_signals"):
+    CTES[f"made_{name}"] = BODIES[name]
+BAD_KEY = [("not_null:symbol", "symbol IS NULL"), ("not_null:obs_date", "obs_date IS NULL")]
+ROW_RULES |= {
+    "dim_date": ("made_dim_date", [("not_null:date_day", "date_day IS NULL")]),
+    "mart_macro_market_signals": ("made_mart_macro_market_signals", [
+        *BAD_KEY, ("accepted_values:fed_regime", "fed_regime NOT IN ('hiking', 'cutting', 'holding')"),
+        ("accepted_values:inflation_trend", "inflation_trend NOT IN ('rising', 'falling', 'stable')")]),
+    "mart_sector_relative_strength": ("made_mart_sector_relative_strength", [
+        *BAD_KEY, ("accepted_range:rank_1m", "rank_1m NOT BETWEEN 1 AND 6")]),
+    "mart_drilldown_relative_strength": ("made_mart_drilldown_relative_strength", [
+        *[(f"not_null:{c}", f"{c} IS NULL") for c in ("parent_symbol", "child_symbol", "obs_date")],
+        ("accepted_range:rank_1m", "rank_1m < 1")]),
+}
+KEY_RULES = {
+    "dim_date": ("made_dim_date", "unique", "date_day"),
+    **{m: (f"made_{m}", "unique_combination", "symbol,obs_date")
+       for m in ("mart_macro_market_signals", "mart_sector_relative_strength")},
+    "mart_drilldown_relative_strength": (
+        "made_mart_drilldown_relative_strength", "unique_combination", "parent_symbol,child_symbol,obs_date"),
+    "dim_indicator": ("indicators", "unique", "series_id"), "stg_trades": ("stg_trades", "unique", "trade_key"),
+    "dim_symbol": ("dim_symbol", "unique", "symbol"), "dim_company": ("dim_company", "unique", "symbol"),
+    "stg_markets": ("stg_markets", "unique_combination", "symbol,obs_date"),
+    "stg_company_prices": ("stg_company_prices", "unique_combination", "symbol,obs_date"),
+    "stg_etf_holdings": ("stg_etf_holdings", "unique_combination", "etf_symbol,as_of_date,position"),
+    "stg_macro": ("stg_macro", "unique_combination", "series_id,obs_date"),
+    "int_symbol_returns": ("int_symbol_returns", "unique_combination", "symbol,obs_date"),
+    "int_macro_daily": ("int_macro_daily", "unique_combination", "date_day,series_id"),
+    "dim_symbol_hierarchy": ("dim_symbol_hierarchy", "unique_combination", "parent_symbol,child_symbol"),
+    "mart_market_daily": ("mart_market_daily", "unique_combination", "symbol,obs_date"),
+    "mart_company_daily": ("mart_company_daily", "unique_combination", "symbol,obs_date"),
+    "mart_intraday_bars": (f"({BARS.format(src='stg_trades')})", "unique_combination", "symbol,bar_minutes,bar_start"),
+}
+put("declared_tests", "\nUNION ALL\n".join(
+    [f"SELECT '{m}' AS model, '{t}' AS test, count(*) AS failures FROM {src} WHERE {bad}"
+     for m, (src, rules) in ROW_RULES.items() for t, bad in rules]
+    + [f"SELECT '{m}', '{kind}:{keys}', count(*) FROM (SELECT 1 FROM {src} GROUP BY {keys} HAVING count(*) > 1)"
+       for m, (src, kind, keys) in KEY_RULES.items()]))

@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from barloom import schemas as S
 from barloom.operators.bars import BAR_KEYS, intraday_bars
