@@ -138,19 +138,6 @@ def quotes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.unionByName(again)
 
 
-def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vendor envelopes: one per symbol and minute, with a keep-alive next to each."""
-    trades = quotes_raw(spark, sf_dir).groupBy(
-        "symbol", F.date_trunc("minute", "trade_ts").alias("minute")).agg(
-        F.collect_list(F.struct(
-            F.col("symbol").alias("s"), F.col("price").alias("p"), F.col("volume").alias("v"),
-            F.col("trade_time").alias("t"),
-            F.when(F.size("conditions") > 0, F.col("conditions")).alias("c"))).alias("data"))
-    return trades.select(F.explode(F.array(
-        F.to_json(F.struct(F.lit("trade").alias("type"), "data")),
-        F.lit('{"type":"ping"}'))).alias("message"))
-
-
 # --- symbols -----------------------------------------------------------------------------
 
 def tickers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

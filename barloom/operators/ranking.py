@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barloom import constants as C
 from barloom.session import written
 
-_CUTS = [i / 64 for i in range(1, 64)]
+_BUCKETS = 512
 
 
 def split_by_size(members: DataFrame, group: Sequence[str], limit: int = C.LARGE_GROUP_ROWS,
@@ -45,7 +45,8 @@ def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]
     })
 
 
-def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]) -> DataFrame:
+def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str],
+                      buckets: int = _BUCKETS) -> DataFrame:
     """The same ranks, exact, without ever holding a group in one task.
 
     Equal values are first folded into (value, copies). Approximate quantiles cut each group's
@@ -63,7 +64,9 @@ def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, s
         .filter(F.col("_value").isNotNull())
         .groupBy(*keys, "_value").agg(F.count("*").alias("_copies"))
     )
-    cuts = values.groupBy(*keys).agg(F.percentile_approx("_value", _CUTS, 1000).alias("_cuts"))
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = values.groupBy(*keys).agg(
+        F.percentile_approx("_value", shares, 10 * buckets).alias("_cuts"))
     bucketed = written(values.join(cuts, keys).select(
         *keys, "_value", "_copies",
         F.size(F.filter("_cuts", lambda c: c > F.col("_value"))).alias("_bucket")),

@@ -52,6 +52,14 @@ def with_docs(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     ])
 
 
+def publish(df: DataFrame, table: str, path: str, comments: Mapping[str, str],
+            table_comment: str) -> None:
+    """Store ``df`` at ``path`` as a catalog table with table and column comments."""
+    with_docs(df, comments).write.mode("overwrite").option("path", path).saveAsTable(table)
+    text = table_comment.replace("\\", "\\\\").replace("'", "\\'")
+    df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{text}'")
+
+
 def write_version(df: DataFrame, root: str, version: str) -> None:
     """Full overwrite with whatever schema ``df`` has; readers switch when it is complete."""
     df.write.mode("overwrite").parquet(f"{root}/data/{version}")

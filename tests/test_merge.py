@@ -128,6 +128,12 @@ def test_docs_survive_the_write(spark, root):
     assert spark.read.parquet(f"{root}/d").schema["id"].metadata["comment"] == "Row number"
 
 
+def test_publish_comments_table_and_columns(spark, root):
+    K.publish(spark.range(2), "t_published", f"{root}/p", {"id": "Row number"}, "What it's for")
+    said = {r.col_name: (r.data_type, r.comment) for r in spark.sql("DESCRIBE EXTENDED t_published").collect()}
+    assert said["id"][1] == "Row number" and said["Comment"][0] == "What it's for"
+
+
 def test_layer_path():
     assert K.layer_path("/lake/", "dim_date", {"dim_date": "gold"}) == "/lake/gold/dim_date"
     assert K.layer_path("/lake", "stg_x", {}) == "/lake/silver/stg_x"
