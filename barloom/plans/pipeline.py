@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barloom import constants as C
 from barloom.operators.bars import intraday_bars
+from barloom.operators.merge import newer_than
 from barloom.plans import dims as D
 from barloom.plans import intermediate as I
 from barloom.plans import marts as G
 from barloom.plans import staging as P
 from barloom.quality.tests import Expectations, run_expectations
-from barloom.sinks.tables import layer_path
+from barloom.sinks.tables import layer_path, read_or_none
+from barloom.streaming.trades import merge_trades, rebuild_bars
 
 LAYERS = {
     **{m: "silver" for m in ("stg_markets", "stg_company_prices", "stg_etf_holdings", "stg_macro",
@@ -30,6 +32,10 @@ LAYERS = {
 SERIES = ("stg_markets", "stg_company_prices", "int_symbol_returns", "mart_market_daily",
           "mart_company_daily")
 
+# Tables refreshed by day rather than rebuilt: stored partitioned, so a refresh rewrites only the
+# days it touches.
+BY_DATE = {"stg_trades": "trade_date", "mart_intraday_bars": "bar_date"}
+
 
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], seed: DataFrame,
           watchlist: DataFrame, root: str, as_of_date, benchmark: str = C.BENCHMARK,
@@ -44,7 +50,10 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], seed: DataFrame,
 
     def store(name: str, make: Callable[[], DataFrame]) -> DataFrame:
         path = layer_path(root, name, LAYERS)
-        writer = make().write.mode("overwrite").option("partitionOverwriteMode", "static")
+        df = make().hint("rebalance", BY_DATE[name]) if name in BY_DATE else make()
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if name in BY_DATE:
+            writer = writer.partitionBy(BY_DATE[name])
         if buckets and name in SERIES:
             table = f"{catalog_prefix}{name}"
             (writer.bucketBy(buckets, "symbol").sortBy("symbol", "obs_date")
@@ -81,6 +90,22 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], seed: DataFrame,
     return models
 
 
+def refresh_trades(spark: SparkSession, quotes: DataFrame, root: str, run_id: str) -> None:
+    """Bring trades and bars up to date with what was loaded since the last run.
+
+    The first run is a full build. Later runs take quotes loaded strictly after the newest
+    stored load, merge them by key, and rebuild bars from the newest bar date onward. Repeating
+    a run under the same id only repeats its last step.
+    """
+    trades_path = layer_path(root, "stg_trades", LAYERS)
+    stored = read_or_none(spark, trades_path)
+    if stored is not None:
+        quotes = newer_than(quotes, "_ingested_at", stored, "_ingested_at", "1900-01-01")
+    merge_trades(quotes, trades_path, f"{root}/staging/stg_trades/{run_id}")
+    rebuild_bars(spark, spark.read.parquet(trades_path),
+                 layer_path(root, "mart_intraday_bars", LAYERS))
+
+
 _BAR_TESTS = dict(
     unique_combination=[["symbol", "obs_date"]],
     not_null=["symbol", "obs_date", "adj_close"],

@@ -2,9 +2,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom import schemas as S
 from barloom.operators.bars import BAR_KEYS, intraday_bars
+from barloom.plans.pipeline import refresh_trades
 from barloom.plans.staging import stg_trades
 from barloom.sinks.tables import read_or_none
 from barloom.sources.trades import read_trade_files, stream_trade_files
@@ -131,6 +133,20 @@ def test_late_trades_miss_the_rebuild_until_repaired(spark, root):
         tuple(r) for r in intraday_bars(silver).select(*BAR_COLS).collect())
 
 
+def test_refreshes_add_up_to_a_full_build(spark, root):
+    loads = [dt.datetime(2024, 1, 11 + n) for n in range(3)]
+    day = [[q(minute(i * 3 + 1440 * n), 10.0 + i, float(i + 1), load=loads[n]) for i in range(4)] for n in range(3)]
+    day[2].append((*day[1][0][:5], loads[2]))          # delivered again in a later load
+    everything = quotes(spark, *day[0], *day[1], *day[2])
+    for n, load in enumerate(loads):
+        for _ in range(2):
+            refresh_trades(spark, everything.filter(F.col("_ingested_at") <= load), root, f"run-{n}")
+    assert state(spark, f"{root}/silver/stg_trades", *TRADE_COLS) == sorted(
+        tuple(r) for r in stg_trades(everything).select(*TRADE_COLS).collect())
+    assert state(spark, f"{root}/gold/mart_intraday_bars", *BAR_COLS) == sorted(
+        tuple(r) for r in intraday_bars(stg_trades(everything)).select(*BAR_COLS).collect())
+
+
 def test_append_reads_each_file_once(spark, tmp_path):
     landing, out = tmp_path / "landing", str(tmp_path / "quotes")
     landing.mkdir()
