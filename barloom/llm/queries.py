@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
+from barloom.llm.simhash import near_duplicates
 from barloom.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +49,8 @@ def op8_quality_rules(s, d):
 @query
 def op9_secret_scans(s, d):
     return scan_secrets(documents(s, d).select("doc_id", "text"), keep=["doc_id"])
+
+
+@query
+def op10_simhash(s, d):
+    return near_duplicates(documents(s, d), words=3)
