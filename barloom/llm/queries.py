@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm.decontaminate import contamination
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
@@ -54,3 +55,11 @@ def op9_secret_scans(s, d):
 @query
 def op10_simhash(s, d):
     return near_duplicates(documents(s, d), words=3)
+
+
+@query
+def op7_decontamination(s, d):
+    found = contamination(documents(s, d), s.read.parquet(f"{d}/benchmark.parquet"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
