@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import contamination
+from barloom.llm.interpolation import lm_scores
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
@@ -63,3 +64,8 @@ def op7_decontamination(s, d):
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op4_lm_scoring(s, d):
+    return lm_scores(documents(s, d))
