@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import contamination
 from barloom.llm.interpolation import lm_scores
+from barloom.llm.line_dedup import repeated_lines
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
@@ -69,3 +70,15 @@ def op7_decontamination(s, d):
 @query
 def op4_lm_scoring(s, d):
     return lm_scores(documents(s, d))
+
+
+@query
+def op3_line_dedup(s, d):
+    docs = documents(s, d)
+    gone = repeated_lines(docs).groupBy(F.col("id").alias("doc_id")).agg(
+        F.count("*").alias("n_removed"),
+        F.array_join(F.array_sort(F.collect_list("line")), ",").alias("removed_lines"))
+    n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")
+    return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
+        "doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("removed_lines", F.lit("")).alias("removed_lines"))
