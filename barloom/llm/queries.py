@@ -16,6 +16,7 @@ from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
 from barloom.llm.simhash import near_duplicates
 from barloom.llm.token_counts import token_counts
+from barloom.llm.toxicity import learn_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +83,10 @@ def op3_line_dedup(s, d):
     return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
         "doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("removed_lines", F.lit("")).alias("removed_lines"))
+
+
+@query
+def op2_toxicity(s, d):
+    docs = documents(s, d).select("doc_id", "text")
+    chain = learn_toxicity(docs, s.read.parquet(f"{d}/labels.parquet"))
+    return score_toxicity(docs, chain, keep=["doc_id"])
