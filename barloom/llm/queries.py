@@ -17,6 +17,7 @@ from barloom.llm.sentencepiece_codec import encode_decode
 from barloom.llm.simhash import near_duplicates
 from barloom.llm.token_counts import token_counts
 from barloom.llm.toxicity import learn_toxicity, score_toxicity
+from barloom.llm.warc import derivatives, responses
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -90,3 +91,10 @@ def op2_toxicity(s, d):
     docs = documents(s, d).select("doc_id", "text")
     chain = learn_toxicity(docs, s.read.parquet(f"{d}/labels.parquet"))
     return score_toxicity(docs, chain, keep=["doc_id"])
+
+
+@query
+def op5_warc(s, d):
+    pages = s.read.parquet(f"{d}/pages.parquet")
+    found = derivatives(responses(pages), "page_id")
+    return found.withColumn("block", F.decode("block", "UTF-8"))
