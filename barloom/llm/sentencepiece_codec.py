@@ -14,6 +14,7 @@ from array import array
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 from pyspark.sql import DataFrame
 
 from barloom.llm.columns import add_columns
@@ -186,9 +187,9 @@ def codec(model_file: str) -> tuple[Encoder, Decoder]:
 
 
 def encode_decode(docs: DataFrame, model_file: str, text: str = "text", keep: list[str] | None = None,
-                  with_text: bool = False) -> DataFrame:
-    """Each row of ``docs`` with n_tokens, ids_sha256, decoded_sha256 and, if ``with_text``, the
-    ids (array<int>) and the decoded text.
+                  with_ids: bool = False, with_decoded: bool = False) -> DataFrame:
+    """Each row of ``docs`` with n_tokens, ids_sha256, decoded_sha256 and, as wanted, the ids
+    (array<int>) and the decoded text.
 
     The ids are those of the sentencepiece library with begin and end ids. A null text counts as
     empty and has the two end ids. Rows are independent: repeated rows repeat their results, an
@@ -196,8 +197,7 @@ def encode_decode(docs: DataFrame, model_file: str, text: str = "text", keep: li
     length is encoded whole. ``model_file`` must be readable on the executors.
     """
     columns = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    if with_text:
-        columns += ", ids array<int>, decoded string"
+    columns += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def make():
         encoder, decoder = codec(model_file)
@@ -208,7 +208,9 @@ def encode_decode(docs: DataFrame, model_file: str, text: str = "text", keep: li
                 decoded = decoder.decode(ids)
                 row = (len(ids) // 4, hashlib.sha256(ids).hexdigest(),
                        hashlib.sha256(decoded.encode()).hexdigest())
-                yield row + (array("I", ids).tolist(), decoded) if with_text else row
+                if with_ids:
+                    row += (np.frombuffer(ids, "<i4"),)
+                yield row + (decoded,) if with_decoded else row
         return compute
 
     return add_columns(docs, text, columns, make, keep)
