@@ -28,7 +28,7 @@ from barloom.llm.columns import with_package
 from barloom.llm.storage import stored
 
 #: Text bytes in a block, and n-grams (of all blocks together) in a hash range, about.
-BLOCK_BYTES, RANGE_GRAMS = 16_000_000, 3_000_000
+BLOCK_BYTES, RANGE_GRAMS = 12_000_000, 2_000_000
 #: Context-frequency bucket k holds contexts seen 2**k - 1 to 2**(k+1) - 2 times.
 BUCKETS = 48
 #: Width of a step of the logarithmic scale on which estimates are gathered for learning weights.
@@ -40,9 +40,10 @@ WORD, PAIR = 0, 1
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BEGIN, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
-_TEXTS_AT_ONCE = 256
+_CHARS_AT_ONCE = 1_000_000
 
 Counts = tuple[np.ndarray, np.ndarray]
+Tokens = tuple[np.ndarray, np.ndarray]
 
 
 def part_of(id_column: str) -> Column:
@@ -51,23 +52,31 @@ def part_of(id_column: str) -> Column:
     return F.when(rest == 2, HELD_OUT).when(rest == 6, DELETED).otherwise(COUNTED)
 
 
-def _tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens, each text closed by the end token, and the texts' token counts."""
-    hashes, sizes = [], []
-    for start in range(0, len(texts), _TEXTS_AT_ONCE):
-        words: list[bytes] = []
-        ends = []
-        for text in texts[start:start + _TEXTS_AT_ONCE]:
-            words += (text or "").encode().translate(_LOWER).split()
-            words.append(b"")
-            ends.append(len(words))
-        coded = pa.array(words, pa.binary()).dictionary_encode()
-        digest = xxhash.xxh64_intdigest
-        known = np.fromiter((digest(w) if w else int(_END) for w in coded.dictionary.to_pylist()),
-                            dtype=np.uint64, count=len(coded.dictionary))
-        hashes.append(known[coded.indices.to_numpy()])
-        sizes.append(np.diff(ends, prepend=0))
-    return np.concatenate(hashes), np.concatenate(sizes)
+def _tokens(texts: pa.ChunkedArray) -> Iterator[Tokens]:
+    """For some texts at a time the hashes of their tokens, each text closed by the end token,
+    and the texts' token counts."""
+    words: list[bytes] = []
+    ends: list[int] = []
+    chars = 0
+    for text in texts:
+        text = text.as_py() or ""
+        words += text.encode().translate(_LOWER).split()
+        words.append(b"")
+        ends.append(len(words))
+        chars += len(text)
+        if chars > _CHARS_AT_ONCE:
+            yield _hashed(words), np.diff(ends, prepend=0)
+            words, ends, chars = [], [], 0
+    if ends:
+        yield _hashed(words), np.diff(ends, prepend=0)
+
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    coded = pa.array(words, pa.binary()).dictionary_encode()
+    digest = xxhash.xxh64_intdigest
+    known = np.fromiter((digest(w) if w else int(_END) for w in coded.dictionary.to_pylist()),
+                        dtype=np.uint64, count=len(coded.dictionary))
+    return known[coded.indices.to_numpy()]
 
 
 def _contexts(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -92,22 +101,44 @@ def _range_cuts(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(hashes, edges), [len(hashes)])).astype(np.int64)
 
 
-def _grams(tokens: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, Counts]]:
-    yield WORD, np.unique(tokens, return_counts=True)
-    yield PAIR, np.unique(_pairs(_contexts(tokens, sizes), tokens), return_counts=True)
+def _counted(parts: list[np.ndarray]) -> Counts:
+    """The different values, in order, and how often each is there."""
+    values = np.concatenate(parts)
+    values.sort()
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    return values[first], np.diff(first, append=len(values))
+
+
+def _grams(tokens: list[Tokens]) -> Iterator[tuple[int, Counts]]:
+    yield WORD, _counted([t for t, _ in tokens])
+    yield PAIR, _counted([_pairs(_contexts(t, sizes), t) for t, sizes in tokens])
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, after a byte that says how many."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _wide(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :data[0]] = raw
+    return out.view("<u8").ravel()
 
 
 def _sent(blocks: DataFrame, ranges: dict[int, int]) -> DataFrame:
-    """(kind, range, block, part, hashes, counts): the n-grams of each block, by range."""
+    """(kind, range, block, part, hashes, counts): the n-grams of each block, by range. Hashes
+    are in order and sent as steps."""
     schema = "kind int, range int, block bigint, part int, hashes binary, counts binary"
 
     def run(docs: pa.Table) -> pa.Table:
         block, part = docs["block"][0].as_py(), docs["part"][0].as_py()
-        tokens, sizes = _tokens(docs["text"].to_pylist())
         rows = []
-        for kind, (hashes, counts) in _grams(tokens, sizes):
+        for kind, (hashes, counts) in _grams(list(_tokens(docs["text"]))):
             cuts = _range_cuts(hashes, ranges[kind])
-            rows += [(kind, r, block, part, hashes[a:b].tobytes(), counts[a:b].astype("<u4").tobytes())
+            rows += [(kind, r, block, part, _narrow(np.diff(hashes[a:b], prepend=np.uint64(0))),
+                      _narrow(counts[a:b]))
                      for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
         return pa.table(dict(zip(("kind", "range", "block", "part", "hashes", "counts"),
                                  map(list, zip(*rows)))),
@@ -132,8 +163,8 @@ def _summed(sent: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         kind, number = rows["kind"][0].as_py(), rows["range"][0].as_py()
         parts, blocks = rows["part"].to_pylist(), rows["block"].to_pylist()
-        hashes = [np.frombuffer(h.as_py(), "<u8") for h in rows["hashes"]]
-        counts = [np.frombuffer(c.as_py(), "<u4") for c in rows["counts"]]
+        hashes = [np.cumsum(_wide(h.as_py())) for h in rows["hashes"]]
+        counts = [_wide(c.as_py()).astype(np.int64) for c in rows["counts"]]
         _, place = np.unique(np.concatenate(hashes), return_inverse=True)
         ends = np.cumsum([len(h) for h in hashes])
         n = int(place.max()) + 1
@@ -148,50 +179,36 @@ def _summed(sent: DataFrame) -> DataFrame:
                 int((counted > 0).sum()), int((learned > 0).sum()))]
         for block, part, h, end in zip(blocks, parts, hashes, ends):
             at = place[end - len(h):end]
-            out.append((block, kind, number, _packed(counted[at]) if part == DELETED else None,
-                        _packed(learned[at]), None, None, None, None))
+            out.append((block, kind, number, _narrow(counted[at]) if part == DELETED else None,
+                        _narrow(learned[at]), None, None, None, None))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _SUMS)], schema=_SUMS)
 
     return sent.groupBy("kind", "range").applyInArrow(run, schema)
 
 
-def _packed(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs, after one byte that says how many."""
-    width = next(w for w in (1, 2, 4, 8) if counts.max() < 1 << 8 * w)
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
-
-
-class _Block:
-    """A block's tokens with the counts that came back for them."""
-
-    def __init__(self, docs: pa.Table, sums: pa.Table, column: str):
-        tokens, self.sizes = _tokens(docs["text"].to_pylist())
-        before = _contexts(tokens, self.sizes)
-        known: dict[int, Counts] = {}
-        for kind, (hashes, _) in _grams(tokens, self.sizes):
-            mine = sums.filter(pa.compute.equal(sums["kind"], kind)).sort_by("range")
-            known[kind] = hashes, np.concatenate([_unpacked(c.as_py()) for c in mine[column]])
-        self.word = self._look(known[WORD], tokens)
-        self.pair = self._look(known[PAIR], _pairs(before, tokens))
-        # Each word and end is the context of none or one: a word's count is its count as context,
-        # and the begin mark stands before as many tokens as there are ends.
-        begins = before == _BEGIN
-        before[begins] = _END
-        self.context = self._look(known[WORD], before)
+def _estimates(docs: pa.Table, sums: pa.Table, column: str
+               ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For some of a block's texts at a time: their token counts, and for each token the count of
+    the word, its context's bucket, and the estimate from the pair."""
+    tokens = list(_tokens(docs["text"]))
+    known: dict[int, Counts] = {}
+    for kind, (hashes, _) in _grams(tokens):
+        mine = sums.filter(pa.compute.equal(sums["kind"], kind)).sort_by("range")
+        known[kind] = hashes, np.concatenate([_wide(c.as_py()) for c in mine[column]]).astype(np.int64)
 
-    @staticmethod
-    def _look(known: Counts, hashes: np.ndarray) -> np.ndarray:
-        return known[1][np.searchsorted(known[0], hashes)]
+    def look(kind: int, values: np.ndarray) -> np.ndarray:
+        hashes, counts = known[kind]
+        return counts[np.searchsorted(hashes, values)]
 
-    def estimates(self, total: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-        """Bucket, and the estimates from the pair, the word and nothing."""
-        bucket = np.minimum(np.log2(self.context + 1).astype(np.int64), BUCKETS - 1)
-        return (bucket, self.pair / np.maximum(self.context, 1), self.word / max(total, 1),
-                1 / (vocabulary + 1))
+    for hashes, sizes in tokens:
+        before = _contexts(hashes, sizes)
+        pair = look(PAIR, _pairs(before, hashes))
+        # Every token but the end is a context as often as it occurs, and the begin mark as often
+        # as there are ends.
+        before[before == _BEGIN] = _END
+        context = look(WORD, before)
+        bucket = np.minimum(np.log2(context + 1).astype(np.int64), BUCKETS - 1)
+        yield sizes, look(WORD, hashes), bucket, pair / np.maximum(context, 1)
 
 
 def _cell(p: np.ndarray) -> np.ndarray:
@@ -200,11 +217,12 @@ def _cell(p: np.ndarray) -> np.ndarray:
         return np.minimum(np.round(-np.log2(p) * SCALE), STEPS - 1).astype(np.int64)
 
 
-def _gathered(blocks: DataFrame, sums: DataFrame, total: int, vocabulary: int) -> DataFrame:
+def _gathered(blocks: DataFrame, sums: DataFrame, total: int) -> DataFrame:
     """(cell, n): how many tokens of the deleted part have a bucket and two estimates."""
     def run(docs: pa.Table, mine: pa.Table) -> pa.Table:
-        bucket, pair, word, _ = _Block(docs, mine, "counted").estimates(total, vocabulary)
-        cell, n = np.unique((bucket * STEPS + _cell(pair)) * STEPS + _cell(word), return_counts=True)
+        cells = [(bucket * STEPS + _cell(pair)) * STEPS + _cell(word / max(total, 1))
+                 for _, word, bucket, pair in _estimates(docs, mine, "counted")]
+        cell, n = _counted(cells)
         return pa.table({"cell": cell, "n": n})
 
     return blocks.where(F.col("part") == DELETED).groupBy("block").cogroup(
@@ -238,16 +256,19 @@ def _scored(blocks: DataFrame, sums: DataFrame, id_type, mix: np.ndarray, total:
         schema = schema.add(name, kind)
 
     def run(docs: pa.Table, mine: pa.Table) -> pa.Table:
-        block = _Block(docs, mine, "learned")
-        bucket, pair, word, nothing = block.estimates(total, vocabulary)
-        m = mix[bucket]
-        logs = np.log10(m[:, 0] * pair + m[:, 1] * word + m[:, 2] * nothing)
-        base = np.log10((block.word + 1) / (total + vocabulary + 1))
-        at = np.cumsum(block.sizes) - block.sizes
-        return pa.table({
-            "id": docs["id"], "part": docs["part"], "n_tokens": block.sizes,
-            "n_known": np.add.reduceat((block.word > 0).astype(np.int64), at),
-            "base_score": np.add.reduceat(base, at), "score": np.add.reduceat(logs, at)})
+        columns: list[list[np.ndarray]] = [[], [], [], []]
+        for sizes, word, bucket, pair in _estimates(docs, mine, "learned"):
+            m = mix[bucket]
+            p = m[:, 0] * pair + m[:, 1] * (word / max(total, 1)) + m[:, 2] / (vocabulary + 1)
+            at = np.cumsum(sizes) - sizes
+            base = np.log10((word + 1) / (total + vocabulary + 1))
+            for column, values in zip(columns, (
+                    sizes, np.add.reduceat((word > 0).astype(np.int64), at),
+                    np.add.reduceat(base, at), np.add.reduceat(np.log10(p), at))):
+                column.append(values)
+        n_tokens, n_known, base_score, score = map(np.concatenate, columns)
+        return pa.table({"id": docs["id"], "part": docs["part"], "n_tokens": n_tokens,
+                         "n_known": n_known, "base_score": base_score, "score": score})
 
     return blocks.groupBy("block").cogroup(
         sums.where("block is not null").select("block", "kind", "range", "learned").groupBy("block")
@@ -277,7 +298,7 @@ def lm_scores(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     t = sums.where("block is null").where(F.col("kind") == WORD).agg(
         *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
           ("n_counted", "n_learned", "v_counted", "v_learned"))).first()
-    cells = _gathered(blocks, sums, t.n_counted, t.v_counted).toPandas()  # at most BUCKETS * STEPS**2
+    cells = _gathered(blocks, sums, t.n_counted).toPandas()  # at most BUCKETS * STEPS**2
     mix = weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.float64), t.v_counted)
     scored = _scored(blocks, sums, id_type, mix, t.n_learned, t.v_learned)
     return scored.select(F.col("id").alias(id_column), (F.col("part") == HELD_OUT).alias("held_out"),
