@@ -8,7 +8,9 @@ phrase, are intersected from the rarest word on until nothing is left.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from barloom.llm.storage import stored
 
 WINDOW = 10
 #: Words of a segment, beyond which the next document begins another one.
-SEGMENT_WORDS = 2_000_000
+SEGMENT_WORDS = 6_000_000
 #: Free positions between two documents. A near match cannot reach over them.
 GAP = 64
 #: Bytes of test phrases that are searched for in one pass over the index.
@@ -74,21 +76,51 @@ class _Segment:
         at = np.concatenate(self.where)[np.argsort(codes, kind="stable")]
         counts = np.bincount(codes, minlength=len(terms)).astype(np.int32)
         offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-        steps = np.diff(at, prepend=at[:1]).astype(np.int32)
-        steps[offsets[:-1]] = at[offsets[:-1]]  # the first of a list is its place itself
-        if len(terms):
-            yield batch(term=terms, n=counts,
-                        steps=pa.ListArray.from_arrays(pa.array(offsets), pa.array(steps)))
+        for width, chosen, steps in _by_width(at, offsets, counts):
+            yield batch(term=terms.take(pa.array(chosen)), n=counts[chosen], first=at[offsets[chosen]],
+                        width=np.full(len(chosen), width), steps=steps)
+
+
+def _by_width(at: np.ndarray, offsets: np.ndarray, counts: np.ndarray
+              ) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """Posting lists as steps between postings, of 1 to 4 bytes each: per width the lists whose
+    largest step needs it, and their bytes."""
+    if not len(counts):
+        return
+    steps = np.diff(at, prepend=at[:1]).astype("<u4")
+    inner = np.ones(len(at), dtype=bool)
+    inner[offsets[:-1]] = False  # a list's first posting is kept beside its steps
+    steps[~inner] = 0
+    largest = np.maximum.reduceat(steps, offsets[:-1])
+    widths = 1 + sum((largest >= 1 << 8 * k).astype(np.int32) for k in (1, 2, 3))
+    for width in np.unique(widths).tolist():
+        chosen = np.flatnonzero(widths == width)
+        mine = steps[inner & np.repeat(widths == width, counts)]
+        data = mine.view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+        ends = np.concatenate(([0], np.cumsum((counts[chosen] - 1) * width))).astype(np.int32)
+        yield width, chosen, pa.BinaryArray.from_buffers(
+            pa.binary(), len(chosen), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _places(first: int, width: int, steps: bytes) -> np.ndarray:
+    """The posting list that ``_by_width`` has packed."""
+    raw = np.frombuffer(steps, np.uint8).reshape(-1, width)
+    out = np.zeros((len(raw) + 1, 4), np.uint8)
+    out[1:, :width] = raw
+    places = out.view("<u4").ravel().astype(np.int64)
+    places[0] = first
+    return np.cumsum(places)
 
 
 def build_index(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index of ``docs``: a row per segment and word (term, n postings, steps from one
-    posting to the next), and a row per document (row_id, start, n_words; its term is null).
+    """The stored index of ``docs``: a row per segment and word (term, n postings, the first, and
+    the steps from one to the next in ``width`` bytes each), and a row per document (row_id,
+    start, n_words; its term is null).
 
     ``row_id`` is a column that is handed back with matches.
     """
     id_type = docs.schema[row_id].dataType
-    schema = StructType.fromDDL("segment bigint, term binary, n int, steps array<int>").add(
+    schema = StructType.fromDDL("segment bigint, term binary, n int, first int, width int, steps binary").add(
         "row_id", id_type).add("start", "integer").add("n_words", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +128,9 @@ def build_index(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
         segment = _Segment(part << 32)
         for batch in batches:
             arrow = pa.schema([("segment", pa.int64()), ("term", pa.binary()), ("n", pa.int32()),
-                               ("steps", pa.list_(pa.int32())), ("row_id", batch.column(0).type),
-                               ("start", pa.int32()), ("n_words", pa.int32())])
+                               ("first", pa.int32()), ("width", pa.int32()), ("steps", pa.binary()),
+                               ("row_id", batch.column(0).type), ("start", pa.int32()),
+                               ("n_words", pa.int32())])
             for key, t in zip(batch.column(0), batch.column(1)):
                 segment.add(key.as_py(), t.as_py())
                 if segment.end > SEGMENT_WORDS:
@@ -130,27 +163,43 @@ def phrases(items: DataFrame, item_id: str = "item_id", text: str = "text",
         run, "phrase binary, item string").where("item is not null").distinct()
 
 
-def _search(lists: dict[bytes, np.ndarray], tests: list[tuple[list[bytes], list[str]]],
-            rarity: dict[bytes, int], slop: int) -> Iterator[tuple[int, int, list[str], bool]]:
+@dataclass(frozen=True)
+class Test:
+    """A phrase's (word, place in the phrase), the rarest word first, and whose phrase it is."""
+
+    words: list[tuple[bytes, int]]
+    items: list[str]
+
+
+def _search(lists: Callable[[bytes], np.ndarray | None], tests: list[Test], slop: int
+            ) -> Iterator[tuple[int, int, list[str], bool]]:
     """(first position, end, items, exact) of every match in one segment."""
-    lists = {t: np.cumsum(s) for t, s in lists.items()}
-    for words, items in tests:
-        if any(w not in lists for w in words):
+    for test in tests:
+        word, k = test.words[0]
+        found = lists(word)
+        if found is None:
             continue
-        ordered = sorted(range(len(words)), key=lambda k: rarity[words[k]])
-        starts = lists[words[ordered[0]]] - ordered[0]
+        starts = found - k
         near = starts if slop else starts[:0]
-        for k in ordered[1:]:
+        for word, k in test.words[1:]:
+            found = lists(word)
+            if found is None or not len(starts) + len(near):
+                starts = near = starts[:0]
+                break
             if len(starts):
-                starts = np.intersect1d(starts, lists[words[k]] - k, assume_unique=True)
+                starts = starts[_at_most(found - k, starts, 0)]
             if len(near):
-                at = lists[words[k]] - k
-                nearest = np.searchsorted(at, near - slop)
-                near = near[(nearest < len(at)) & (at[np.minimum(nearest, len(at) - 1)] <= near + slop)]
+                near = near[_at_most(found - k, near, slop)]
         for a in starts.tolist():
-            yield a, a + len(words), items, True
+            yield a, a + len(test.words), test.items, True
         for a in np.setdiff1d(near, starts).tolist():
-            yield a, a + len(words), items, False
+            yield a, a + len(test.words), test.items, False
+
+
+def _at_most(places: np.ndarray, starts: np.ndarray, slop: int) -> np.ndarray:
+    """For which ``starts`` one of ``places`` lies at most ``slop`` away."""
+    nearest = np.searchsorted(places, starts - slop)
+    return (nearest < len(places)) & (places[np.minimum(nearest, len(places) - 1)] <= starts + slop)
 
 
 def find_phrases(index: DataFrame, tests: DataFrame, slop: int = 0) -> DataFrame:
@@ -193,8 +242,11 @@ def _find_block(index: DataFrame, block: DataFrame, slop: int) -> DataFrame:
         F.col("term").cast("binary").alias("term")).distinct()
     used = index.where("term is not null").join(words, "term", "left_semi")
     rarity = {bytes(r["term"]): r["n"] for r in used.groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    tests = [(p.split(b" "), items) for p, items in sorted(by_phrase.items())]
-    tests = [t for t in tests if all(w in rarity for w in t[0])]
+    tests = []
+    for phrase, items in sorted(by_phrase.items()):
+        parts = phrase.split(b" ")
+        if all(w in rarity for w in parts):
+            tests.append(Test(sorted(zip(parts, range(len(parts))), key=lambda x: rarity[x[0]]), items))
     spans = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
     arrow = pa.schema([("segment", pa.int64()), ("start", pa.int32()), ("spans", spans),
                        ("items", pa.list_(pa.string())), ("near_items", pa.list_(pa.string()))])
@@ -203,9 +255,10 @@ def _find_block(index: DataFrame, block: DataFrame, slop: int) -> DataFrame:
         segment = rows["segment"][0].as_py()
         starts = np.sort(rows["start"].drop_null().to_numpy())
         terms = rows.filter(rows["term"].is_valid())
-        lists = {t.as_py(): s.values.to_numpy() for t, s in zip(terms["term"], terms["steps"])}
+        packed = {t: row for t, *row in zip(*(terms[c].to_pylist() for c in ("term", "first", "width", "steps")))}
+        lists = cache(lambda word: _places(*packed[word]) if word in packed else None)
         hits: dict[int, tuple[list, set, set]] = {}
-        for first, end, items, exact in _search(lists, tests, rarity, slop):
+        for first, end, items, exact in _search(lists, tests, slop):
             doc = int(starts[np.searchsorted(starts, first, side="right") - 1])
             places, whole, near = hits.setdefault(doc, ([], set(), set()))
             if exact:
@@ -217,8 +270,8 @@ def _find_block(index: DataFrame, block: DataFrame, slop: int) -> DataFrame:
              "items": sorted(whole), "near_items": sorted(near)}
             for doc, (places, whole, near) in hits.items()], arrow)
 
-    docs = index.where("term is null").select("segment", "start", "term", "steps")
-    return used.select("segment", "start", "term", "steps").unionByName(docs).groupBy(
+    columns = ("segment", "start", "term", "first", "width", "steps")
+    return used.select(*columns).unionByName(index.where("term is null").select(*columns)).groupBy(
         "segment").applyInArrow(run, "segment bigint, start int, spans array<struct<first:int,end:int>>, "
                                      "items array<string>, near_items array<string>")
 

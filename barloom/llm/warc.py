@@ -39,9 +39,10 @@ _ARROW = pa.schema([(c, pa.int64() if c == "content_length" else pa.string()) fo
 
 _DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head|svg)\b[^>]*>.*?</\1\s*>",
                       re.DOTALL | re.IGNORECASE)
-_BREAK = re.compile(r"<(?:br|hr)\b[^>]*>|</?(?:p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|pre)\b[^>]*>",
+_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""  # of a tag, whose quoted values may hold a >
+_BREAK = re.compile(r"</?(?:br|hr|p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|pre)\b" + _REST,
                     re.IGNORECASE)
-_TAG = re.compile(r"""<[a-zA-Z/!?](?:[^>"']|"[^"]*"|'[^']*')*>""")
+_TAG = re.compile("<[a-zA-Z/!?]" + _REST)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.DOTALL | re.IGNORECASE)
 _LANG = re.compile(r"""<html\b[^>]*\blang\s*=\s*["']?([A-Za-z-]+)""", re.IGNORECASE)
 _LINK = re.compile(r"""<(a|img|link|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*["']([^"']*)["']""", re.IGNORECASE)
@@ -58,7 +59,7 @@ def _identifier(*parts: str) -> str:
 
 def page_text(page: str) -> str:
     """Visible text: a line per block element, entities resolved, white space folded."""
-    body = _BREAK.sub("\n", _DROPPED.sub(" ", page))
+    body = _BREAK.sub("\n", " ".join(_DROPPED.sub(" ", page).split()))
     lines = (" ".join(line.split()) for line in html.unescape(_TAG.sub("", body)).split("\n"))
     return "\n".join(line for line in lines if line)
 
