@@ -73,7 +73,10 @@ def affected_bars(late: DataFrame, trades: DataFrame,
     widest = max(widths)
     slot = bar_start(F.col("trade_ts"), F.lit(widest)).alias("_slot")
     touched = late.select("symbol", slot).distinct()
-    inside = trades.withColumn("_slot", slot).join(touched, ["symbol", "_slot"], "left_semi")
+    # A slot lies in one day or reaches into the next one; the range of days prunes the scan.
+    days = late.agg(F.date_sub(F.min("trade_date"), 1).alias("low"), F.date_add(F.max("trade_date"), 1).alias("high"))
+    near = trades.filter(F.col("trade_date").between(days.select("low").scalar(), days.select("high").scalar()))
+    inside = near.withColumn("_slot", slot).join(touched, ["symbol", "_slot"], "left_semi")
     keys = late.select("symbol", "trade_ts").withColumn(
         "bar_minutes", F.explode(F.array(*[F.lit(w) for w in widths]))).select(
         "symbol", "bar_minutes",

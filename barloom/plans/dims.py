@@ -23,8 +23,11 @@ def price_range(prices: DataFrame) -> DataFrame:
 
 
 def dim_indicator(seed: DataFrame, macro: DataFrame) -> DataFrame:
-    """Reference rows of the series that have been loaded."""
-    return seed.join(macro.select("series_id").distinct(), "series_id", "left_semi")
+    """All reference rows, with the first and last loaded observation of each series."""
+    loaded = macro.groupBy("series_id").agg(
+        F.min("obs_date").alias("first_obs_date"), F.max("obs_date").alias("last_obs_date"))
+    return seed.join(loaded, "series_id", "left").withColumn(
+        "is_loaded", F.col("first_obs_date").isNotNull())
 
 
 def dim_date(stg_markets: DataFrame, as_of_date) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barloom import constants as C
 from barloom.operators.bars import intraday_bars
@@ -90,20 +91,28 @@ def build(spark: SparkSession, bronze: Mapping[str, DataFrame], seed: DataFrame,
     return models
 
 
+MARKS = "mark timestamp, run_id string"
+
+
 def refresh_trades(spark: SparkSession, quotes: DataFrame, root: str, run_id: str) -> None:
     """Bring trades and bars up to date with what was loaded since the last run.
 
     The first run is a full build. Later runs take quotes loaded strictly after the newest
-    stored load, merge them by key, and rebuild bars from the newest bar date onward. Repeating
-    a run under the same id only repeats its last step.
+    load of the runs before, merge them by key, and rebuild bars from the newest bar date onward.
+    That newest load is kept in a small table with a row per run, so trades are not read for it.
+    Repeating a run under the same id only repeats its last steps.
     """
     trades_path = layer_path(root, "stg_trades", LAYERS)
-    stored = read_or_none(spark, trades_path)
-    if stored is not None:
-        quotes = newer_than(quotes, "_ingested_at", stored, "_ingested_at", "1900-01-01")
-    merge_trades(quotes, trades_path, f"{root}/staging/stg_trades/{run_id}")
+    marks_path, staging = f"{root}/state/stg_trades", f"{root}/staging/stg_trades/{run_id}"
+    marks = read_or_none(spark, marks_path, MARKS)
+    if marks is not None:
+        before = marks.filter(F.col("run_id") != run_id)
+        quotes = newer_than(quotes, "_ingested_at", before, "mark", "1900-01-01")
+    merge_trades(quotes, trades_path, staging)
+    merged = spark.read.parquet(f"{staging}/incoming").agg(F.max("_ingested_at").alias("mark"))
+    merged.filter(F.col("mark").isNotNull()).write.mode("overwrite").parquet(f"{marks_path}/run_id={run_id}")
     rebuild_bars(spark, spark.read.parquet(trades_path),
-                 layer_path(root, "mart_intraday_bars", LAYERS))
+                 layer_path(root, "mart_intraday_bars", LAYERS), f"{staging}/bars")
 
 
 _BAR_TESTS = dict(

@@ -170,23 +170,26 @@ def src_news(s, d):
 
 
 def _sheets(s, d) -> DataFrame:
-    """Holdings as sheet rows; one fund's file has a renamed column."""
+    """Holdings as sheet rows, a sheet per fund and snapshot; one fund's files have a renamed
+    column."""
     lines = first_per_key(X.etf_holdings_raw(s, d), ["etf_symbol", "as_of_date", "position"],
-                          [F.desc("_ingested_at")]).filter(F.col("as_of_date") == "2001-09-28")
+                          [F.desc("_ingested_at")]).withColumn(
+        "sheet", F.concat(F.col("as_of_date").cast("string"), F.lit(".xlsx")))
     text = lambda *v: F.array(*[F.lit(x).cast("string") for x in v])
     row = lambda n, cells: F.struct(F.lit(n).alias("row_no"), cells.alias("cells"))
     names = F.when(F.col("etf_symbol") == "SMALL", text(*[
         "Wt" if c == "Weight" else c for c in C.HOLDINGS_COLUMNS])).otherwise(text(*C.HOLDINGS_COLUMNS))
-    body = lines.select("etf_symbol", (F.col("position") + 4).alias("row_no"), F.array(
+    body = lines.select("etf_symbol", "sheet", (F.col("position") + 4).alias("row_no"), F.array(
         "holding_name", "ticker", "identifier", "sedol", F.col("weight_pct").cast("string"),
         F.lit("-"), F.col("shares_held").cast("string"), "local_currency").alias("cells"))
-    frame = lines.groupBy("etf_symbol").agg(F.max("position").alias("n")).select(
-        "etf_symbol", F.inline(F.array(
+    as_of = F.concat(F.lit("As of "), F.date_format("as_of_date", "dd-MMM-yyyy"))
+    frame = lines.groupBy("etf_symbol", "sheet", "as_of_date").agg(F.max("position").alias("n")).select(
+        "etf_symbol", "sheet", F.inline(F.array(
             row(0, F.array(F.lit("Fund Name:"), F.col("etf_symbol"))),
             row(1, F.array(F.lit("Ticker Symbol:"), F.col("etf_symbol"))),
-            row(2, text("Holdings:", "As of 28-Sep-2001")),
+            row(2, F.array(F.lit("Holdings:"), as_of)),
             row(4, names),
-            row(F.col("n") + 5, text(None, None)),
+            row(F.col("n") + 5, text("", None)),
             row(F.col("n") + 6, text("Past results say little about the future.")))))
     return body.unionByName(frame)
 
@@ -267,14 +270,14 @@ def src_refresh_worklist(s, d):
 def src_corporate_actions(s, d):
     bars = X.markets_raw(s, d).unionByName(X.company_prices_raw(s, d))
     marks = W.watermarks(bars.filter(F.col("obs_date") <= "2001-09-10"), "symbol", "obs_date")
-    return W.corporate_actions(bars.filter(F.col("obs_date") <= "2001-09-15"), marks)
+    return W.corporate_actions(bars, marks)
 
 
 @query
 def src_corporate_reload(s, d):
     bars = latest_bar(X.company_prices_raw(s, d))
     marks = W.watermarks(bars.filter(F.col("obs_date") <= "2001-09-10"), "symbol", "obs_date")
-    recent = bars.filter(F.col("obs_date").between("2001-09-10", "2001-09-15"))
+    recent = bars.filter(F.col("obs_date") >= "2001-09-10")
     return W.bars_to_load(recent, bars, marks)
 
 
@@ -352,10 +355,10 @@ def replace_slice(s, d):
 def replace_run(s, d):
     path = scratch_dir(s, "results")
     rows = X.dq_results(s, d)
-    K.replace_run(rows, path)
+    K.replace_runs(rows, path)
     retried = rows.filter(F.col("check_ts") >= "2024-01-15").withColumn("message", F.lit("retried"))
     for _ in range(2):
-        K.replace_run(retried, path)
+        K.replace_runs(retried, path)
     return s.read.parquet(path).select(*rows.columns)
 
 
@@ -462,8 +465,7 @@ def snap_tickers(s, d):
 
 @query
 def dim_indicator(s, d):
-    return D.dim_indicator(indicator_seed(s), X.macro_raw(s, d)).select(
-        "series_id", "indicator_name", "category", "frequency", "units")
+    return D.dim_indicator(indicator_seed(s), X.macro_raw(s, d))
 
 
 @query
@@ -894,9 +896,9 @@ def _stream_all(s, d, files_per_batch: int) -> str:
     """Trades streamed by day ranges, oldest first, through silver and bars."""
     quotes = X.quotes_raw(s, d)
     landing, root = scratch_dir(s, "landing"), scratch_dir(s, "lake")
-    for low, high in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"),
-                      ("2024-01-21", "2024-02-01")):
-        quotes.filter((F.col("trade_ts") >= low) & (F.col("trade_ts") < high)).select(
+    day = F.col("trade_ts")
+    for part in (day < "2024-01-11", (day >= "2024-01-11") & (day < "2024-01-21"), day >= "2024-01-21"):
+        quotes.filter(part).select(
             "symbol", "price", "volume", "trade_time", "conditions").coalesce(1).write.mode(
             "append").json(landing)
         ST.trade_pipeline(s, landing, root, f"{root}/checkpoint", files_per_batch,
@@ -949,9 +951,15 @@ MACRO_LIMITS = {**C.MACRO_MAX_LAG_DAYS, "DGS10": 100, "ABSENT": 5}
 BAR_LIMITS = {"ALL": 90, "STANDARD": 90, "NOSUCH": 90}
 
 
+def _dated(s, d) -> DataFrame:
+    """Macro dates, and a series stored without any."""
+    series = X.macro_raw(s, d).select("series_id", "obs_date")
+    return series.unionByName(s.createDataFrame([("UNDATED", None)], series.schema))
+
+
 @query
 def chk_freshness_by_key(s, d):
-    bars, series = X.markets_raw(s, d), X.macro_raw(s, d)
+    bars, series = X.markets_raw(s, d), _dated(s, d)
     return Q.check_freshness_by_key(
         bars, "markets_freshness", "markets_raw", "symbol", "obs_date",
         Q.limits_frame(bars, BAR_LIMITS, "symbol"), X.AS_OF_DATE, 90,
@@ -962,7 +970,7 @@ def chk_freshness_by_key(s, d):
 
 @query
 def chk_freshness_detail(s, d):
-    series = X.macro_raw(s, d)
+    series = _dated(s, d)
     return Q.freshness_detail(series, "series_id", "obs_date",
                               Q.limits_frame(series, MACRO_LIMITS, "series_id"), X.AS_OF_DATE)
 

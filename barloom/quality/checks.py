@@ -56,7 +56,7 @@ def freshness_detail(df: DataFrame, key: str, date: str, expected: DataFrame, to
                      other_limit: int | None = None) -> DataFrame:
     """(key, lag_days, max_lag_days, state) for every stored or expected key.
 
-    ``other_limit`` applies to stored keys that are not expected; None leaves them unlimited.
+    A stored key without any date is stale: how old it is cannot be known. ``other_limit`` applies to stored keys that are not expected; None leaves them unlimited.
     """
     lags = df.groupBy(key).agg(F.datediff(_day(today), F.max(date)).alias("lag_days"))
     limit = F.coalesce("max_lag_days", F.lit(other_limit).cast("int"))
@@ -65,7 +65,8 @@ def freshness_detail(df: DataFrame, key: str, date: str, expected: DataFrame, to
         .select(
             key, "lag_days", limit.alias("max_lag_days"),
             F.when(F.col("_stored").isNull(), "missing")
-            .when(F.col("lag_days") > limit, "stale").otherwise("current").alias("state"))
+            .when(F.col("lag_days").isNull() | (F.col("lag_days") > limit), "stale")
+            .otherwise("current").alias("state"))
     )
 
 
@@ -73,7 +74,7 @@ def check_freshness_by_key(df: DataFrame, check: str, table: str, key: str, date
                            expected: DataFrame, today, other_limit: int | None = None) -> DataFrame:
     detail = freshness_detail(df, key, date, expected, today, other_limit)
     totals = detail.agg(
-        F.count("lag_days").alias("keys"), F.max("lag_days").alias("max_lag_days"),
+        F.count_if(F.col("state") != "missing").alias("keys"), F.max("lag_days").alias("max_lag_days"),
         F.count_if(F.col("state") == "missing").alias("missing"),
         F.count_if(F.col("state") == "stale").alias("stale"))
     return result(
@@ -160,7 +161,7 @@ def check_price_jump(bars: DataFrame, check: str, table: str, today,
         totals, check, table, "warn", F.col("n_jumps") == 0,
         F.format_string(f"%d adjusted closes moved over {limit:.0%}% in a day, no split.",
                         "n_jumps"),
-        [F.col("jumps")])
+        [F.col("n_jumps"), F.col("jumps")])
 
 
 # --- recency and volume ------------------------------------------------------------------
@@ -190,12 +191,16 @@ def check_last_session(trades: DataFrame, bars: DataFrame, check: str, table: st
                        zone: str = "UTC", enabled: bool = True) -> DataFrame:
     """Trades on the newest bar date: enough rows and no expected symbol missing.
 
-    The date is a scalar subquery, so a date-partitioned trade table is pruned to one day. Only
+    The day's bounds are scalar subqueries on ``trade_ts`` itself, so they reach the scan. Only
     expected symbols are gathered, so the list is bounded by the configuration.
     """
-    session = bars.agg(F.max("obs_date").alias("d")).scalar()
+    newest = bars.agg(F.max("obs_date").alias("d"))
+    midnight = lambda day: F.to_utc_timestamp(day.cast("timestamp"), zone)
+    session = newest.scalar()
+    starts = newest.select(midnight(F.col("d")).alias("t")).scalar()
+    ends = newest.select(midnight(F.date_add("d", 1)).alias("t")).scalar()
     wanted = F.array(*[F.lit(s) for s in sorted(symbols)])
-    on_day = trades.filter(F.to_date(F.from_utc_timestamp("trade_ts", zone)) == session)
+    on_day = trades.filter((F.col("trade_ts") >= starts) & (F.col("trade_ts") < ends))
     totals = on_day.agg(
         F.count("*").alias("rows"),
         F.collect_set(F.when(F.col("symbol").isin(*symbols), F.col("symbol"))).alias("_seen"),

@@ -13,14 +13,27 @@ from barloom.quality.checks import RESULT_COLUMNS
 from barloom.sinks.tables import replace_run
 
 Check = Callable[[], DataFrame]
+#: A check returns one row, or one per configured job.
+RESULTS_PER_CHECK = 10_000
 
 
 def crashed(spark: SparkSession, name: str, error: Exception) -> DataFrame:
     first_line = str(error).strip().split("\n")[0]
-    row = (name, "", "error", "error", f"Check crashed: {type(error).__name__}: {first_line}", "{}")
+    row = (name, "", "error", "error", f"No result, raised {type(error).__name__} ({first_line})", "{}")
     return spark.createDataFrame([row], ", ".join(f"{c} string" for c in RESULT_COLUMNS))
 
 
+def _evaluated(spark: SparkSession, name: str, check: Check) -> list[tuple]:
+    """The result rows of one check, at most ``RESULTS_PER_CHECK``; any failure is a row too."""
+    try:
+        rows = check().select(*RESULT_COLUMNS).limit(RESULTS_PER_CHECK + 1).collect()
+        if len(rows) > RESULTS_PER_CHECK:
+            raise ValueError(f"more than {RESULTS_PER_CHECK} result rows; findings belong elsewhere")
+    except Exception as e:  # noqa: BLE001
+        rows = crashed(spark, name, e).collect()
+    return [tuple(r) for r in rows]
+
+
 def run_all(spark: SparkSession, checks: Mapping[str, Check], run_id: str, check_ts,
             path: str) -> DataFrame:
     """Evaluate every check and store the run's results, replacing an earlier try.
@@ -29,17 +42,12 @@ def run_all(spark: SparkSession, checks: Mapping[str, Check], run_id: str, check
     and cannot take the others with it. Only its finished result rows reach the driver: one per
     check, or one per configured job.
     """
-    rows: list[tuple] = []
-    for name, check in checks.items():
-        try:
-            rows += [tuple(r) for r in check().select(*RESULT_COLUMNS).collect()]
-        except Exception as e:  # noqa: BLE001 - a broken check must not hide the others
-            rows += [tuple(r) for r in crashed(spark, name, e).collect()]
+    rows = [row for name, check in checks.items() for row in _evaluated(spark, name, check)]
     results = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RESULT_COLUMNS))
     stamped = results.select(
         F.lit(run_id).alias("run_id"), F.lit(check_ts).cast("timestamp").alias("check_ts"),
         *RESULT_COLUMNS)
-    replace_run(stamped, path)
+    replace_run(stamped, path, run_id)
     return spark.read.schema(S.DQ_RESULTS).parquet(path).filter(F.col("run_id") == run_id)
 
 

@@ -8,6 +8,7 @@ that becomes current only once it is complete.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -85,32 +86,72 @@ def replace_slices(df: DataFrame, path: str, slice_cols: Sequence[str]) -> None:
     )
 
 
-def replace_run(results: DataFrame, path: str) -> None:
-    """Check results of a run replace that run's earlier rows."""
+def replace_runs(results: DataFrame, path: str) -> None:
+    """Results of every run in ``results`` replace that run's earlier rows."""
     replace_slices(results, path, ["run_id"])
 
 
+def replace_run(results: DataFrame, path: str, run_id: str) -> None:
+    """Results of one run replace its earlier rows, also when there are none this time."""
+    folder = f"{path}/run_id={quote(run_id, safe='')}"
+    results.filter(F.col("run_id") == run_id).drop("run_id").write.mode("overwrite").parquet(folder)
+
+
+def swap_slices(spark: SparkSession, path: str, slice_cols: Sequence[str], staging: str,
+                make: Callable[[], DataFrame]) -> None:
+    """Write the rows of ``make`` whole to ``staging``, then swap their slices in.
+
+    If a swap is cut short, calling again with the same ``staging`` only repeats the swap.
+    """
+    rows, done = f"{staging}/rows", f"{staging}/done"
+    if read_or_none(spark, done) is None:
+        make().write.mode("overwrite").parquet(rows)
+        spark.range(1).write.mode("overwrite").parquet(done)
+    replace_slices(spark.read.parquet(rows), path, slice_cols)
+
+
+#: Slices that a batch may name one by one in the scan of the stored table.
+NAMED_SLICES = 1000
+
+
+def stored_slices(stored: DataFrame, rows: DataFrame, slice_cols: Sequence[str]) -> DataFrame:
+    """Rows of ``stored`` in the slices that ``rows`` has, read from those slices only.
+
+    The semi join alone does not reach the scan. The range of each slice column does, and so do
+    the slices themselves unless a batch touches very many; both only narrow the scan.
+    """
+    touched = rows.select(*slice_cols).distinct()
+    named = touched.limit(NAMED_SLICES + 1).collect()
+    for c in slice_cols:
+        values = [r[c] for r in named]
+        if len(values) <= NAMED_SLICES:
+            wanted = F.col(c).isin({v for v in values if v is not None})
+            stored = stored.filter(wanted | F.col(c).isNull() if None in values else wanted)
+        else:
+            ends = rows.agg(F.min(c).alias("low"), F.max(c).alias("high"), F.count_if(F.col(c).isNull()).alias("n"))
+            pick = lambda name: ends.select(name).scalar()
+            stored = stored.filter(F.col(c).between(pick("low"), pick("high"))
+                                   | (F.col(c).isNull() & (pick("n") > 0)))
+    same = [stored[c].eqNullSafe(touched[c]) for c in slice_cols]
+    return stored.join(touched, same, "left_semi")
+
+
 def merge_slices(spark: SparkSession, path: str, incoming: DataFrame, slice_cols: Sequence[str],
                  merge: Callable[[DataFrame, DataFrame], DataFrame], staging: str) -> None:
-    """Merge rows into a partitioned table, rewriting only the slices they touch.
+    """Merge rows into a partitioned table, reading and rewriting only the slices they touch.
 
     The slice columns must be functions of the merge key, so a key never moves between slices.
-    The merged slices are first written whole to ``staging`` and then swapped in. If a swap is
-    cut short, calling again with the same ``staging`` only repeats the swap.
+    Incoming rows are staged first, so that finding their slices does not compute them again.
     """
-    rows, done = f"{staging}/rows", f"{staging}/done"
-    if read_or_none(spark, done) is None:
+    def make() -> DataFrame:
+        incoming.write.mode("overwrite").parquet(f"{staging}/incoming")
+        rows = spark.read.schema(incoming.schema).parquet(f"{staging}/incoming")
         stored = read_or_none(spark, path, incoming.schema)
         if stored is None:
-            state = merge(incoming.limit(0), incoming)
-        else:
-            touched = incoming.select(*slice_cols).distinct()
-            state = merge(
-                stored.select(*incoming.columns).join(touched, list(slice_cols), "left_semi"),
-                incoming)
-        state.write.mode("overwrite").parquet(rows)
-        spark.range(1).write.mode("overwrite").parquet(done)
-    replace_slices(spark.read.parquet(rows), path, slice_cols)
+            return merge(rows.limit(0), rows)
+        return merge(stored_slices(stored.select(*incoming.columns), rows, slice_cols), rows)
+
+    swap_slices(spark, path, slice_cols, staging, make)
 
 
 def upsert_slices(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barloom.operators.bars import BAR_KEYS, affected_bars, intraday_bars
 from barloom.operators.merge import newer_than, upsert
 from barloom.plans.staging import stg_trades
-from barloom.sinks.tables import merge_slices, read_or_none, replace_slices
+from barloom.sinks.tables import merge_slices, read_or_none, swap_slices
 from barloom.sources.trades import stream_trade_files
 
 
@@ -38,24 +38,27 @@ def merge_trades(batch: DataFrame, path: str, staging: str) -> None:
         lambda old, new: upsert(old, new, ["trade_key"]), staging)
 
 
-def rebuild_bars(spark: SparkSession, trades: DataFrame, path: str) -> None:
-    """Rebuild bars from the newest stored bar date onward; earlier dates are left alone."""
-    stored = read_or_none(spark, path)
-    if stored is not None:
-        trades = newer_than(trades, "trade_date", stored, "bar_date", "1900-01-01",
-                            inclusive=True)
-        staged = f"{path}.next"
-        intraday_bars(trades).write.mode("overwrite").parquet(staged)
-        replace_slices(spark.read.parquet(staged), path, ["bar_date"])
-    else:
-        replace_slices(intraday_bars(trades), path, ["bar_date"])
+def rebuild_bars(spark: SparkSession, trades: DataFrame, path: str, staging: str) -> None:
+    """Rebuild bars from the newest stored bar date onward; earlier dates are left alone.
+
+    ``staging`` belongs to one run. The days are complete there before the first is swapped in,
+    so a repeat after a cut swap puts in all of them, whatever is stored by then.
+    """
+    def make() -> DataFrame:
+        stored = read_or_none(spark, path)
+        if stored is None:
+            return intraday_bars(trades)
+        return intraday_bars(newer_than(trades, "trade_date", stored, "bar_date", "1900-01-01",
+                                        inclusive=True))
+
+    swap_slices(spark, path, ["bar_date"], staging, make)
 
 
 def late_trades(trades: DataFrame, bars: DataFrame, loaded_after: DataFrame) -> DataFrame:
     """Trades that arrived for days before the newest bar date, which no rebuild will see."""
     newest = bars.agg(F.max("bar_date").alias("d")).scalar()
-    return trades.join(loaded_after.select("trade_key"), "trade_key", "left_semi").filter(
-        F.col("trade_date") < newest)
+    return trades.filter(F.col("trade_date") < newest).join(
+        loaded_after.select("trade_key"), "trade_key", "left_semi")
 
 
 def repair_late_bars(bars: DataFrame, trades: DataFrame, late: DataFrame) -> DataFrame:
@@ -63,6 +66,13 @@ def repair_late_bars(bars: DataFrame, trades: DataFrame, late: DataFrame) -> Dat
     return upsert(bars, affected_bars(late, trades).select(*bars.columns), BAR_KEYS)
 
 
+def repair_stored_bars(spark: SparkSession, path: str, trades: DataFrame, late: DataFrame,
+                       staging: str) -> None:
+    """The same repair of a stored table: only days with late trades are read and rewritten."""
+    merge_slices(spark, path, affected_bars(late, trades), ["bar_date"],
+                 lambda old, new: upsert(old, new, BAR_KEYS), staging)
+
+
 def trade_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: str,
                    files_per_batch: int | None = None, loaded_at=None,
                    trigger: dict | None = None) -> StreamingQuery:
@@ -74,7 +84,7 @@ def trade_pipeline(spark: SparkSession, landing: str, root: str, checkpoint: str
         session = batch.sparkSession
         merge_trades(batch, f"{root}/silver/stg_trades", f"{checkpoint}/merge/{batch_id}")
         rebuild_bars(session, session.read.parquet(f"{root}/silver/stg_trades"),
-                     f"{root}/gold/mart_intraday_bars")
+                     f"{root}/gold/mart_intraday_bars", f"{checkpoint}/bars/{batch_id}")
 
     source = stream_trade_files(spark, landing, files_per_batch, loaded_at)
     return (

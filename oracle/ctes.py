@@ -184,15 +184,31 @@ LEFT JOIN stock_listing AS l USING (symbol)"""
 
 CTES["indicators"] = """
 SELECT * FROM (VALUES
-  ('CPIAUCSL', 'Consumer prices, all urban consumers', 'inflation', 'monthly', 'index'),
-  ('UNRATE', 'Unemployment rate', 'labor', 'monthly', 'percent'),
-  ('FEDFUNDS', 'Effective federal funds rate', 'rates', 'monthly', 'percent'),
-  ('DGS10', 'Treasury yield, 10 years', 'rates', 'daily', 'percent'),
-  ('DGS2', 'Treasury yield, 2 years', 'rates', 'daily', 'percent'),
-  ('T10Y2Y', 'Treasury spread, 10 less 2 years', 'rates', 'daily', 'percent'),
-  ('GDP', 'Gross domestic product', 'growth', 'quarterly', 'usd_bn'),
-  ('UMCSENT', 'Consumer sentiment', 'sentiment', 'monthly', 'index')
-) AS i(series_id, indicator_name, category, frequency, units)"""
+  ('CPIAUCSL', 'Consumer prices, all urban consumers', 'inflation', 'monthly', 'index',
+   'Price level of a basket that city households buy.',
+   'The usual "headline" inflation number; its yearly change steers rate expectations.'),
+  ('UNRATE', 'Unemployment rate', 'labor', 'monthly', 'percent',
+   'People looking for work as a share of the labor force.',
+   'Turns up early when the economy weakens.'),
+  ('FEDFUNDS', 'Effective federal funds rate', 'rates', 'monthly', 'percent',
+   'Average rate of overnight loans between banks.',
+   'The rate the central bank steers; other borrowing costs follow.'),
+  ('DGS10', 'Treasury yield, 10 years', 'rates', 'daily', 'percent',
+   'Market yield of ten-year government debt.',
+   'Anchor for mortgages and long corporate loans.'),
+  ('DGS2', 'Treasury yield, 2 years', 'rates', 'daily', 'percent',
+   'Market yield of two-year government debt.',
+   'Follows the expected policy rate.'),
+  ('T10Y2Y', 'Treasury spread, 10 less 2 years', 'rates', 'daily', 'percent',
+   'Ten-year yield minus two-year yield.',
+   'Below zero the curve is "inverted", which has often come before a recession.'),
+  ('GDP', 'Gross domestic product', 'growth', 'quarterly', 'usd_bn',
+   'Value of all goods and services produced.',
+   'The widest measure of growth.'),
+  ('UMCSENT', 'Consumer sentiment', 'sentiment', 'monthly', 'index',
+   'Survey index of how households see their finances and the economy.',
+   'Leads consumer spending.')
+) AS i(series_id, indicator_name, category, frequency, units, description, why_it_matters)"""
 
 CTES["stg_macro"] = """
 SELECT series_id, obs_date, value, indicator_name, category, frequency, units, _ingested_at
@@ -280,29 +296,33 @@ CTES["newest_sheet"] = "SELECT etf_symbol, max(as_of_date) AS newest FROM stg_et
 
 CTES["dim_company"] = """
 SELECT symbol,
-       list_aggregate(list_transform(string_split(lower(holding_name), ' '),
+       list_aggregate(list_transform(string_split(lower(last.holding_name), ' '),
                                      lambda w: upper(w[1]) || w[2:]), 'string_agg', ' ') AS name,
-       etf_symbol AS sector_etf, segment AS sector, exchange, price_currency,
-       weight AS latest_weight, first_held_date, as_of_date AS last_held_date,
-       as_of_date = newest AS is_current_holding, p.first_price_date, p.last_price_date
-FROM (SELECT *, min(as_of_date) OVER (PARTITION BY symbol) AS first_held_date
-      FROM stg_etf_holdings WHERE is_equity
-      QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY as_of_date DESC, weight DESC, etf_symbol DESC) = 1) AS h
-LEFT JOIN newest_sheet USING (etf_symbol)
-LEFT JOIN (SELECT symbol AS etf_symbol, segment FROM dim_symbol) USING (etf_symbol)
-LEFT JOIN (SELECT symbol, min(obs_date) AS first_price_date, max(obs_date) AS last_price_date
-           FROM stg_company_prices GROUP BY symbol) AS p USING (symbol)"""
-
-CTES["edges"] = """
-SELECT 'ALL' AS parent_symbol, symbol AS child_symbol, 1 AS level, NULL::DOUBLE AS weight, segment AS child_name
-FROM dim_symbol WHERE role IN ('sector', 'size', 'bond')
-UNION ALL
-SELECT h.etf_symbol, h.symbol, 2, h.weight, c.name
-FROM stg_etf_holdings AS h JOIN newest_sheet AS n ON n.etf_symbol = h.etf_symbol AND n.newest = h.as_of_date
-LEFT JOIN dim_company AS c ON c.symbol = h.symbol WHERE h.is_equity"""
+       last.etf_symbol AS sector_etf,
+       (SELECT any_value(d.segment) FROM dim_symbol AS d WHERE d.symbol = last.etf_symbol) AS sector,
+       last.exchange AS exchange, last.price_currency AS price_currency,
+       last.weight AS latest_weight, first_held_date, last.as_of_date AS last_held_date,
+       last.as_of_date = (SELECT any_value(n.newest) FROM newest_sheet AS n
+                          WHERE n.etf_symbol = last.etf_symbol) AS is_current_holding,
+       (SELECT min(b.obs_date) FROM stg_company_prices AS b WHERE b.symbol = held.symbol) AS first_price_date,
+       (SELECT max(b.obs_date) FROM stg_company_prices AS b WHERE b.symbol = held.symbol) AS last_price_date
+FROM (SELECT symbol, min(as_of_date) AS first_held_date,
+             list(h ORDER BY as_of_date DESC, weight DESC, etf_symbol DESC)[1] AS last
+      FROM stg_etf_holdings AS h WHERE is_equity GROUP BY symbol) AS held"""
+
+CTES["held_now"] = """
+SELECT * FROM stg_etf_holdings
+WHERE is_equity AND (etf_symbol, as_of_date) IN (SELECT (etf_symbol, newest) FROM newest_sheet)"""
 
 CTES["dim_symbol_hierarchy"] = """
-SELECT *, child_symbol IN (SELECT parent_symbol FROM edges) AS has_children FROM edges"""
+SELECT pair.*, list_contains((SELECT list(DISTINCT etf_symbol) FROM held_now), pair.child_symbol)
+               OR pair.child_symbol = 'ALL' AS has_children
+FROM (SELECT 2 AS level, etf_symbol AS parent_symbol, symbol AS child_symbol, weight,
+             (SELECT any_value(c.name) FROM dim_company AS c WHERE c.symbol = held_now.symbol) AS child_name
+      FROM held_now
+      UNION ALL BY NAME
+      SELECT 1 AS level, symbol AS child_symbol, segment AS child_name, 'ALL' AS parent_symbol
+      FROM dim_symbol WHERE list_contains(['bond', 'sector', 'size'], role)) AS pair"""
 
 
 def _needed(sql: str) -> list[str]:

@@ -29,9 +29,9 @@ put("src_universe", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM tickers_un
 put("src_news", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM news_raw")
 put("src_holdings", f"""SELECT *, {STAMP} AS _ingested_at FROM (
   SELECT * REPLACE (CASE WHEN ticker = '-' THEN NULL ELSE symbol END AS symbol)
-  FROM sheet_lines WHERE as_of_date = DATE '2001-09-28' AND etf_symbol <> 'SMALL')""")
-put("src_holdings_rejects", """SELECT DISTINCT etf_symbol, 'unexpected columns' AS reason
-FROM sheet_lines WHERE etf_symbol = 'SMALL'""")
+  FROM sheet_lines WHERE etf_symbol <> 'SMALL')""")
+put("src_holdings_rejects", """SELECT etf_symbol, as_of_date || '.xlsx' AS sheet, 'unexpected columns' AS reason
+FROM sheet_lines WHERE etf_symbol = 'SMALL' GROUP BY ALL""")
 put("src_symbol_normalise", """SELECT p_partkey,
   CASE WHEN p_size > 3 THEN replace(upper(p_brand), '#', '-') END AS symbol FROM part""")
 put("src_trade_files", f"SELECT * REPLACE ({JOINED}, {STAMP} AS _ingested_at) FROM quotes_raw")
@@ -52,16 +52,16 @@ FROM (SELECT * FROM markets_raw UNION ALL SELECT * FROM company_prices_raw) AS b
 JOIN (SELECT symbol, max(obs_date) AS seen FROM (SELECT symbol, obs_date FROM markets_raw
         UNION ALL SELECT symbol, obs_date FROM company_prices_raw)
       WHERE obs_date <= DATE '2001-09-10' GROUP BY symbol) AS m ON m.symbol = b.symbol
-WHERE b.obs_date > m.seen AND b.obs_date <= DATE '2001-09-15'
+WHERE b.obs_date > m.seen
   AND (coalesce(b.div_cash, 0) <> 0 OR b.split_factor IS DISTINCT FROM 1.0)""")
 put("src_corporate_reload", """
 SELECT c.* FROM company_best AS c LEFT JOIN (
   SELECT DISTINCT b.symbol FROM company_best AS b
   JOIN (SELECT symbol, max(obs_date) AS seen FROM company_best WHERE obs_date <= DATE '2001-09-10' GROUP BY symbol) AS m
     ON m.symbol = b.symbol
-  WHERE b.obs_date > m.seen AND b.obs_date BETWEEN DATE '2001-09-10' AND DATE '2001-09-15'
+  WHERE b.obs_date > m.seen AND b.obs_date >= DATE '2001-09-10'
     AND (coalesce(b.div_cash, 0) <> 0 OR b.split_factor IS DISTINCT FROM 1.0)) AS a ON a.symbol = c.symbol
-WHERE a.symbol IS NOT NULL OR c.obs_date BETWEEN DATE '2001-09-10' AND DATE '2001-09-15'""")
+WHERE a.symbol IS NOT NULL OR c.obs_date >= DATE '2001-09-10'""")
 put("src_priced_companies", """
 SELECT DISTINCT symbol FROM etf_holdings_raw AS h
 WHERE as_of_date = (SELECT max(as_of_date) FROM etf_holdings_raw AS x WHERE x.etf_symbol = h.etf_symbol)
@@ -135,7 +135,10 @@ SELECT symbol, name, asset_type, exchange_code, start_date, end_date, descriptio
 UNION ALL
 SELECT symbol, name, asset_type, exchange_code, start_date, end_date + 1, description || '.',
   TIMESTAMP '2001-08-01', NULL FROM tickers_raw WHERE symbol < 'M'""")
-put("dim_indicator", "SELECT * FROM indicators WHERE series_id IN (SELECT series_id FROM macro_raw)")
+put("dim_indicator", """
+SELECT indicators.*, first_obs_date, last_obs_date, first_obs_date IS NOT NULL AS is_loaded
+FROM indicators LEFT JOIN (SELECT series_id, min(obs_date) AS first_obs_date, max(obs_date) AS last_obs_date
+                           FROM macro_raw GROUP BY series_id) USING (series_id)""")
 put("dim_date", """
 SELECT date_day, year(date_day)::INTEGER AS year, quarter(date_day)::INTEGER AS quarter,
   month(date_day)::INTEGER AS month, monthname(date_day) AS month_name,
@@ -170,52 +173,51 @@ SELECT * {r6(*RETURNS, *[f'spy_{r}' for r in RETURNS], 'rel_1m', 'rel_3m', 'rel_
     r.return_1m - b.return_1m AS rel_1m, r.return_3m - b.return_3m AS rel_3m, r.return_6m - b.return_6m AS rel_6m
   FROM int_symbol_returns AS r JOIN int_symbol_returns AS b ON b.obs_date = r.obs_date AND b.symbol = 'ALL'
   WHERE r.symbol IN (SELECT symbol FROM dim_symbol WHERE role IN ('sector', 'size', 'bond'))))""")
+CTES["priced_days"] = """
+SELECT symbol, obs_date, return_1m, return_3m, return_6m, above_sma_200, drawdown
+FROM int_symbol_returns
+LEFT JOIN (FROM mart_market_daily UNION ALL BY NAME FROM mart_company_daily) USING (symbol, obs_date)"""
+CTES["family_days"] = """
+ SELECT tree.parent_symbol, tree.child_symbol, obs_date, tree.level::INTEGER AS level, tree.weight, tree.has_children,
+   COLUMNS(own.* EXCLUDE (symbol, obs_date)),
+   up.return_1m AS parent_return_1m, up.return_3m AS parent_return_3m, up.return_6m AS parent_return_6m
+ FROM priced_days AS own JOIN priced_days AS up USING (obs_date)
+ JOIN dim_symbol_hierarchy AS tree ON (tree.child_symbol, tree.parent_symbol) = (own.symbol, up.symbol)"""
+CTES["against_parent"] = """
+ SELECT *, return_1m - parent_return_1m AS rel_1m, return_3m - parent_return_3m AS rel_3m,
+   return_6m - parent_return_6m AS rel_6m
+ FROM family_days"""
 put("mart_drilldown_relative_strength", f"""
 SELECT * {r6(*RETURNS, *[f'parent_{r}' for r in RETURNS], 'rel_1m', 'rel_3m', 'rel_6m', 'drawdown')} FROM (
  SELECT *, count(*) OVER (PARTITION BY parent_symbol, obs_date) AS children_reporting,
-   (SELECT count(DISTINCT e.child_symbol) FROM edges AS e
-     JOIN int_symbol_returns AS c ON c.symbol = e.child_symbol
-     JOIN int_symbol_returns AS q ON q.symbol = e.parent_symbol AND q.obs_date = c.obs_date
-    WHERE e.parent_symbol = rel.parent_symbol) AS children_priced,
+   count(DISTINCT child_symbol) OVER (PARTITION BY parent_symbol) AS children_priced,
    {RANKED.format(g='parent_symbol, obs_date')}
- FROM (
-  SELECT parent_symbol, child_symbol, c.obs_date, level::INTEGER AS level, weight, has_children,
-    c.return_1m, c.return_3m, c.return_6m,
-    q.return_1m AS parent_return_1m, q.return_3m AS parent_return_3m, q.return_6m AS parent_return_6m,
-    c.return_1m - q.return_1m AS rel_1m, c.return_3m - q.return_3m AS rel_3m, c.return_6m - q.return_6m AS rel_6m,
-    h.above_sma_200, h.drawdown
-  FROM dim_symbol_hierarchy AS e
-  JOIN int_symbol_returns AS c ON c.symbol = e.child_symbol
-  JOIN int_symbol_returns AS q ON q.symbol = e.parent_symbol AND q.obs_date = c.obs_date
-  LEFT JOIN (SELECT * FROM mart_market_daily UNION ALL SELECT * FROM mart_company_daily) AS h
-    ON h.symbol = e.child_symbol AND h.obs_date = c.obs_date) AS rel)""")
+ FROM against_parent)""")
 put("rank_across_tasks", """
 SELECT symbol, obs_date,
   CASE WHEN return_1m IS NOT NULL THEN rank() OVER (PARTITION BY obs_date ORDER BY return_1m DESC NULLS LAST)::INTEGER END AS rank_1m,
   CASE WHEN return_6m IS NOT NULL THEN rank() OVER (PARTITION BY obs_date ORDER BY return_6m DESC NULLS LAST)::INTEGER END AS rank_6m
 FROM int_symbol_returns""")
+CTES["macro_wide"] = """
+SELECT * FROM (
+ PIVOT (SELECT date_day, series_id, value AS v, chg_3m AS c, pct_chg_12m AS p,
+          100 * (pow(value / nullif(value_3m_ago, 0), 4) - 1) AS a FROM int_macro_daily)
+ ON series_id IN ('DGS10', 'DGS2', 'T10Y2Y', 'FEDFUNDS', 'CPIAUCSL', 'UNRATE', 'UMCSENT', 'GDP')
+ USING any_value(v) AS v, any_value(c) AS c, any_value(p) AS p, any_value(a) AS a GROUP BY date_day)"""
 put("mart_macro_market_signals", f"""
 SELECT * {r6('daily_return', 'fwd_21d_return', 'fedfunds_chg_3m', 'cpi_yoy_pct', 'cpi_3m_ann_pct', 'unrate_chg_3m', 'gdp_yoy_pct')}
 FROM (
- SELECT m.obs_date, m.symbol, m.adj_close, m.daily_return,
-   lead(adj_close, 21) OVER (PARTITION BY symbol ORDER BY m.obs_date) / nullif(adj_close, 0) - 1 AS fwd_21d_return,
-   dgs10, dgs2, t10y2y, t10y2y < 0 AS curve_inverted, fedfunds, fedfunds_chg_3m,
-   CASE WHEN abs(fedfunds_chg_3m) <= 0.25 THEN 'holding' WHEN fedfunds_chg_3m > 0 THEN 'hiking'
-        WHEN fedfunds_chg_3m < 0 THEN 'cutting' END AS fed_regime,
-   cpi_yoy_pct, cpi_3m_ann_pct,
-   CASE WHEN cpi_3m_ann_pct > cpi_yoy_pct + 0.5 THEN 'rising' WHEN cpi_3m_ann_pct < cpi_yoy_pct - 0.5 THEN 'falling'
-        WHEN cpi_3m_ann_pct + cpi_yoy_pct IS NOT NULL THEN 'stable' END AS inflation_trend,
-   unrate, unrate_chg_3m, umcsent, gdp_yoy_pct
- FROM stg_markets AS m LEFT JOIN (
-  SELECT date_day,
-    max(value) FILTER (series_id = 'DGS10') AS dgs10, max(value) FILTER (series_id = 'DGS2') AS dgs2,
-    max(value) FILTER (series_id = 'T10Y2Y') AS t10y2y, max(value) FILTER (series_id = 'FEDFUNDS') AS fedfunds,
-    max(chg_3m) FILTER (series_id = 'FEDFUNDS') AS fedfunds_chg_3m,
-    max(pct_chg_12m) FILTER (series_id = 'CPIAUCSL') AS cpi_yoy_pct,
-    max((pow(value / nullif(value_3m_ago, 0), 4) - 1) * 100) FILTER (series_id = 'CPIAUCSL') AS cpi_3m_ann_pct,
-    max(value) FILTER (series_id = 'UNRATE') AS unrate, max(chg_3m) FILTER (series_id = 'UNRATE') AS unrate_chg_3m,
-    max(value) FILTER (series_id = 'UMCSENT') AS umcsent, max(pct_chg_12m) FILTER (series_id = 'GDP') AS gdp_yoy_pct
-  FROM int_macro_daily GROUP BY date_day) AS x ON x.date_day = m.obs_date)""")
+ SELECT day.symbol, day.obs_date, day.adj_close, day.daily_return,
+   nth_value(adj_close, 22) OVER ahead / nullif(adj_close, 0) - 1 AS fwd_21d_return,
+   DGS10_v AS dgs10, DGS2_v AS dgs2, T10Y2Y_v AS t10y2y, sign(T10Y2Y_v) = -1 AS curve_inverted,
+   FEDFUNDS_v AS fedfunds, FEDFUNDS_c AS fedfunds_chg_3m,
+   ['cutting', 'holding', 'hiking'][2 + (FEDFUNDS_c > 0.25)::INT - (FEDFUNDS_c < -0.25)::INT] AS fed_regime,
+   CPIAUCSL_p AS cpi_yoy_pct, CPIAUCSL_a AS cpi_3m_ann_pct,
+   ['falling', 'stable', 'rising'][2 + (CPIAUCSL_a > CPIAUCSL_p + 0.5)::INT - (CPIAUCSL_a < CPIAUCSL_p - 0.5)::INT]
+     AS inflation_trend,
+   UNRATE_v AS unrate, UNRATE_c AS unrate_chg_3m, UMCSENT_v AS umcsent, GDP_p AS gdp_yoy_pct
+ FROM stg_markets AS day LEFT JOIN macro_wide ON date_day = day.obs_date
+ WINDOW ahead AS (PARTITION BY day.symbol ORDER BY day.obs_date ROWS BETWEEN CURRENT ROW AND 21 FOLLOWING))""")
 BARS = """
 SELECT symbol, m::INTEGER AS bar_minutes,
   epoch_ms(epoch_us(trade_ts) // 60000000 // m * m * 60000) AS bar_start, min(trade_date) AS bar_date,
@@ -329,17 +331,17 @@ LAGS = """SELECT k, lag_days, coalesce(lim, {other}) AS lim, stored IS NULL AS i
 FROM (SELECT {key} AS k, (DATE '2001-12-31' - max(obs_date))::INTEGER AS lag_days, true AS stored FROM {table} GROUP BY 1)
 FULL JOIN (VALUES {limits}) AS e(k, lim) USING (k)"""
 BAR_LAGS = LAGS.format(key="symbol", table="markets_raw", other="90", limits="('ALL', 90), ('STANDARD', 90), ('NOSUCH', 90)")
-MACRO_LAGS = LAGS.format(key="series_id", table="macro_raw", other="NULL", limits="('DGS10', 100), ('DGS2', 7), ('T10Y2Y', 7), "
+MACRO_LAGS = LAGS.format(key="series_id", table="(SELECT series_id, obs_date FROM macro_raw UNION ALL VALUES ('UNDATED', NULL))", other="NULL", limits="('DGS10', 100), ('DGS2', 7), ('T10Y2Y', 7), "
                          "('CPIAUCSL', 100), ('UNRATE', 100), ('FEDFUNDS', 100), ('UMCSENT', 100), ('GDP', 230), ('ABSENT', 5)")
-TOTALS = """SELECT count(lag_days) AS keys, max(lag_days) AS max_lag_days, count(*) FILTER (is_missing) AS missing,
-  count(*) FILTER (lag_days > lim) AS stale FROM ({lags})"""
+TOTALS = """SELECT count(*) FILTER (NOT is_missing) AS keys, max(lag_days) AS max_lag_days, count(*) FILTER (is_missing) AS missing,
+  count(*) FILTER (NOT is_missing AND coalesce(lag_days > lim, lag_days IS NULL)) AS stale FROM ({lags})"""
 FRESH = ("missing + stale = 0", "missing || ' keys missing, ' || stale || ' keys behind their limit.'",
          "{'keys': keys, 'max_lag_days': max_lag_days, 'missing': missing, 'stale': stale}")
 put("chk_freshness_by_key",
     checked("markets_freshness", "markets_raw", "error", *FRESH, TOTALS.format(lags=BAR_LAGS)) + "\nUNION ALL\n"
     + checked("macro_freshness", "macro_raw", "error", *FRESH, TOTALS.format(lags=MACRO_LAGS)))
 put("chk_freshness_detail", f"""SELECT k AS series_id, lag_days, lim::INTEGER AS max_lag_days,
-  CASE WHEN is_missing THEN 'missing' WHEN lag_days > lim THEN 'stale' ELSE 'current' END AS state FROM ({MACRO_LAGS})""")
+  CASE WHEN is_missing THEN 'missing' WHEN lag_days > lim OR lag_days IS NULL THEN 'stale' ELSE 'current' END AS state FROM ({MACRO_LAGS})""")
 
 
 def dup(name: str, table: str, keys: str) -> str:
@@ -361,7 +363,7 @@ WHERE obs_date >= DATE '2001-11-04' - {days} AND prev_adj_close > 0 AND split_fa
   AND abs(adj_close / prev_adj_close - 1) > 0.15"""
 put("chk_price_jump", checked(
     "markets_adj_jump", "markets_raw", "warn", "n = 0", "n || ' adjusted closes moved over 15% in a day, no split.'",
-    "{'jumps': listed}",
+    "{'n_jumps': n, 'jumps': listed}",
     f"""SELECT (SELECT count(*) FROM ({JUMPS.format(table='markets_raw', lead=40, days=30)})) AS n,
     (SELECT list(j ORDER BY j) FROM (SELECT * FROM ({JUMPS.format(table='markets_raw', lead=40, days=30)})
        ORDER BY symbol, obs_date, prev_adj_close LIMIT 20) AS j) AS listed"""))

@@ -68,19 +68,34 @@ def test_seed_rows_are_the_tracked_series(spark):
     assert indicator_seed(spark).count() == len(C.MACRO_SERIES)
 
 
-def sheet(etf, columns=C.HOLDINGS_COLUMNS, symbol=None, as_of="As of 04-Nov-2026", body=None):
+def sheet(etf, columns=C.HOLDINGS_COLUMNS, symbol=None, as_of="As of 04-Nov-2026", body=None, name="a.xlsx",
+          end=None):
     body = body if body is not None else [["Apple Inc", "AAPL", "c", "s", "1.5", "-", "10", "USD"],
                                            ["Cash", "-", None, None, "-0.1", None, "2", " "]]
     rows = [["Fund Name:", "x"], ["Ticker Symbol:", symbol or etf], ["Holdings:", as_of], [None],
-            list(columns), *body, [None, None], ["Disclaimer", "ZZZ"]]
-    return [(etf, i, cells) for i, cells in enumerate(rows)]
+            list(columns), *body, [end, None], ["Disclaimer", "ZZZ"]]
+    return [(etf, name, i, cells) for i, cells in enumerate(rows)]
+
+
+SHEETS = "etf_symbol string, sheet string, row_no int, cells array<string>"
+
+
+def test_sheets_of_one_fund_are_told_apart(spark):
+    line = lambda name: [name, name, "c", "s", "1", "-", "1", "USD"]
+    older = sheet("ONE", as_of="As of 03-Nov-2026", body=[line("AA"), line("BB")], name="old.xlsx", end="")
+    newer = sheet("ONE", body=[line("AA"), line("CC"), line("DD")], name="new.xlsx", end=" ")
+    bad = sheet("ONE", as_of="soon", name="bad.xlsx")
+    df = spark.createDataFrame(older + newer + bad, SHEETS).repartition(4)
+    out = sorted((r.as_of_date.day, r.position, r.symbol) for r in H.parse_holdings(df).collect())
+    assert out == [(3, 1, "AA"), (3, 2, "BB"), (4, 1, "AA"), (4, 2, "CC"), (4, 3, "DD")]
+    assert [tuple(r) for r in H.holdings_rejects(df).collect()] == [("ONE", "bad.xlsx", "no as-of date")]
 
 
 def test_holdings_sheet(spark):
     data = (sheet("OK") + sheet("COLS", [*C.HOLDINGS_COLUMNS[:7], "Cur"]) + sheet("FUND", symbol="ELSE")
             + sheet("DATE", as_of="soon") + sheet("EMPTY", body=[])
             + sheet("NUM", body=[["A", "A", "c", "s", "much", "-", "1", "USD"]]))
-    df = spark.createDataFrame(data, "etf_symbol string, row_no int, cells array<string>").repartition(3)
+    df = spark.createDataFrame(data, SHEETS).repartition(3)
     assert {(r.etf_symbol, r.reason) for r in H.holdings_rejects(df).collect()} == {
         ("COLS", "unexpected columns"), ("FUND", "other fund in file"), ("DATE", "no as-of date"),
         ("EMPTY", "no holding lines"), ("NUM", "bad number")}

@@ -115,12 +115,12 @@ def test_redelivery_in_a_later_run_moves_the_stamp(spark, root):
 def test_late_trades_miss_the_rebuild_until_repaired(spark, root):
     old, new = q(minute(0), 10.0), q(minute(1440), 20.0)
     ST.merge_trades(quotes(spark, old, new), f"{root}/t", f"{root}/staging/0")
-    ST.rebuild_bars(spark, spark.read.parquet(f"{root}/t"), f"{root}/b")
+    ST.rebuild_bars(spark, spark.read.parquet(f"{root}/t"), f"{root}/b", f"{root}/staging/b0")
     before = state(spark, f"{root}/b", *BAR_COLS)
     late = quotes(spark, q(minute(2), 99.0), q(minute(1441), 21.0))
     ST.merge_trades(late, f"{root}/t", f"{root}/staging/1")
     silver = spark.read.parquet(f"{root}/t")
-    ST.rebuild_bars(spark, silver, f"{root}/b")
+    ST.rebuild_bars(spark, silver, f"{root}/b", f"{root}/staging/b1")
     after = state(spark, f"{root}/b", *BAR_COLS)
     assert [b for b in after if b[2].day == 10] == [b for b in before if b[2].day == 10]
     assert [b for b in after if b[2].day == 11] != [b for b in before if b[2].day == 11]
