@@ -23,11 +23,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def latest_bar(bars: DataFrame) -> DataFrame:
-    """Newest load of each (symbol, obs_date); equal load times fall back to the values."""
-    return first_per_key(
-        bars, ["symbol", "obs_date"],
-        [F.desc("_ingested_at"), F.desc("adj_close"), F.desc("close"), F.desc("volume")],
-    )
+    """Newest load of each (symbol, obs_date); equal load times fall back to all the values."""
+    first = ["_ingested_at", "adj_close", "close", "volume"]
+    rest = sorted(c for c in bars.columns if c not in (*first, "symbol", "obs_date"))
+    return first_per_key(bars, ["symbol", "obs_date"], [F.desc(c) for c in (*first, *rest)])
 
 
 def newest_listing(universe: DataFrame) -> DataFrame:

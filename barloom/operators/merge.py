@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import differs
+from barloom.operators.dedupe import first_per_key
 
 KEPT, UPDATED, INSERTED = "kept", "updated", "inserted"
 
@@ -68,8 +69,10 @@ def action_counts(actions: DataFrame) -> DataFrame:
 
 
 def insert_only(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add rows whose key is not stored yet; stored rows never change."""
-    fresh = incoming.dropDuplicates(list(keys)).join(
+    """Add rows whose key is not stored yet; stored rows never change. Of incoming rows with one
+    key the largest by value is taken."""
+    rest = [F.desc(c) for c in incoming.columns if c not in keys]
+    fresh = first_per_key(incoming, list(keys), rest or [F.lit(1)]).join(
         target.select(*keys), list(keys), "left_anti")
     return target.unionByName(fresh)
 

@@ -134,6 +134,22 @@ def src_daily_bars(s, d):
     return L.parse_bars(landed, LOADED)
 
 
+@query
+def src_payload_rejects(s, d):
+    """Yearly bar pages, some cut off, some wrapped and some with a word for a number."""
+    item = F.struct(F.col("obs_date").cast("string").alias("date"), "open", "close", "volume")
+    kind = F.pmod(F.col("y"), F.lit(4))
+    page = F.to_json("items")
+    landed = X.company_prices_raw(s, d).groupBy("symbol", F.year("obs_date").alias("y")).agg(
+        F.collect_list(item).alias("items")).select(
+        "symbol", F.when(kind == 0, F.substring(page, 1, 20))
+        .when(kind == 1, F.concat(F.lit('{"page":'), page, F.lit("}")))
+        .when(kind == 2, F.regexp_replace(page, r'"volume":(\d+)', '"volume":"about $1"'))
+        .otherwise(page).alias("payload"))
+    return L.payload_rejects(landed, "bars", "symbol").groupBy("key", "reason").agg(
+        F.count("*").alias("n_pages"))
+
+
 @query
 def src_ticker_meta(s, d):
     raw = X.tickers_raw(s, d)

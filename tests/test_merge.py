@@ -139,3 +139,16 @@ def test_layer_path():
     assert K.layer_path("/lake", "stg_x", {}) == "/lake/silver/stg_x"
     with pytest.raises(ValueError):
         K.layer_path("/lake", "x", {"x": "platinum"})
+
+
+def test_merging_reads_only_the_slices_of_the_batch(spark, root):
+    schema = "k string, m string, v int"
+    path = f"{root}/t"
+    K.replace_slices(spark.createDataFrame([(f"k{i}", str(i % 5), i) for i in range(20)], schema), path, ["m"])
+    stored = spark.read.schema(schema).parquet(path)
+    batch = spark.createDataFrame([("k1", "1", 0), ("n", None, 0)], schema)
+    part = K.stored_slices(stored, batch, ["m"])
+    assert {r.m for r in part.collect()} == {"1"}
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.split("\n") if "PartitionFilters" in line)
+    assert "m#" in filters.split("PartitionFilters")[1].split("PushedFilters")[0]

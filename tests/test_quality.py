@@ -167,3 +167,20 @@ def test_nulls_fail_only_not_null(spark):
     assert V.test_accepted_range(df, "v", 1, 9).count() == 0
     assert V.test_accepted_range(df, "v", 1, 9, inclusive=False).count() == 2
     assert V.test_expression(df, "v < 9").count() == 1
+
+
+def test_key_without_a_date_is_stale(spark):
+    df = spark.createDataFrame([("A", None), ("B", DAY)], "symbol string, obs_date string").selectExpr(
+        "symbol", "cast(obs_date as date) as obs_date")
+    limits = Q.limits_frame(df, {"A": 5, "B": 5}, "symbol")
+    assert {r.symbol: r.state for r in Q.freshness_detail(df, "symbol", "obs_date", limits, DAY).collect()} == {
+        "A": "stale", "B": "current"}
+    assert Q.check_freshness_by_key(df, "f", "t", "symbol", "obs_date", limits, DAY).first().status == "fail"
+
+
+def test_run_that_ends_without_results_replaces_its_rows(spark, root):
+    row = spark.createDataFrame([("c", "t", "warn", "pass", "m", "{}")], ", ".join(f"{c} string" for c in Q.RESULT_COLUMNS))
+    for run in ("a", "b/1"):
+        assert R.run_all(spark, {"c": lambda: row}, run, "2024-01-01", f"{root}/ops").count() == 1
+    assert R.run_all(spark, {"c": lambda: row.limit(0)}, "a", "2024-01-01", f"{root}/ops").count() == 0
+    assert R.run_all(spark, {"c": lambda: row}, "b/1", "2024-01-01", f"{root}/ops").count() == 1

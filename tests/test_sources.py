@@ -170,3 +170,21 @@ def test_envelopes(spark):
 def test_secrets_are_masked_everywhere_in_the_text(spark):
     df = spark.createDataFrame([("a sk-ant-x1_y-z, sk-ant-q. end",), ("sk-other",), (None,)], "text string")
     assert [r.text for r in mask_secrets(df, "text").collect()] == ["a sk-ant-***, sk-ant-***. end", "sk-other", None]
+
+
+def test_payloads_lose_nothing_silently(spark):
+    rows = [("A", '[{"date":"2024-01-02","close":1,"volume":10.0},{"date":"2024-01-03","close":"2.5","volume":"7"}]'),
+            ("B", "{broken"), ("C", '{"page":[]}'), ("D", '[{"date":"2024-01-02","close":"x","volume":1.5}]'), ("E", None)]
+    landed = spark.createDataFrame(rows, "symbol string, payload string")
+    assert {(r.key, r.reason) for r in L.payload_rejects(landed, "bars", "symbol").collect()} == {
+        ("B", "unreadable"), ("C", "other shape"), ("D", "bad number"), ("E", "unreadable")}
+    bars = sorted((r.symbol, r.obs_date.day, r.close, r.volume) for r in L.parse_bars(landed).collect()
+                  if r.symbol != "C")
+    assert bars == [("A", 2, 1.0, 10), ("A", 3, 2.5, 7), ("D", 2, None, None)]
+    one = spark.createDataFrame([("T", '{"ticker":"T"}'), ("U", "{nope")], "symbol string, payload string")
+    types = spark.createDataFrame([("T", "etf"), ("U", "etf")], "symbol string, asset_type string")
+    assert [r.symbol for r in L.parse_tickers(one, types).collect()] == ["T"]
+    assert [r.key for r in L.payload_rejects(one, "ticker", "symbol").collect()] == ["U"]
+    messages = spark.createDataFrame([('{"type":"ping"}',), ('{"type":"trade"}',), ("x",)], "message string")
+    assert [r.reason for r in L.payload_rejects(messages, "trades", column="message").collect()] == [
+        "other shape", "unreadable"]

@@ -8,6 +8,7 @@ from barloom import schemas as S
 from barloom.operators.bars import BAR_KEYS, intraday_bars
 from barloom.plans.pipeline import refresh_trades
 from barloom.plans.staging import stg_trades
+from barloom.sinks import tables as K
 from barloom.sinks.tables import read_or_none
 from barloom.sources.trades import read_trade_files, stream_trade_files
 from barloom.streaming import trades as ST
@@ -162,3 +163,30 @@ def test_read_or_none(spark, root):
     assert read_or_none(spark, f"{root}/nothing") is None
     spark.range(2).write.parquet(f"{root}/t")
     assert read_or_none(spark, f"{root}/t").count() == 2
+
+
+def test_cut_swap_of_bars_is_completed_by_a_repeat(spark, root):
+    days = quotes(spark, q(minute(0), 10.0), q(minute(1440), 20.0), q(minute(2880), 30.0))
+    ST.merge_trades(days, f"{root}/t", f"{root}/staging/0")
+    silver = spark.read.parquet(f"{root}/t")
+    ST.rebuild_bars(spark, silver, f"{root}/b", f"{root}/staging/b0")
+    want = state(spark, f"{root}/b", *BAR_COLS)
+    # The swap died after some days: what is stored then must not decide where a repeat starts.
+    broken = spark.read.parquet(f"{root}/b").limit(1).withColumn("open", F.lit(-1.0))
+    broken.write.parquet(f"{root}/broken")
+    K.replace_slices(spark.read.parquet(f"{root}/broken"), f"{root}/b", ["bar_date"])
+    assert state(spark, f"{root}/b", *BAR_COLS) != want
+    ST.rebuild_bars(spark, silver, f"{root}/b", f"{root}/staging/b0")
+    assert state(spark, f"{root}/b", *BAR_COLS) == want
+
+
+def test_stored_repair_equals_a_full_build(spark, root):
+    old, new = q(minute(0), 10.0), q(minute(1440), 20.0)
+    ST.merge_trades(quotes(spark, old, new), f"{root}/t", f"{root}/staging/0")
+    ST.rebuild_bars(spark, spark.read.parquet(f"{root}/t"), f"{root}/b", f"{root}/staging/b0")
+    late = quotes(spark, q(minute(2), 99.0))
+    ST.merge_trades(late, f"{root}/t", f"{root}/staging/1")
+    silver = spark.read.parquet(f"{root}/t")
+    ST.repair_stored_bars(spark, f"{root}/b", silver, stg_trades(late), f"{root}/staging/r")
+    assert state(spark, f"{root}/b", *BAR_COLS) == sorted(
+        tuple(r) for r in intraday_bars(silver).select(*BAR_COLS).collect())
