@@ -1,4 +1,5 @@
-"""Fixed values. Every one of them is also a function argument somewhere, so a caller can override it."""
+"""Fixed values. Most are also defaults of function arguments; the windows of price health, the
+regime bands and the forward days are not, as their columns are named after them."""
 
 from __future__ import annotations
 
@@ -89,5 +90,3 @@ SOURCE_FRESHNESS = {
 # --- fixed values: secret pattern -> mask -----------------------------------------------
 SECRET_PATTERNS = ((r"sk-ant-[A-Za-z0-9_\-]+", "sk-ant-***"),)
 
-# A rank group with more members than this is ranked across many tasks.
-LARGE_GROUP_ROWS = 1_000_000

@@ -7,30 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom import constants as C
 from barloom.session import written
 
 _BUCKETS = 512
 
 
-def split_by_size(members: DataFrame, group: Sequence[str], limit: int = C.LARGE_GROUP_ROWS,
-                  ) -> tuple[DataFrame, DataFrame | None]:
-    """Split group members into those of ordinary and of large groups; None if none is large.
-
-    The check reads the membership table only, never a fact row, and brings one boolean to the
-    driver. Each fact row is then ranked on one side.
-    """
-    keys = list(group)
-    sizes = members.groupBy(*keys).agg(F.count("*").alias("_members"))
-    large = sizes.filter(F.col("_members") > limit)
-    if large.isEmpty():
-        return members, None
-    if not keys:
-        return members.limit(0), members
-    large = large.select(*keys)
-    return members.join(large, keys, "left_anti"), members.join(large, keys, "left_semi")
-
-
 def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]) -> DataFrame:
     """Rank 1 is the largest value; rows without a value get no rank and shift nobody.
 
@@ -47,7 +28,7 @@ def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]
 
 def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str],
                       buckets: int = _BUCKETS) -> DataFrame:
-    """The same ranks, exact, without ever holding a group in one task.
+    """The same ranks, exact, with a group's values spread over tasks by buckets.
 
     Equal values are first folded into (value, copies). Approximate quantiles cut each group's
     values into ordered buckets; a running sum of copies inside a bucket plus the copies in all

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom import constants as C
-from barloom.operators.ranking import rank_across_tasks, rank_in_window, split_by_size
+from barloom.operators.ranking import rank_in_window
 from barloom.operators.timeseries import forward_return, price_health, trailing_returns
 from barloom.session import written
 
@@ -19,6 +19,9 @@ _NAMES = tuple(C.HORIZONS)
 _RETURNS = [f"return_{n}" for n in _NAMES]
 _RANKS = {f"rank_{n}": f"rel_{n}" for n in _NAMES}
 
+#: rank_in_window, or rank_across_tasks for groups that outgrow a task.
+Ranking = Callable[[DataFrame, Sequence[str], Mapping[str, str]], DataFrame]
+
 
 def _excess(base_prefix: str) -> list[Column]:
     return [(F.col(f"return_{n}") - F.col(f"{base_prefix}_return_{n}")).alias(f"rel_{n}")
@@ -32,25 +35,21 @@ def _returns_as(prefix: str) -> list[Column]:
 def mart_sector_relative_strength(stg_markets: DataFrame, dim_symbol: DataFrame,
                                   benchmark: str = C.BENCHMARK,
                                   roles: Sequence[str] = C.COMPARED_ROLES,
-                                  large_group: int = C.LARGE_GROUP_ROWS) -> DataFrame:
+                                  rank: Ranking = rank_in_window) -> DataFrame:
     """Role-filtered symbols against the benchmark, ranked per day.
 
-    A day's group is at most as large as the list of compared symbols, so that list decides
-    which way the day is ranked.
+    A day's group is at most as large as the list of compared symbols. Windows run over those and
+    the benchmark only.
     """
-    returns = trailing_returns(stg_markets.select("symbol", "obs_date", "adj_close"))
-    base = returns.filter(F.col("symbol") == benchmark).select("obs_date", *_returns_as("spy"))
     compared = dim_symbol.filter(F.col("role").isin(*roles)).select("symbol")
-    few, many = split_by_size(compared, [], large_group)
-
-    def relative(symbols: DataFrame) -> DataFrame:
-        return returns.join(symbols, "symbol").join(base, "obs_date").select(
-            "obs_date", "symbol", *_RETURNS, *[f"spy_{r}" for r in _RETURNS], *_excess("spy"))
-
-    ranked = rank_in_window(relative(few), ["obs_date"], _RANKS)
-    if many is not None:
-        ranked = ranked.unionByName(rank_across_tasks(relative(many), ["obs_date"], _RANKS))
-    return ranked
+    used = stg_markets.select("symbol", "obs_date", "adj_close").join(
+        compared.withColumn("_compared", F.lit(True)), "symbol", "left").filter(
+        F.col("_compared") | (F.col("symbol") == benchmark))
+    returns = trailing_returns(used)
+    base = returns.filter(F.col("symbol") == benchmark).select("obs_date", *_returns_as("spy"))
+    relative = returns.filter("_compared").join(base, "obs_date").select(
+        "obs_date", "symbol", *_RETURNS, *[f"spy_{r}" for r in _RETURNS], *_excess("spy"))
+    return rank(relative, ["obs_date"], _RANKS)
 
 
 def _parent_rows(hierarchy: DataFrame, returns: DataFrame) -> DataFrame:
@@ -80,25 +79,24 @@ def _against_parents(edges: DataFrame, returns: DataFrame, health: DataFrame) ->
 
 def mart_drilldown_relative_strength(hierarchy: DataFrame, returns: DataFrame,
                                      market_daily: DataFrame, company_daily: DataFrame,
-                                     large_group: int = C.LARGE_GROUP_ROWS) -> DataFrame:
+                                     rank: Ranking = rank_in_window) -> DataFrame:
     """Every child against its parent, ranked within (parent, day).
 
-    The hierarchy holds the size of each group: edges per parent. Parents beyond
-    ``large_group`` children take the multi-task ranking and counting path.
+    A group holds one parent's children on one day, at most the listed symbols. For hierarchies
+    whose groups outgrow a task the caller passes ``rank_across_tasks``.
     """
     columns = ["symbol", "obs_date", "above_sma_200", "drawdown"]
     health = market_daily.select(*columns).unionByName(company_daily.select(*columns))
     group = ["parent_symbol", "obs_date"]
-    few, many = split_by_size(hierarchy, ["parent_symbol"], large_group)
-
-    # Counted after the ranks: the rows are then already grouped, which saves a sort.
-    ranked = rank_in_window(_against_parents(few, returns, health), group, _RANKS).withColumn(
-        "children_reporting", F.count("*").over(Window.partitionBy(*group)))
-    if many is not None:
-        large = written(_against_parents(many, returns, health), "large-parents")
-        reporting = large.groupBy(*group).agg(F.count("*").alias("children_reporting"))
-        ranked = ranked.unionByName(
-            rank_across_tasks(large.join(reporting, group), group, _RANKS))
+    against = _against_parents(hierarchy, returns, health)
+    if rank is rank_in_window:
+        # Counted after the ranks: the rows are then already grouped, which saves a sort.
+        ranked = rank(against, group, _RANKS).withColumn(
+            "children_reporting", F.count("*").over(Window.partitionBy(*group)))
+    else:
+        against = written(against, "against-parents")
+        reporting = against.groupBy(*group).agg(F.count("*").alias("children_reporting"))
+        ranked = rank(against.join(reporting, group), group, _RANKS)
 
     # A priced child is one that shares at least one day with its parent, which needs only the
     # keys of the returns.

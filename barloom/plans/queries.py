@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -415,10 +416,13 @@ def scd2_snapshot(s, d):
 
 @query
 def publish_with_docs(s, d):
-    path = scratch_dir(s, "docs")
-    K.with_docs(company_dim(s, d), {"symbol": "Price symbol", "sector": "Segment of the fund"}
-                ).write.parquet(path)
-    return s.read.parquet(path)
+    """A model published with its comments, read back from the catalog."""
+    table = f"company_docs_{uuid.uuid4().hex[:12]}"
+    K.publish(company_dim(s, d), table, scratch_dir(s, "docs"),
+              {"symbol": "Price symbol", "sector": "Segment of the fund"}, "Companies held by funds")
+    rows = s.table(table).agg(F.count("*")).scalar()
+    return s.sql(f"DESCRIBE TABLE {table}").select(
+        "col_name", F.coalesce("comment", F.lit("")).alias("comment"), rows.alias("n_rows"))
 
 
 @query

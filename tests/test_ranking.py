@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom import fixtures as X
-from barloom.operators.ranking import rank_across_tasks, rank_in_window, split_by_size
+from barloom.operators.ranking import rank_across_tasks, rank_in_window
 from barloom.plans import marts as G
 from barloom.plans import queries as Q
 
@@ -38,26 +38,16 @@ def test_both_ways_agree_and_match_brute_force(spark):
         assert ra == (None if a is None else 1 + sum(v > a for v in values[g]))
 
 
-def test_split_by_size(spark):
-    members = spark.createDataFrame([("p", i) for i in range(5)] + [("q", 1)], "parent string, child int")
-    few, many = split_by_size(members, ["parent"], 4)
-    assert {r.parent for r in few.collect()} == {"q"} and many.count() == 5
-    assert split_by_size(members, ["parent"], 5)[1] is None
-    few, many = split_by_size(members, [], 5)
-    assert few.count() == 0 and many.count() == 6
-
-
 @pytest.fixture(scope="module")
 def models(spark):
     return Q.stored_models(spark, SF_DIR)
 
 
-@pytest.mark.parametrize("limit", [0, 10])
-def test_drilldown_is_the_same_for_large_parents(spark, models, limit):
+def test_drilldown_is_the_same_across_tasks(spark, models):
     args = [models[m] for m in ("dim_symbol_hierarchy", "int_symbol_returns", "mart_market_daily",
                                 "mart_company_daily")]
     want = G.mart_drilldown_relative_strength(*args)
-    got = G.mart_drilldown_relative_strength(*args, large_group=limit)
+    got = G.mart_drilldown_relative_strength(*args, rank=rank_across_tasks)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
@@ -65,7 +55,7 @@ def test_drilldown_is_the_same_for_large_parents(spark, models, limit):
 def test_sector_strength_is_the_same_across_tasks(spark, models):
     args = [models["stg_markets"], models["dim_symbol"], X.BENCHMARK]
     want = G.mart_sector_relative_strength(*args)
-    got = G.mart_sector_relative_strength(*args, large_group=0)
+    got = G.mart_sector_relative_strength(*args, rank=rank_across_tasks)
     assert got.exceptAll(want).isEmpty() and got.count() == want.count()
 
 
