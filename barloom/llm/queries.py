@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from barloom.llm.decontaminate import contamination
 from barloom.llm.interpolation import lm_scores
 from barloom.llm.line_dedup import repeated_lines
+from barloom.llm.oracle import ORACLE
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
 from barloom.llm.sentencepiece_codec import encode_decode
@@ -19,8 +20,8 @@ from barloom.llm.token_counts import token_counts
 from barloom.llm.toxicity import learn_toxicity, score_toxicity
 from barloom.llm.warc import derivatives, responses
 
+__all__ = ["ORACLE", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
