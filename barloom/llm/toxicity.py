@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.columns import add_columns
 from barloom.llm.decontaminate import words_of
+from barloom.llm.storage import stored
 
 #: Labelled rows that models are fitted on, at most about.
 TRAIN_ROWS = 8000
@@ -119,6 +120,13 @@ class _Rows:
             left[self.row[np.isin(self.word, best)]] = False
         return np.array(taken[:FEATURES], dtype=np.int64)
 
+    def having(self, lexicon: frozenset[bytes]) -> np.ndarray:
+        """1 for rows with a word of the lexicon."""
+        codes = [k for k, name in enumerate(self.names) if name in lexicon]
+        out = np.zeros(self.n)
+        out[self.row[np.isin(self.word, codes)]] = 1
+        return out
+
     def matrix(self, chosen: np.ndarray) -> np.ndarray:
         column = np.full(len(self.names), -1)
         column[chosen] = np.arange(len(chosen))
@@ -161,12 +169,10 @@ def _fit(rows: _Rows, earlier: np.ndarray, y: np.ndarray, used: np.ndarray) -> t
 def fit_chain(words: pa.ListArray, toxic: np.ndarray, fold: np.ndarray) -> tuple[Chain, np.ndarray]:
     """The chain, and for each row the out-of-fold probability of each category."""
     rows = _Rows(words)
-    marked = np.array([[bool(lexicon & set(w)) for lexicon in CATEGORIES.values()]
-                       for w in words.to_pylist()]).reshape(rows.n, len(CATEGORIES))
     models: list[Model] = []
     held = np.zeros((rows.n, 0))
-    for k, lexicon in enumerate(CATEGORIES.values()):
-        y = (toxic * (marked[:, k] if lexicon else 1)).astype(float)
+    for lexicon in CATEGORIES.values():
+        y = (toxic * (rows.having(lexicon) if lexicon else 1)).astype(float)
         column = np.zeros(rows.n)
         for f in range(FOLDS):
             column[fold == f] = _fit(rows, held, y, fold != f)[1][fold == f]
@@ -193,7 +199,8 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text",
                   label: str = "toxic", rows: int = TRAIN_ROWS) -> DataFrame:
-    """(words, toxic, fold) of about ``rows`` labelled documents, chosen by a hash of the id.
+    """(words, toxic, fold) of at most ``rows`` labelled documents, chosen by a hash of the id;
+    of the words those that a model may come to use.
 
     Rows without an id or label are left out, and of texts that repeat one is taken, so that no
     copy of a text is in another fold.
@@ -209,7 +216,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     def make():
         return lambda found: ((sorted(features(t)),) for t in found)
 
-    return add_columns(texts, "text", "words array<binary>", make, keep=["toxic", "fold"]).limit(rows)
+    found = stored(add_columns(texts, "text", "words array<binary>", make, keep=["toxic", "fold"]).limit(
+        rows).withColumn("row", F.monotonically_increasing_id()), "training")
+    # Only what may be chosen is sent on: seen in enough toxic rows, and not mostly in others.
+    one = found.select("row", "toxic", F.explode("words").alias("word"))
+    useful = one.groupBy("word").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n")).where(
+        (F.col("hits") >= LEAST_ROWS) & (4 * F.col("hits") >= F.col("n"))).select("word")
+    words = one.join(useful, "word").groupBy("row").agg(F.array_sort(F.collect_list("word")).alias("words"))
+    return found.select("row", "toxic", "fold").join(words, "row", "left").select(
+        F.coalesce("words", F.array().cast("array<binary>")).alias("words"), "toxic", "fold")
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text",
