@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows handed to a batch function at a time, so that Python objects of few texts are alive at once.
-ROWS_AT_ONCE = 512
+ROWS_AT_ONCE = 128
 
 
 def carried(df: DataFrame, added: Sequence[str], keep: Sequence[str] | None) -> list[str]:
@@ -51,6 +51,7 @@ def add_columns(df: DataFrame, text: str, added: str,
                 made = [pa.array([r[k] for r in rows], _arrow(f.dataType))
                         for k, f in enumerate(new.fields)]
                 yield pa.RecordBatch.from_arrays(batch.columns[1:] + made, names=schema.fieldNames())
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return frame.mapInArrow(run, schema)
 

@@ -20,11 +20,11 @@ from pyspark.sql.types import StructType
 from pyspark.taskcontext import TaskContext
 
 from barloom.llm.columns import with_package
-from barloom.llm.storage import stored
+from barloom.llm.storage import stored, workspace
 
 WINDOW = 10
 #: Words of a segment, beyond which the next document begins another one.
-SEGMENT_WORDS = 6_000_000
+SEGMENT_WORDS = 2_500_000
 #: Free positions between two documents. A near match cannot reach over them.
 GAP = 64
 #: Bytes of test phrases that are searched for in one pass over the index.
@@ -113,7 +113,7 @@ def _places(first: int, width: int, steps: bytes) -> np.ndarray:
 
 
 def build_index(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index of ``docs``: a row per segment and word (term, n postings, the first, and
+    """The index of ``docs``, to be stored before it is used: a row per segment and word (term, n postings, the first, and
     the steps from one to the next in ``width`` bytes each), and a row per document (row_id,
     start, n_words; its term is null).
 
@@ -139,9 +139,10 @@ def build_index(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
                     segment = _Segment((part << 32) + count)
         if segment.docs:
             yield from segment.rows(arrow)
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
-    return stored(with_package(docs).select(F.col(row_id).alias("row_id"), F.col(text).alias("text"))
-                  .mapInArrow(run, schema), "index")
+    return with_package(docs).select(F.col(row_id).alias("row_id"), F.col(text).alias("text")).mapInArrow(
+        run, schema)
 
 
 def phrases(items: DataFrame, item_id: str = "item_id", text: str = "text",
@@ -210,11 +211,11 @@ def find_phrases(index: DataFrame, tests: DataFrame, slop: int = 0) -> DataFrame
     lie within ``slop`` words of their places (``slop`` < 64), for ``slop`` > 0.
 
     Phrases are searched for in blocks of about ``BLOCK_BYTES``, each in one pass over the
-    postings of its own words, so what a task is sent does not grow with the benchmark.
+    postings of its own words, so what a task is sent does not grow with the benchmark. ``index``
+    and ``tests`` are read several times and should be stored tables.
     """
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must lie in 0..{GAP - 1}")
-    tests = stored(tests, "phrases")
     size = tests.agg(F.coalesce(F.sum(F.length("phrase") + F.length("item") + 100), F.lit(0))).first()[0]
     blocks = int(size // BLOCK_BYTES) + 1
     found = None
@@ -296,7 +297,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
     never found, and one without an id is not asked for. Repeated rows each give a row, empty
     tables give an empty result or no hit, and other columns are not read.
     """
-    found = find_phrases(build_index(docs, id_column, text), phrases(items, item_id, item_text, window), slop)
+    with workspace() as put:
+        index = put(build_index(docs, id_column, text), "index")
+        tests = put(phrases(items, item_id, item_text, window), "phrases")
+        found = stored(find_phrases(index, tests, slop), "found")
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("end")),
                         lambda a, s: F.struct(
                             (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["first"], a["end"])))

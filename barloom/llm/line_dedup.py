@@ -2,7 +2,7 @@
 
 A line is the set of its words. Words are ordered from rare to frequent, so that two lines of
 the wanted similarity must share a word among their first few (the prefix). Pairs that share
-one are cut by length, by the place of the shared word, and by a 64-bit parity signature, before
+one are cut by length, by the place of the shared word, and by parity signatures, before
 the Jaccard similarity is taken from the lines themselves.
 
 Lines of equal sets are one class with its first line in front, so copies are never paired.
@@ -13,45 +13,55 @@ meet all earlier lines that share a word with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.storage import stored
+from barloom.llm.storage import stored, workspace
+
+Put = Callable[[DataFrame, str], DataFrame]
 
 #: Least similarity, as a fraction in whole numbers.
 SIMILAR, OF = 4, 5
 #: Counters of the frequency sketch. Words that share one only make a prefix less rare.
-SKETCH_BITS = 18
+SKETCH_BITS = 16
 #: Earliest lines of a word that every line is held against first.
-PIVOTS = 12
-WHITE = r"[ \t-\r]+"
+PIVOTS = 4
+#: Parts of the words that are joined one after the other, so that the postings of one part only
+#: are on disk at a time.
+PARTS = 4
+WHITE = "\t\n\v\f\r"
 
 
-def _words(line: Column | str) -> Column:
-    return F.array_remove(F.split(F.lower(line), WHITE), "")
+def _words(text: Column | str) -> Column:
+    blank = F.lower(text)
+    for c in WHITE:  # a single blank is the cheapest to split at
+        blank = F.replace(blank, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(blank, " "), "")
 
 
 def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
 
 
-def rarity(docs: DataFrame, text: str = "text") -> bytes:
-    """For each counter of the sketch one byte: the frequency of its words in steps of half an
-    octave, at most 63. Its size is fixed."""
+def rarity(docs: DataFrame, text: str = "text") -> Column:
+    """For each counter of the sketch the frequency of its words in steps of half an octave, at
+    most 63: an array of fixed size."""
     h = docs.select(F.explode(_words(text)).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
-    steps = bytearray(1 << SKETCH_BITS)
+    steps = ["0"] * (1 << SKETCH_BITS)
     counted = h.groupBy("b").agg(F.least(F.floor(2 * F.log2(F.count("*"))), F.lit(63)).alias("step"))
     for b, step in counted.toPandas().itertuples(index=False):  # at most 2**SKETCH_BITS rows
-        steps[b] = step
-    return bytes(steps)
+        steps[b] = str(step)
+    return F.split(F.lit(",".join(steps)), ",").cast("array<int>")  # folded to a constant
 
 
-def tokens(line: Column, steps: bytes) -> Column:
+def tokens(line: Column, steps: Column) -> Column:
     """The line's different words as numbers, rarest first: a step of frequency in front of 57
     bits of the word's hash."""
     def token(h: Column) -> Column:
-        step = F.ascii(F.substring(F.lit(steps), (_bucket(h) + 1).cast("int"), F.lit(1)).cast("string"))
-        return F.shiftleft(step.cast("bigint"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+        step = F.get(steps, _bucket(h).cast("int")).cast("bigint")
+        return F.shiftleft(step, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
     return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), token)))
 
@@ -61,43 +71,59 @@ def _least_overlap(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * SIMILAR / (SIMILAR + OF))
 
 
-def line_table(docs: DataFrame, id_column: str, text: str, steps: bytes) -> DataFrame:
+def line_table(docs: DataFrame, id_column: str, text: str, steps: Column) -> DataFrame:
     """One row per line with a word: id, line (from 0), n words, the set's two hashes, the parity
     signature, and the prefix."""
     lines = docs.where(F.col(id_column).isNotNull()).select(
-        F.col(id_column).alias("id"), F.posexplode(F.split(text, "\n")).alias("line", "t"))
+        F.col(id_column).alias("id"), F.posexplode(F.split(text, "\n")).alias("line", "t")
+    ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
     made = lines.select("id", "line", tokens(F.col("t"), steps).alias("tokens"))
     n = F.size("tokens")
-    parity = F.expr("aggregate(tokens, 0L, (s, x) -> s ^ shiftleft(1L, int(x & 63)))")
-    return stored(made.where(n > 0).select(
+    # 128 places that each token of the set turns over; two sets differ in at least as many words
+    # as in places.
+    parity = F.expr("aggregate(tokens, 0L, (s, x) -> s ^ shiftleft(1L - (x >> 6 & 1L), int(x & 63)))")
+    more = F.expr("aggregate(tokens, 0L, (s, x) -> s ^ shiftleft(x >> 6 & 1L, int(x & 63)))")
+    return made.select(
         "id", "line", n.alias("n"), F.xxhash64("tokens").alias("k1"),
         F.xxhash64(F.lit(1), "tokens").alias("k2"), parity.alias("parity"),
-        F.slice("tokens", F.lit(1), n - F.ceil(n * SIMILAR / OF).cast("int") + 1).alias("prefix")), "lines")
+        more.alias("more"),
+        F.slice("tokens", F.lit(1), n - F.ceil(n * SIMILAR / OF).cast("int") + 1).alias("prefix"))
 
 
-def _postings(firsts: DataFrame) -> DataFrame:
+def _postings(firsts: DataFrame, part: int) -> DataFrame:
     # A set of fewer words than SIMILAR is similar to none but itself.
     return firsts.where(F.col("n") >= SIMILAR).select(
-        "id", "line", "n", "parity", F.posexplode("prefix").alias("place", "token"))
+        "id", "line", "n", "parity", "more", F.posexplode("prefix").alias("place", "token")).where(
+        F.pmod("token", F.lit(PARTS)) == part)
+
+
+def _by_parts(make: Callable[[int], DataFrame], put: Put) -> DataFrame:
+    found = None
+    for part in range(PARTS):
+        pairs = put(make(part), "candidates")
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.distinct()
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of a line (id, line) and an earlier one (of_id, of_line) that may be similar."""
-    r = right.select("token", *(F.col(c).alias(f"of_{c}") for c in ("id", "line", "n", "parity", "place")))
+    r = right.select("token", *(F.col(c).alias(f"of_{c}") for c in ("id", "line", "n", "parity", "more", "place")))
     need = _least_overlap(F.col("n"), F.col("of_n"))
     reach = 1 + F.least("place", "of_place") + F.least(
         F.col("n") - F.col("place"), F.col("of_n") - F.col("of_place")) - 1
-    differ = F.bit_count(F.col("parity").bitwiseXOR(F.col("of_parity")))
+    differ = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"of_{c}")))
+    apart = F.col("n") + F.col("of_n") - 2 * need
     return left.join(r, "token").where(
         (F.struct("of_id", "of_line") < F.struct("id", "line"))
         & (F.least("n", "of_n") * OF >= F.greatest("n", "of_n") * SIMILAR)
-        & (reach >= need) & (differ <= F.col("n") + F.col("of_n") - 2 * need)
+        & (reach >= need) & (differ("parity") + differ("more") <= apart)
     ).select("id", "line", "of_id", "of_line").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, steps: bytes) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, steps: Column,
+              put: Put) -> DataFrame:
     """The earliest similar line for each line that has one."""
-    pairs = stored(pairs, "candidates")
+    pairs = put(pairs, "pairs")
     used = pairs.select("id", "line").unionByName(pairs.select(
         F.col("of_id").alias("id"), F.col("of_line").alias("line"))).distinct()
     per_doc = used.groupBy("id").agg(F.collect_list("line").alias("used"))  # at most a text's lines
@@ -106,7 +132,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, step
         "id", F.explode("used").alias("line"), F.split("t", "\n").alias("all")).where(
         F.col("line") < F.size("all")).select(
         "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens"))
-    fetched = stored(fetched, "fetched")
+    fetched = put(fetched, "fetched")
     of = fetched.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"),
                         F.col("tokens").alias("of_tokens"))
     shared = F.size(F.array_intersect("tokens", "of_tokens"))
@@ -130,24 +156,38 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     part. Rows with one id are taken as one document whose lines coincide. An empty table gives
     no rows; other columns are not read.
     """
+    with workspace() as put:
+        return stored(_repeated(docs, id_column, text, put), "repeated")
+
+
+def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame:
     steps = rarity(docs, text)
-    table = line_table(docs, id_column, text, steps)
+    table = put(line_table(docs, id_column, text, steps), "lines")
     place = Window.partitionBy("k1", "k2").orderBy("id", "line")
-    firsts = stored(table.withColumn("__r", F.row_number().over(place)).where("__r = 1").drop("__r"), "firsts")
+    firsts = put(table.withColumn("__r", F.row_number().over(place)).where("__r = 1").drop("__r"), "firsts")
     copies = table.select("id", "line", "k1", "k2").join(
         firsts.select("k1", "k2", F.col("id").alias("of_id"), F.col("line").alias("of_line")), ["k1", "k2"]
     ).where((F.col("id") != F.col("of_id")) | (F.col("line") != F.col("of_line"))).select(
         "id", "line", "of_id", "of_line", F.lit(1.0).alias("jaccard"))
-    postings = stored(_postings(firsts), "postings")
-    early = Window.partitionBy("token").orderBy("id", "line")
-    pivots = postings.withColumn("__r", F.row_number().over(early)).where(F.col("__r") <= PIVOTS).drop("__r")
-    settled = stored(_verified(_candidates(postings, pivots), docs, id_column, text, steps), "settled")
-    # What is left meets the later holders of words that have more than PIVOTS of them.
-    crowded = postings.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > PIVOTS).select("token")
-    rest = postings.join(crowded, "token", "left_semi")
-    open_ones = rest.join(settled.select("id", "line"), ["id", "line"], "left_anti")
-    late = _verified(_candidates(open_ones, rest), docs, id_column, text, steps)
-    return copies.unionByName(settled).unionByName(late).distinct()
+
+    def early(part: int) -> DataFrame:
+        postings = _postings(firsts, part)
+        order = Window.partitionBy("token").orderBy("id", "line")
+        pivots = postings.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= PIVOTS)
+        return _candidates(postings, pivots)
+
+    settled = put(_verified(_by_parts(early, put), docs, id_column, text, steps, put), "settled")
+    open_ones = firsts.join(settled.select("id", "line"), ["id", "line"], "left_anti")
+
+    def late(part: int) -> DataFrame:
+        # What is left meets the later holders of words that have more than PIVOTS of them.
+        postings = _postings(firsts, part)
+        crowded = postings.groupBy("token").agg(F.count("*").alias("m")).where(
+            F.col("m") > PIVOTS).select("token")
+        return _candidates(_postings(open_ones, part).join(crowded, "token", "left_semi"), postings)
+
+    late_ones = _verified(_by_parts(late, put), docs, id_column, text, steps, put)
+    return copies.unionByName(settled).unionByName(late_ones).distinct()
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

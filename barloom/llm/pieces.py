@@ -62,7 +62,7 @@ def pieces(model_file: str) -> Pieces:
 class Memo(dict):
     """Results by chunk. It is emptied when full, so memory stays bounded."""
 
-    LIMIT, LONGEST = 300_000, 48
+    LIMIT, LONGEST = 120_000, 48
 
     def __init__(self, compute):
         super().__init__()

@@ -75,7 +75,7 @@ class Encoder:
         found = self.verdicts.get(key)
         if found is None:
             a = self.known[left]
-            if len(self.verdicts) >= 400_000:
+            if len(self.verdicts) >= 150_000:
                 self.verdicts.clear()
             found = self.verdicts[key] = self._merged(a + self.known[right], len(a))
         return found

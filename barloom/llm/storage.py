@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 
-from barloom.session import written
+from barloom.session import scratch_dir
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def _write(df: DataFrame, label: str) -> tuple[str, DataFrame]:
+    spark, conf = df.sparkSession, df.sparkSession.conf
+    before, path = conf.get(CLEANUP, None), scratch_dir(df.sparkSession, label)
+    try:
+        conf.set(CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table under ``spark.checkpoint.dir``, read back.
 
     Later steps read the table, so the shuffle files behind it are given up as soon as it is
     there. A lost executor costs a repeat of tasks, never of the steps before.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
+    return _write(df, label)[1]
+
+
+@contextmanager
+def workspace() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function like ``stored`` whose tables are emptied at the end of the block. What is to
+    outlive the block must be stored with ``stored`` inside it."""
+    paths: list[str] = []
+    spark = None
+
+    def put(df: DataFrame, label: str) -> DataFrame:
+        nonlocal spark
+        spark = df.sparkSession
+        path, table = _write(df, label)
+        paths.append(path)
+        return table
+
     try:
-        conf.set(CLEANUP, "true")
-        return written(df, label)
+        yield put
     finally:
-        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+        for path in paths:
+            spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(path)

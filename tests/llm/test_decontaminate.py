@@ -4,6 +4,7 @@ import random
 import re
 
 from barloom.llm import decontaminate as D
+from barloom.llm.storage import stored
 from tests.llm.data import frame, lower, rows
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -69,7 +70,7 @@ def test_near_matches(spark):
 
 def test_postings_are_stored_whole(spark):
     docs = frame(spark, [(1, "b a b " + "z " * 400 + "b"), (2, "b")])
-    index = D.build_index(docs.coalesce(1), "doc_id")
+    index = stored(D.build_index(docs.coalesce(1), "doc_id"), "index")
     row = index.where("term = binary('b')").first()
     places = D._places(row.first, row.width, bytes(row.steps)).tolist()
     assert row.n == len(places) == 4 and places[1] - places[0] == 2

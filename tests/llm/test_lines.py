@@ -3,6 +3,7 @@
 import random
 
 from barloom.llm import line_dedup as L
+from barloom.llm.storage import stored
 from tests.llm.data import frame, rows, split_white
 
 
@@ -72,8 +73,15 @@ def test_large_group_of_similar_lines(spark):
 
 
 def test_no_python_in_the_plan(spark):
-    plan = L.repeated_lines(frame(spark, corpus()))._jdf.queryExecution().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d")], "doc_id bigint, text string")
+    seen = []
+
+    def put(df, label):
+        seen.append(df._jdf.queryExecution().toString())
+        return stored(df, label)
+
+    L._repeated(docs, "doc_id", "text", put).collect()
+    assert len(seen) > 5 and not any(x in plan for plan in seen for x in ("Python", "Arrow", "Pandas"))
 
 
 def test_long_lines_and_repeated_rows(spark):
