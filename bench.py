@@ -24,7 +24,9 @@ from barloom.plans import marts as G
 from barloom.plans import staging as P
 from barloom.quality import checks as Q
 from barloom.seeds import indicator_seed
-from barloom.session import build_session, written
+from barloom.session import build_session, scratch_dir, written
+from barloom.sinks.tables import replace_slices, upsert_slices
+from barloom.streaming.trades import rebuild_bars
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -61,6 +63,24 @@ def main() -> None:
         .otherwise(F.col("adj_close"))), "incoming")
     history = written(first_snapshot(_listings(bronze), "2001-07-01"), "history")
 
+    months = lambda df: df.withColumn("obs_month", F.date_format("obs_date", "yyyy-MM"))
+    sliced = scratch_dir(spark, "sliced")
+    replace_slices(months(bars.filter(F.col("obs_date") <= "2001-06-30")), sliced, ["obs_month"])
+
+    def merged():
+        """A batch of two months merged into the stored table; the rest of it is not read."""
+        upsert_slices(spark, sliced, months(incoming.filter(F.col("obs_date").between("2001-05-01", "2001-06-30"))),
+                      ["symbol", "obs_date"], ["obs_month"], scratch_dir(spark, "staging"), C.BAR_CHANGE_COLS)
+        return spark.range(0)
+
+    bars_path = scratch_dir(spark, "bars-by-day")
+    replace_slices(intraday_bars(stg_t), bars_path, ["bar_date"])
+
+    def rebuilt():
+        """Bars of the newest day, swapped in."""
+        rebuild_bars(spark, stg_t, bars_path, scratch_dir(spark, "staging"))
+        return spark.range(0)
+
     queries = {
         "stg_markets": lambda: P.stg_markets(bronze["markets_raw"]),
         "stg_company_prices": lambda: P.stg_company_prices(bronze["company_prices_raw"]),
@@ -80,6 +100,8 @@ def main() -> None:
         "upsert_changed": lambda: upsert_actions(
             bars.filter(F.col("obs_date") <= "2001-06-30"), incoming, ["symbol", "obs_date"],
             C.BAR_CHANGE_COLS),
+        "upsert_slices": merged,
+        "rebuild_bars": rebuilt,
         "scd2_snapshot": lambda: scd2(
             history, _listings(bronze).withColumn("end_date", F.current_date()), "symbol",
             C.TICKER_CHECK_COLS, "2001-08-01"),
