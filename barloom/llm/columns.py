@@ -58,5 +58,5 @@ def add_columns(df: DataFrame, text: str, added: str,
 
 def _arrow(kind):
     return {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
-            "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
+            "boolean": pa.bool_(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()),
             "array<string>": pa.list_(pa.string()), "array<binary>": pa.list_(pa.binary())}[kind.simpleString()]
