@@ -36,13 +36,20 @@ class CharClass:
 
 
 CLASSES = (
-    CharClass("entropy_hex", b"0123456789abcdefABCDEF", 24, 3.0, True),
+    CharClass("entropy_hex", b"0123456789abcdefABCDEF", 20, 3.0, True),
     CharClass("entropy_base64", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=",
-              24, 4.0, True),
+              20, 3.75, True),
+    CharClass("entropy_base32", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 20, 3.4, True),
+    CharClass("entropy_lower", b"abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.4, True),
 )
-#: Spans that hold one of these are examples or addresses, not secrets.
-ALLOW = re.compile(r"example|sample|dummy|placeholder|changeme|test|xxxx|0{8}|1234567|abcdef|/.*/.*/|-.*-.*-.*-",
-                   re.IGNORECASE)
+#: Text of examples. It does not count in a window, whatever stands beside it.
+ALLOW = re.compile(r"example|sample|dummy|placeholder|changeme|test|x{4,}|0{8,}", re.IGNORECASE)
+#: Least length of neighbours in the alphabet or of counted digits, which are allowed too.
+SEQUENCE_LEAST = 6
+UUID = re.compile(r"(?<![0-9a-f])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-f])", re.IGNORECASE)
+PIECE = re.compile(r"[A-Za-z0-9]+")
+#: Part of an address or a name: words in one case or in humps, with a number or alone.
+WORD = re.compile(r"[a-z]{0,24}(?:[A-Z][a-z]{2,23}){0,9}\d{0,4}|[A-Z]{1,16}\d{0,4}|\d{1,10}|[A-Za-z]\d{1,2}[a-z]?")
 KINDS = ("assign", "access", "hex", *(c.name for c in CLASSES))
 
 
@@ -111,9 +118,62 @@ def suspicious(candidate: str, kind: CharClass) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def addresses(candidate: str) -> Iterator[tuple[int, int]]:
+    """Parts that are addresses or names: a UUID, two or more words beside each other with one
+    of three letters among them, or one word of eight or more characters."""
+    for m in UUID.finditer(candidate):
+        yield m.span()
+    start = end = count = -1
+    longest = 0
+
+    def is_address():
+        return count >= 2 and longest >= 3 or count == 1 and end - start >= 8
+
+    for m in PIECE.finditer(candidate):
+        if WORD.fullmatch(m[0]):
+            if count < 1:
+                start, count, longest = m.start(), 0, 0
+            count += 1
+            end = m.end()
+            longest = max(longest, sum(map(str.isalpha, m[0])))
+        else:
+            if is_address():
+                yield start, end
+            count = 0
+    if is_address():
+        yield start, end
+
+
+def sequences(candidate: str) -> Iterator[tuple[int, int]]:
+    """Parts in which each character is the one after the character before, as in abcdef."""
+    low, start = candidate.lower(), 0
+    for k in range(1, len(low) + 1):
+        if k == len(low) or ord(low[k]) != ord(low[k - 1]) + 1:
+            if k - start >= SEQUENCE_LEAST:
+                yield start, k
+            start = k
+
+
+def secret_parts(candidate: str, kind: CharClass) -> Iterator[tuple[int, int]]:
+    """Suspicious parts of a run: cut at addresses, and without counting examples."""
+    cuts = sorted(addresses(candidate))
+    at = 0
+    for start, end in [*cuts, (len(candidate), len(candidate))]:
+        part = candidate[at:start] if start - at >= kind.window else ""
+        gone = [*(m.span() for m in ALLOW.finditer(part)), *sequences(part)] if part else []
+        if not gone:
+            yield from ((at + a, at + b) for a, b in suspicious(part, kind))
+        else:
+            out = {p for a, b in gone for p in range(a, b)}
+            stay = [p for p in range(len(part)) if p not in out]
+            for a, b in suspicious("".join(part[p] for p in stay), kind):
+                yield at + stay[a], at + stay[b - 1] + 1
+        at = max(at, end)
+
+
 def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
-    """(base spans, added spans). An added span does not lie within a base span, holds nothing
-    of the allow-list, and of two with the same place the first class's is taken."""
+    """(base spans, added spans). An added span does not lie within a base span or within
+    another added one; of two with the same place the first class's is taken."""
     if not text:
         return [], []
     data = text.encode()
@@ -122,10 +182,11 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     for kind in CLASSES:
         for start, end in runs(text, data, kind.chars, kind.window):
             candidate = text[start:end]
-            for a, b in suspicious(candidate, kind):
+            for a, b in secret_parts(candidate, kind):
                 a, b = start + a, start + b
-                if ALLOW.search(text[a:b]) or any(s <= a and b <= e for _, s, e in base + added):
+                if any(s <= a and b <= e for _, s, e in base + added):
                     continue
+                added = [x for x in added if not (a <= x[1] and x[2] <= b)]
                 added.append((kind.name, a, b))
     return base, added
 

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 
 from barloom.llm.quality_rules import BASE_RULES, RULES, Measures, Rule, cascade, rule_figures
 from barloom.llm.secret_scans import CLASSES, CharClass, find_secrets, scan_secrets, suspicious
@@ -103,3 +105,30 @@ def test_window_entropy_is_kept_exactly():
     want = {p for k in range(len(text) - 7) if entropy(text[k:k + 8]) > 2.5 for p in range(k, k + 8)}
     assert {p for a, b in suspicious(text, kind) for p in range(a, b)} == want
     assert all(c.window <= 64 for c in CLASSES)
+
+
+def test_planted_secrets_of_any_length():
+    rnd = random.Random(6)
+    alnum = string.ascii_letters + string.digits
+    kinds = {"base64": alnum + "+/", "base64url": alnum + "-_", "base32": string.ascii_uppercase + "234567",
+             "lower": string.ascii_lowercase + string.digits}
+    for chars in kinds.values():
+        for length in (20, 22, 24, 40, 88, 256, 1600):
+            found = 0
+            for _ in range(60):
+                secret = "".join(rnd.choice(chars) for _ in range(length))
+                _, added = find_secrets(f"see {secret} there")
+                found += sum(b - a for _, a, b in added) >= length / 2
+            assert found >= (51 if length < 24 else 55 if length < 40 else 58), (chars, length, found)
+
+
+def test_allowed_text_hides_only_itself():
+    secret = "Zk3Qp9Lw7Xs2Vb8Nt5Rc1Yh6Md4Gf0Ja"
+    for text in (f"com/reset/v1/{secret}", f"test{secret}", f"{secret}abcdef", f"{secret}/a/b/c/d",
+                 f"my-new-long-name-{secret}", f"{secret[:16]}example{secret[16:]}"):
+        _, added = find_secrets(text)
+        assert any(a <= text.find(secret[:16]) + 1 and secret[16:] in text[a:b] for _, a, b in added), text
+    for text in ("https://a.b/some/long/path/with/many/parts/1234567", "123e4567-e89b-12d3-a456-426614174000",
+                 "my-long-post-about-2024-things", "src/UserProfileCard/index2/getElementById3",
+                 "abcdefghijklmnopqrstuvwxyz0123456789", "exampleexample1234567testplaceholder"):
+        assert find_secrets(text)[1] == [], text
