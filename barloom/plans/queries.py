@@ -151,6 +151,42 @@ def src_payload_rejects(s, d):
         F.count("*").alias("n_pages"))
 
 
+@query
+def src_payload_rejects_kinds(s, d):
+    """Pages of all five kinds: of every four some are cut off, wrapped or hold words for numbers."""
+    year = F.year("obs_date")
+    word = lambda n, text: F.when(F.pmod(n, F.lit(4)) == 2, F.concat(F.lit("about "), text)).otherwise(text)
+    date = F.col("obs_date").cast("string").alias("date")
+    value = F.coalesce(F.col("value").cast("string"), F.lit("."))
+    pages = {
+        "macro": X.macro_raw(s, d).groupBy("series_id", year.alias("n")).agg(F.collect_list(
+            F.struct(date, word(year, value).alias("value"))).alias("observations")).select(
+            "n", F.to_json(F.struct("observations")).alias("payload")),
+        "bars": X.company_prices_raw(s, d).groupBy("symbol", year.alias("n")).agg(F.collect_list(
+            F.struct(date, word(year, F.col("volume").cast("string")).alias("volume"))).alias("items")).select(
+            "n", F.to_json("items").alias("payload")),
+        "news": X.news_raw(s, d).select(F.length("article_id").alias("n"), F.to_json(F.array(
+            F.struct(F.col("article_id").alias("id"), "title"))).alias("payload")),
+        "trades": X.quotes_raw(s, d).select(F.col("trade_time").alias("n"), F.to_json(F.struct(
+            F.lit("trade").alias("type"), F.array(F.struct(
+                F.col("symbol").alias("s"), F.col("price").cast("string").alias("p"),
+                word(F.col("trade_time"), F.col("trade_time").cast("string")).alias("t"))).alias("data"))
+        ).alias("payload")),
+        "ticker": X.tickers_raw(s, d).select(F.length("symbol").alias("n"), F.to_json(
+            F.struct(F.col("symbol").alias("ticker"), "name")).alias("payload")),
+    }
+    found = None
+    for kind, frame in pages.items():
+        n = F.pmod("n", F.lit(4))
+        landed = frame.select(F.when(n == 0, F.substring("payload", 1, 10))
+                              .when(n == 1, F.concat(F.lit('{"page":'), "payload", F.lit("}")))
+                              .otherwise(F.col("payload")).alias("payload"))
+        counted = L.payload_rejects(landed, kind).groupBy(F.lit(kind).alias("kind"), "reason").agg(
+            F.count("*").alias("n_pages"))
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 @query
 def src_ticker_meta(s, d):
     raw = X.tickers_raw(s, d)

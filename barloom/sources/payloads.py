@@ -28,47 +28,64 @@ def read_payloads(spark: SparkSession, path: str, *keys: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-#: Where each kind of document holds its list, and which of its fields are numbers.
-BAR_NUMBERS = ("open", "high", "low", "close", "volume", "adjOpen", "adjHigh", "adjLow", "adjClose",
-               "adjVolume", "divCash", "splitFactor")
-SHAPES = {"macro": ("$.observations", ()), "bars": ("$", BAR_NUMBERS), "news": ("$", ()),
-          "trades": ("$.data", ("p", "v", "t")), "ticker": (None, ())}
+def _numbers(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields if isinstance(f.dataType, T.NumericType)}
+
+
+#: Where each kind of document holds its list, and which of its fields are numbers of which type.
+SHAPES = {"macro": ("$.observations", {"value": "double"}),
+          "bars": ("$", _numbers(S.PAYLOAD_BARS.elementType)), "news": ("$", {}),
+          "trades": ("$.data", _numbers(S.PAYLOAD_TRADES["data"].dataType.elementType)), "ticker": (None, {})}
 
 
 def payload_rejects(landed: DataFrame, kind: str, key: str | None = None, column: str = "payload") -> DataFrame:
     """(key, reason, payload) of landed documents the parsers cannot use whole.
 
     "unreadable" is no JSON, "other shape" lacks the list the kind has (a ticker document: its
-    ticker), "bad number" holds a number field that is none. Parsers drop the first two and read
-    a bad number as null, so nothing goes without a row here.
+    ticker; a trade envelope with a list: its type), "bad number" holds a number field that the
+    parser reads as null though it has a value (a macro value: other than the missing marker).
+    Parsers drop the first two and read a bad number as null, so nothing goes without a row here.
     """
     path, numbers = SHAPES[kind]
     doc = F.try_parse_json(column)
     held = (F.try_variant_get(doc, "$.ticker", "string") if path is None
             else F.try_variant_get(doc, path, "array<variant>"))
-    # An envelope of another type than trade has no list and is no reject.
-    needed = held.isNull()
+    needed, used = held.isNull(), held.isNotNull()
     if kind == "trades":
-        needed &= F.coalesce(F.try_variant_get(doc, "$.type", "string"), F.lit("trade")) == "trade"
+        # An envelope of another type than trade has no list and is no reject.
+        named = F.try_variant_get(doc, "$.type", "string")
+        needed = named.isNull() | (needed & (named == "trade"))
+        used &= named == "trade"
     reason = F.when(doc.isNull(), "unreadable").when(needed, "other shape")
     if numbers:
-        texts = lambda item: F.array(*[F.try_variant_get(item, f"$.{n}", "string") for n in numbers])
-        bad = F.exists(held, lambda item: F.exists(
-            texts(item), lambda t: t.isNotNull() & t.try_cast("double").isNull()))
-        reason = reason.when(bad, "bad number")
+        def bad(item: Column) -> Column:
+            found = F.lit(False)
+            for name, type_ in numbers.items():
+                value = F.try_variant_get(item, f"$.{name}", "variant")
+                text = F.try_variant_get(item, f"$.{name}", "string")
+                wrong = value.isNotNull() & ~F.is_variant_null(value) & number(text, type_).isNull()
+                if kind == "macro":
+                    wrong &= F.coalesce(text != C.MISSING_MARKER, F.lit(True))
+                found |= F.coalesce(wrong, F.lit(False))
+            return found
+
+        reason = reason.when(used & F.exists(held, bad), "bad number")
     name = F.lit(None).cast("string") if key is None else F.col(key)
     return landed.select(name.alias("key"), reason.alias("reason"), F.col(column).alias("payload")).filter(
         F.col("reason").isNotNull())
 
 
-def _number(name: str, kind: str) -> Column:
+def number(text: Column, kind: str) -> Column:
     """A number however it is spelled; whole numbers may come with a fraction of zero."""
-    text = F.col(name)
     if kind == "double":
-        return text.try_cast("double").alias(name)
+        return text.try_cast("double")
     value = text.try_cast("double")
     whole = F.when(value == F.floor(value), text.try_cast("decimal(38,6)").try_cast(kind))
-    return F.coalesce(text.try_cast(kind), whole).alias(name)
+    return F.coalesce(text.try_cast(kind), whole)
+
+
+def _number(name: str, kind: str) -> Column:
+    return number(F.col(name), kind).alias(name)
 
 
 def _texts(schema: T.ArrayType) -> T.ArrayType:

@@ -30,6 +30,14 @@ put("src_news", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM news_raw")
 put("src_payload_rejects", """
 SELECT symbol AS key, ['unreadable', 'other shape', 'bad number'][1 + y % 4] AS reason, count(*) AS n_pages
 FROM (SELECT DISTINCT symbol, year(obs_date) AS y FROM company_prices_raw) WHERE y % 4 < 3 GROUP BY ALL""")
+put("src_payload_rejects_kinds", """
+SELECT kind, ['unreadable', 'other shape', 'bad number'][1 + n % 4] AS reason, count(*) AS n_pages FROM (
+  SELECT DISTINCT 'macro' AS kind, series_id AS key, year(obs_date) AS n FROM macro_raw
+  UNION ALL SELECT DISTINCT 'bars', symbol, year(obs_date) FROM company_prices_raw
+  UNION ALL SELECT 'news', NULL, length(article_id) FROM news_raw
+  UNION ALL SELECT 'trades', NULL, trade_time FROM quotes_raw
+  UNION ALL SELECT 'ticker', NULL, length(symbol) FROM tickers_raw)
+WHERE n % 4 < 2 OR n % 4 = 2 AND kind IN ('macro', 'bars', 'trades') GROUP BY ALL""")
 put("src_holdings", f"""SELECT *, {STAMP} AS _ingested_at FROM (
   SELECT * REPLACE (CASE WHEN ticker = '-' THEN NULL ELSE symbol END AS symbol)
   FROM sheet_lines WHERE etf_symbol <> 'SMALL')""")

@@ -188,3 +188,21 @@ def test_payloads_lose_nothing_silently(spark):
     messages = spark.createDataFrame([('{"type":"ping"}',), ('{"type":"trade"}',), ("x",)], "message string")
     assert [r.reason for r in L.payload_rejects(messages, "trades", column="message").collect()] == [
         "other shape", "unreadable"]
+
+
+def test_numbers_of_trades_and_macro_are_read_or_listed(spark):
+    trade = lambda p, t: f'{{"type":"trade","data":[{{"s":"A","p":{p},"v":"2","t":{t}}}]}}'
+    texts = [trade('"101.5"', "1.7e12"), trade("1", '"x"'), trade("1", "5.5"), trade('{"a":1}', "5"),
+             trade("true", "5"), trade("null", "7"), '{"data":[{"s":"A","p":1}]}', '{"type":"ping","data":[{"p":"x"}]}']
+    messages = spark.createDataFrame([(m,) for m in texts], "message string")
+    assert sorted(tuple(r)[:4] for r in TR.flatten_envelopes(messages.limit(1)).collect()) == [
+        ("A", 101.5, 2.0, 1_700_000_000_000)]
+    rejects = {r.payload: r.reason for r in L.payload_rejects(messages, "trades", column="message").collect()}
+    assert rejects == {t: "bad number" for t in texts[1:5]} | {texts[6]: "other shape"}
+    page = lambda v: f'{{"observations":[{{"date":"2024-01-02","value":{v}}}]}}'
+    pages = {"ok": '"1.5"', "plain": "2", "missing": '"."', "null": "null", "word": '"n/a"', "comma": '"1,234.5"'}
+    landed = spark.createDataFrame([(k, page(v)) for k, v in pages.items()], "series_id string, payload string")
+    assert {(r.key, r.reason) for r in L.payload_rejects(landed, "macro", "series_id").collect()} == {
+        ("word", "bad number"), ("comma", "bad number")}
+    bars = spark.createDataFrame([('[{"date":"2024-01-02","volume":1.5}]',)], "payload string")
+    assert [r.reason for r in L.payload_rejects(bars, "bars").collect()] == ["bad number"]
