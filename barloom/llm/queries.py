@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from barloom.llm.decontaminate import contamination
 from barloom.llm.interpolation import lm_scores
 from barloom.llm.line_dedup import repeated_lines
+from barloom.llm.merkle import folded, leaf_digest, manifest, proof_digest
 from barloom.llm.oracle import ORACLE
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
@@ -99,3 +101,18 @@ def op5_warc(s, d):
     pages = s.read.parquet(f"{d}/pages.parquet")
     found = derivatives(responses(pages), "page_id")
     return found.withColumn("block", F.decode("block", "UTF-8"))
+
+
+@query
+def op11_merkle(s, d):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    # Only what differs from the original goes along.
+    tampered = F.when(changed & (lowered != F.col("text")),
+                      leaf_digest(*(lowered if f == "text" else F.col(f) for f in fields)))
+    rows = manifest(documents(s, d), fields, carry={"tampered": tampered})
+    told = rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+        folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
