@@ -13,17 +13,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.places import numbered
 from barloom.llm.storage import stored, workspace
 
 Put = Callable[[DataFrame, str], DataFrame]
 
 #: Children of a node.
 ARITY = 16
-#: monotonically_increasing_id() has the partition above so many bits of the row's place in it.
-_PLACE_BITS = 33
 
 
 def digest(*parts: Column) -> Column:
@@ -39,28 +38,6 @@ def leaf_digest(*fields: Column) -> Column:
     return digest(*map(told, fields))
 
 
-def _numbered(rows: DataFrame, tree: str, order: Sequence[str], put: Put) -> DataFrame:
-    """``rows`` with idx, their place in their tree from 0 on, and n, the tree's rows.
-
-    The rows are dealt by ranges of (tree, order), so a tree of any size is spread over tasks;
-    a row's place is its place in its range and what the ranges before hold of the tree. Rows
-    that are alike in all of it are told apart by where they were read, so copies spread too.
-    """
-    by = [tree, *order, "__read"]
-    ranged = put(rows.withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(*by)
-                 .sortWithinPartitions(*by).drop("__read")
-                 .withColumn("__at", F.monotonically_increasing_id()), "ranged")
-    ranged = ranged.withColumn("__range", F.shiftright("__at", _PLACE_BITS))
-    share = ranged.groupBy(tree, "__range").agg(F.min("__at").alias("__first"), F.count("*").alias("__m"))
-    whole = Window.partitionBy(tree)  # one row per range of the tree
-    before = F.coalesce(F.sum("__m").over(whole.orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    shares = share.select(tree, "__range", "__first", before.alias("__before"),
-                          F.sum("__m").over(whole).alias("n"))
-    return ranged.join(shares, [tree, "__range"]).select(
-        *rows.columns, (F.col("__before") + F.col("__at") - F.col("__first")).alias("idx"), "n")
-
-
 def _runs(nodes: DataFrame, arity: int) -> DataFrame:
     """(tree, parent, n, children): each node at slot zero with its siblings behind it.
 
@@ -164,11 +141,11 @@ def manifest(docs: DataFrame, fields: Sequence[str | Column], group: str = "sour
             F.col(id_column).alias("id"),
             leaf_digest(*(F.col(f) if isinstance(f, str) else f for f in fields)).alias("hash"),
             extra.alias("extra")), "leaves")
-        placed = _numbered(rows, "tree", ["id", "hash"], put)
+        placed = numbered(rows, "tree", ["id", "hash"], put)
         lone, runs, subroots = _grown(placed.select(
             "tree", "idx", "n", F.struct("hash", "id", "extra").alias("child")), arity, put)
         groups = put(subroots, "subroots")
-        placed = _numbered(groups.select(F.lit("").alias("tree"), F.col("tree").alias("key"), "height", "hash"),
+        placed = numbered(groups.select(F.lit("").alias("tree"), F.col("tree").alias("key"), "height", "hash"),
                            "tree", ["key"], put)
         over, over_runs, root = _grown(placed.select(
             "tree", "idx", "n", F.struct("hash", "key", "height").alias("child")), arity, put)

@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.llm.conversation_repair import damaged, repair
 from barloom.llm.decontaminate import contamination
 from barloom.llm.interpolation import lm_scores
 from barloom.llm.line_dedup import repeated_lines
@@ -116,3 +117,15 @@ def op11_merkle(s, d):
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
         folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"))
     return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_conversation_repair(s, d):
+    original = s.read.parquet(f"{d}/conversations.parquet")
+    report, _ = repair(damaged(original))
+    named = original.select("conv_id").distinct()
+    none = {c: F.lit(0) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    none |= {"audit": F.lit(""), "repaired_sha256": F.sha2(F.lit(""), 256)}
+    # A conversation that lost all its rows has no report.
+    return named.join(report.withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *(F.coalesce(c, other).alias(c) for c, other in none.items()))
