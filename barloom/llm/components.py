@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ def _small_star(links: DataFrame) -> DataFrame:
         least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, put: Callable[[DataFrame, str], DataFrame] = stored) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the least node it reaches.
 
     Links move towards the least neighbour, over large and then over small neighbours in turn,
@@ -36,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     a node with many links is only ever joined with one row. A link of a node to itself or
     with a null says nothing and is left out. No link gives no row.
     """
-    now = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now = put(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .where("a > b").distinct(), "links")
     before = None
     while True:
@@ -44,6 +46,6 @@ def components(links: DataFrame) -> DataFrame:
         if mark == before or mark[0] == 0:
             break
         before = mark
-        now = stored(_small_star(stored(_large_star(now), "stars")), "stars")
+        now = put(_small_star(put(_large_star(now), "stars")), "stars")
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("root", F.col("node"))
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -14,6 +14,7 @@ from barloom.llm.decontaminate import contamination
 from barloom.llm.interpolation import lm_scores
 from barloom.llm.line_dedup import repeated_lines
 from barloom.llm.merkle import folded, leaf_digest, manifest, proof_digest
+from barloom.llm.ngram_join import similar_documents
 from barloom.llm.oracle import ORACLE
 from barloom.llm.quality_rules import cascade
 from barloom.llm.secret_scans import scan_secrets
@@ -129,3 +130,8 @@ def op13_conversation_repair(s, d):
     # A conversation that lost all its rows has no report.
     return named.join(report.withColumnRenamed("conv_id", "id"), F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
         "conv_id", *(F.coalesce(c, other).alias(c) for c, other in none.items()))
+
+
+@query
+def op12_ngram_join(s, d):
+    return similar_documents(documents(s, d)).drop("class_id")
