@@ -148,7 +148,7 @@ def build_index(docs: DataFrame, row_id: str = "doc_id", text: str = "text") ->
 def phrases(items: DataFrame, item_id: str = "item_id", text: str = "text",
             window: int = WINDOW) -> DataFrame:
     """(phrase, item): each ``window`` consecutive words of an item, joined by spaces; a shorter
-    item is one phrase, one without words none."""
+    item is one phrase, one without words none. An item without an id has phrases too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [], []
@@ -161,7 +161,7 @@ def phrases(items: DataFrame, item_id: str = "item_id", text: str = "text",
                 [pa.array(found[0], pa.binary()), pa.array(found[1], pa.string())], ["phrase", "item"])
 
     return with_package(items).select(F.col(item_id).cast("string"), text).mapInArrow(
-        run, "phrase binary, item string").where("item is not null").distinct()
+        run, "phrase binary, item string").distinct()
 
 
 @dataclass(frozen=True)
@@ -169,7 +169,7 @@ class Test:
     """A phrase's (word, place in the phrase), the rarest word first, and whose phrase it is."""
 
     words: list[tuple[bytes, int]]
-    items: list[str]
+    items: list[str | None]
 
 
 def _search(lists: Callable[[bytes], np.ndarray | None], tests: list[Test], slop: int
@@ -216,7 +216,7 @@ def find_phrases(index: DataFrame, tests: DataFrame, slop: int = 0) -> DataFrame
     """
     if not 0 <= slop < GAP:
         raise ValueError(f"slop must lie in 0..{GAP - 1}")
-    size = tests.agg(F.coalesce(F.sum(F.length("phrase") + F.length("item") + 100), F.lit(0))).first()[0]
+    size = tests.agg(F.coalesce(F.sum(F.length("phrase") + F.coalesce(F.length("item"), F.lit(0)) + 100), F.lit(0))).first()[0]
     blocks = int(size // BLOCK_BYTES) + 1
     found = None
     for k in range(blocks):
@@ -264,7 +264,7 @@ def _find_block(index: DataFrame, block: DataFrame, slop: int) -> DataFrame:
             places, whole, near = hits.setdefault(doc, ([], set(), set()))
             if exact:
                 places.append((first - doc, end - doc))
-            (whole if exact else near).update(items)
+            (whole if exact else near).update(i for i in items if i is not None)
         return pa.Table.from_pylist([
             {"segment": segment, "start": doc,
              "spans": [{"first": a, "end": b} for a, b in _merge(places)],
@@ -294,7 +294,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_column: str = "doc_id",
 
     n_hit counts the words inside any exact occurrence of a window of ``window`` item words;
     contaminated is n_hit > 0. Null and empty texts have no words; an item without words is
-    never found, and one without an id is not asked for. Repeated rows each give a row, empty
+    never found, and one without an id counts for n_hit but is not listed. Repeated rows each give a row, empty
     tables give an empty result or no hit, and other columns are not read.
     """
     with workspace() as put:

@@ -71,11 +71,17 @@ def _least_overlap(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * SIMILAR / (SIMILAR + OF))
 
 
+def row_key(id_column: str, text: str) -> Column:
+    """A row's place: by id, null last, rows of one id by a hash of their text. Rows that agree
+    in both are one document."""
+    return F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.xxhash64(text).alias("row"))
+
+
 def line_table(docs: DataFrame, id_column: str, text: str, steps: Column) -> DataFrame:
-    """One row per line with a word: id, line (from 0), n words, the set's two hashes, the parity
-    signature, and the prefix."""
-    lines = docs.where(F.col(id_column).isNotNull()).select(
-        F.col(id_column).alias("id"), F.posexplode(F.split(text, "\n")).alias("line", "t")
+    """One row per line with a word: the row's key as id, line (from 0), n words, the set's two
+    hashes, the parity signature, and the prefix."""
+    lines = docs.select(
+        row_key(id_column, text).alias("id"), F.posexplode(F.split(text, "\n")).alias("line", "t")
     ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
     made = lines.select("id", "line", tokens(F.col("t"), steps).alias("tokens"))
     n = F.size("tokens")
@@ -127,11 +133,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, step
     used = pairs.select("id", "line").unionByName(pairs.select(
         F.col("of_id").alias("id"), F.col("of_line").alias("line"))).distinct()
     per_doc = used.groupBy("id").agg(F.collect_list("line").alias("used"))  # at most a text's lines
-    # Rows that share an id are one document: any of them may give a line, the longest text first.
-    fetched = docs.select(F.col(id_column).alias("id"), F.col(text).alias("t")).join(per_doc, "id").select(
-        "id", F.explode("used").alias("line"), F.split("t", "\n").alias("all")).where(
-        F.col("line") < F.size("all")).select(
-        "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens"))
+    # Rows of one key have one text, and any of them gives its lines.
+    fetched = docs.select(row_key(id_column, text).alias("id"), F.col(text).alias("t")).join(per_doc, "id").select(
+        "id", F.explode("used").alias("line"), F.split("t", "\n").alias("all")).select(
+        "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens")).dropDuplicates(["id", "line"])
     fetched = put(fetched, "fetched")
     of = fetched.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"),
                         F.col("tokens").alias("of_tokens"))
@@ -146,18 +151,22 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, step
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, line, of_id, of_line, jaccard) for each line that an earlier line of the corpus matches.
+    """(id, row, line, of_id, of_row, of_line, jaccard) for each line that an earlier line of the
+    corpus matches.
 
-    Lines are split at \\n and numbered from 0; the order is by id, then number. Two lines match
+    Lines are split at \\n and numbered from 0; the order is by id (null last), rows of one id by
+    ``row``, a hash of the text, then by number. Two lines match
     if the Jaccard similarity of their sets of words (between ASCII white space, lower-cased) is
     at least SIMILAR/OF. A line with a match is listed whether or not the earlier line is listed
     itself; of_id and of_line name the first line of the same set, else the earliest match found.
-    Lines without a word match nothing. A null text has no lines; rows with a null id take no
-    part. Rows with one id are taken as one document whose lines coincide. An empty table gives
-    no rows; other columns are not read.
+    Lines without a word match nothing. A null text has no lines. Rows that share an id are
+    documents of their own; rows with one id and one text are one document, whose lines are listed
+    once. An empty table gives no rows; other columns are not read.
     """
     with workspace() as put:
-        return stored(_repeated(docs, id_column, text, put), "repeated")
+        found = stored(_repeated(docs, id_column, text, put), "repeated")
+    return found.select("id.id", "id.row", "line", F.col("of_id.id").alias("of_id"),
+                        F.col("of_id.row").alias("of_row"), "of_line", "jaccard")
 
 
 def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame:
@@ -191,12 +200,19 @@ def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without their repeated lines; every row stays, if need be with an empty text."""
-    gone = repeated_lines(docs, id_column, text).groupBy(F.col("id").alias("__id")).agg(
-        F.collect_set("line").alias("__gone"))
+    """``docs`` without their repeated lines; every row stays, if need be with an empty text. Of
+    rows with one id and one text the first keeps its lines, and the others have lines without a
+    word only."""
+    gone = repeated_lines(docs, id_column, text).groupBy("id", "row").agg(F.collect_set("line").alias("__gone"))
+    gone = gone.select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__gone")
+    again = F.row_number().over(Window.partitionBy(id_column, "__hash").orderBy(id_column)) > 1
+    named = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__again", again)
+    joined = named.join(gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__row")), "left")
     lines = F.split(text, "\n")
-    kept = F.array_join(F.filter(lines, lambda x, k: ~F.array_contains("__gone", k)), "\n")
-    joined = docs.join(gone, F.col(id_column) == F.col("__id"), "left")
+    blank = lambda x: F.length(F.btrim(x, F.lit(" " + WHITE))) == 0
+    dropped = F.coalesce("__gone", F.array().cast("array<int>"))
+    kept = F.array_join(F.filter(lines, lambda x, k: F.when(F.col("__again"), blank(x)).otherwise(
+        ~F.array_contains(dropped, k))), "\n")
     return joined.select(*(
-        F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(c) if c == text else F.col(c)
-        for c in docs.columns))
+        F.when(F.col("__gone").isNull() & ~F.col("__again"), F.col(text)).otherwise(kept).alias(c)
+        if c == text else F.col(c) for c in docs.columns))

@@ -36,7 +36,7 @@ WITH worded AS (
     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
 asked AS (
   SELECT item_id::VARCHAR AS item, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark WHERE item_id IS NOT NULL),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
 tests AS (
   SELECT DISTINCT item, least(len(words), 10) AS size, words[k:k + least(len(words), 10) - 1] AS phrase
   FROM asked, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS u(k) WHERE len(words) > 0),
@@ -48,7 +48,7 @@ hit AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(k, k + size)) AS u(p) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
-  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, coalesce(len(words), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM worded LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""

@@ -60,18 +60,24 @@ def pieces(model_file: str) -> Pieces:
 
 
 class Memo(dict):
-    """Results by chunk. It is emptied when full, so memory stays bounded."""
+    """Results by chunk, in two generations of at most LIMIT: when one is full, it replaces the
+    older one, and what is asked for again moves over. So memory stays bounded and chunks in use
+    are not lost."""
 
-    LIMIT, LONGEST = 120_000, 48
+    LIMIT, LONGEST = 200_000, 48
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.older = compute, {}
 
     def __missing__(self, chunk: str):
-        value = self.compute(chunk)
-        if len(chunk) <= self.LONGEST:
-            if len(self) >= self.LIMIT:
-                self.clear()
-            self[chunk] = value
+        value = self.older.get(chunk)
+        if value is None:
+            value = self.compute(chunk)
+            if len(chunk) > self.LONGEST:
+                return value
+        if len(self) >= self.LIMIT:
+            self.older = dict(self)
+            self.clear()
+        self[chunk] = value
         return value

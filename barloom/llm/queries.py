@@ -82,11 +82,12 @@ def op4_lm_scoring(s, d):
 @query
 def op3_line_dedup(s, d):
     docs = documents(s, d)
-    gone = repeated_lines(docs).groupBy(F.col("id").alias("doc_id")).agg(
+    gone = repeated_lines(docs).groupBy("id", "row").agg(
         F.count("*").alias("n_removed"),
         F.array_join(F.array_sort(F.collect_list("line")), ",").alias("removed_lines"))
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")
-    return docs.select("doc_id", n_lines.alias("n_lines")).join(gone, "doc_id", "left").select(
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("row"))
+    return docs.select("doc_id", n_lines.alias("n_lines"), F.xxhash64("text").alias("hash")).join(gone, same, "left").select(
         "doc_id", "n_lines", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("removed_lines", F.lit("")).alias("removed_lines"))
 

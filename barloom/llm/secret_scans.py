@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -178,17 +180,24 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
         return [], []
     data = text.encode()
     base = list(base_spans(text, data))
-    added: list[Span] = []
+    begins = sorted((s, e) for _, s, e in base)
+    reach = list(accumulate((e for _, e in begins), max))
+    # No added span lies within another, so both their starts and their ends ascend.
+    starts: list[int] = []
+    ends: list[int] = []
+    names: list[str] = []
     for kind in CLASSES:
         for start, end in runs(text, data, kind.chars, kind.window):
             candidate = text[start:end]
             for a, b in secret_parts(candidate, kind):
                 a, b = start + a, start + b
-                if any(s <= a and b <= e for _, s, e in base + added):
+                before = bisect_right(begins, (a, len(text)))
+                at = bisect_right(starts, a)
+                if before and reach[before - 1] >= b or at and ends[at - 1] >= b:
                     continue
-                added = [x for x in added if not (a <= x[1] and x[2] <= b)]
-                added.append((kind.name, a, b))
-    return base, added
+                first, last = bisect_left(starts, a), bisect_right(ends, b)
+                starts[first:last], ends[first:last], names[first:last] = [a], [b], [kind.name]
+    return base, list(zip(names, starts, ends))
 
 
 def spans_text(spans: list[Span]) -> str:

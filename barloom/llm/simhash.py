@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barloom.llm.columns import add_columns
 from barloom.llm.components import components
-from barloom.llm.storage import stored
+from barloom.llm.storage import stored, workspace
 
 BITS = 64
 WORDS = 5
@@ -110,6 +110,16 @@ def linked_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         (F.col("a") < F.col("b")) & open_differs & chain).select("a", "b").distinct()
 
 
+def _components(table: DataFrame, distance: int, put) -> DataFrame:
+    """(fingerprint, root, component_id) for the fingerprints of ``table`` (id, fingerprint)."""
+    nodes = put(table.groupBy("fingerprint").agg(F.min("id").alias("least")), "nodes")
+    roots = put(components(linked_pairs(nodes, distance), put), "roots")
+    rooted = put(nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return stored(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "components")
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                     words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """(id, fingerprint as 16 hexadecimal digits, component_id) for each row of ``docs``.
@@ -121,14 +131,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     empty table gives an empty result; other columns are not read. Copies of a fingerprint are
     one node of the graph, so a group of any size costs one row in the joins.
     """
-    table = stored(fingerprints(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")),
-                                words=words, keep=["id"]), "fingerprints")
-    nodes = stored(table.groupBy("fingerprint").agg(F.min("id").alias("least")), "nodes")
-    roots = components(linked_pairs(nodes, distance))
-    rooted = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
+    with workspace() as put:
+        table = stored(fingerprints(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")),
+                                    words=words, keep=["id"]), "fingerprints")
+        named = _components(table, distance, put)
     return table.join(named, "fingerprint").select(
         F.col("id").alias(id_column), F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         "component_id")
@@ -136,14 +142,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                 words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the one with the smallest id.
-
-    Of rows that share this id the first by text stays. Rows with a null id all stay, as
-    nothing tells them apart.
+    """The rows of ``docs`` that stay: one of each component, that with the smallest id (null
+    last); of rows with one id the first by a hash of the text, then of all columns. A component
+    of rows without an id keeps one of them, too.
     """
-    found = near_duplicates(docs, id_column, text, words, distance)
-    kept = found.where(F.col(id_column) == F.col("component_id")).select(id_column).distinct()
-    first = F.row_number().over(Window.partitionBy(id_column).orderBy(text))
-    named = docs.join(kept, id_column, "left_semi").withColumn("__first", first)
-    return named.where("__first = 1").select(docs.columns).unionByName(
-        docs.where(F.col(id_column).isNull()))
+    hashed = F.sha2(F.coalesce(text, F.lit("")), 256)  # null and empty texts are alike here
+    keyed = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), hashed.alias("hash"))
+    with workspace() as put:
+        table = put(fingerprints(keyed, words=words, keep=["id", "hash"]), "fingerprints")
+        named = _components(table, distance, put)
+        kept = stored(table.join(named, "fingerprint").groupBy("root").agg(
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")).alias("first")).select(
+            F.col("first.id").alias("__id"), F.col("first.hash").alias("__hash")), "kept")
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+    found = docs.withColumn("__text", hashed).join(kept, same, "left_semi")
+    order = Window.partitionBy(id_column, "__text").orderBy(F.xxhash64(*docs.columns), text)
+    return found.withColumn("__first", F.row_number().over(order)).where("__first = 1").select(docs.columns)

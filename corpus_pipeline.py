@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from barloom.llm.decontaminate import decontaminated
 from barloom.llm.line_dedup import without_repeats
-from barloom.llm.near_copies import one_of_similar
 from barloom.llm.queries import MODEL
 from barloom.llm.sentencepiece_codec import encode_decode
+from barloom.llm.simhash import one_of_each
 from barloom.llm.storage import stored
 from barloom.llm.toxicity import learn_toxicity, score_toxicity
 
@@ -36,9 +36,9 @@ def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard >= 0.8): that
-    with the smallest id. op10's bound on SimHash bits would miss most of them."""
-    return one_of_similar(docs)
+    """One document of each group of near-duplicates, that with the smallest id: three-word
+    shingles, fingerprints that differ in at most three bits."""
+    return one_of_each(docs, words=3, distance=3)
 
 
 def unseen_by_tests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,8 +15,7 @@ def brute(docs, items, window):
     for i, t in items:
         w = WORD.findall(lower(t))
         for k in range(max(1, len(w) - window + 1) if w else 0):
-            if i is not None:
-                tests.setdefault(tuple(w[k:k + window]), set()).add(str(i))
+            tests.setdefault(tuple(w[k:k + window]), set()).update([str(i)] * (i is not None))
     for i, t in docs:
         w, hit, found = WORD.findall(lower(t)), set(), set()
         for n in {len(x) for x in tests}:
@@ -31,10 +30,10 @@ def tables(spark):
     rnd = random.Random(1)
     item = lambda n: " ".join(rnd.choice("ab cd, EF gh ij k1 lm-no".split()) for _ in range(n))
     items = [(k, item(rnd.randint(1, 25))) for k in range(20)] + [
-        (20, None), (21, ""), (22, "!?"), (23, "Über Straße"), (None, "ab cd ef gh"), (24, "w3x3 w4x4")]
+        (20, None), (21, ""), (22, "!?"), (23, "Über Straße"), (None, "ab cd ef gh"), (24, "w3x3 w4x4"), (None, "no name on")]
     items += [items[3], (25, items[4][1])]
     docs = rows() + [(100 + k, item(60) + ". " + (items[k % 20][1] or "")) for k in range(40)] + [
-        (150, "über. STRAßE"), (151, "ÜBER straße"), (152, "ab")]
+        (150, "über. STRAßE"), (151, "ÜBER straße"), (152, "ab"), (153, "No name on this one")]
     extra = spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 as segment", "2 as term")
     return docs, items, extra
 

@@ -2,6 +2,8 @@
 
 import random
 
+import xxhash
+
 from barloom.llm import line_dedup as L
 from barloom.llm.storage import stored
 from tests.llm.data import frame, rows, split_white
@@ -20,30 +22,42 @@ def corpus():
                 line[rnd.randrange(len(line))] = rnd.choice(vocabulary)
             lines.append(" ".join(line).upper() if rnd.random() < 0.1 else " ".join(line))
         docs.append((i * 3 % 80, "\n".join(lines)))
-    return docs + [(100 + i, t) for i, t in rows() if i is not None and i not in (43, 44, 47)] + [
-        (None, docs[0][1]), (300, "\n\n a \n"), (301, None)]
+    # Repeated ids with unlike and with equal texts, and rows without an id.
+    return docs + [(100 + i, t) for i, t in rows() if i is not None and i not in (43, 44)] + [
+        (None, docs[0][1]), (None, "no id here at all\nonly once"), (None, "no id here at all"), (300, "\n\n a \n"),
+        (301, None), docs[7], (5, docs[7][1]), (5, "a wholly different line that stands alone")]
+
+
+def place(i, text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return i is None, i or 0, h - (1 << 64) * (h >> 63)
 
 
 def brute(docs):
-    lines = sorted((i, k, set(split_white(t.lower()))) for i, text in docs if i is not None and text is not None
-                   for k, t in enumerate(text.split("\n")) if split_white(t))
-    for n, (i, k, s) in enumerate(lines):
-        if any(5 * len(s & o) >= 4 * len(s | o) for _, _, o in lines[:n]):
-            yield i, k
+    lines = sorted(((*place(i, text), k, set(split_white(t.lower()))) for i, text in set(docs) if text is not None
+                    for k, t in enumerate(text.split("\n")) if split_white(t)), key=lambda r: r[:4])
+    for n, (none, i, row, k, s) in enumerate(lines):
+        if any(5 * len(s & r[4]) >= 4 * len(s | r[4]) for r in lines[:n]):
+            yield None if none else i, row, k
+
+
+def order(found):
+    return sorted(found, key=lambda r: tuple((x is None, x or 0) for x in r))
 
 
 def test_repeated_lines(spark, monkeypatch):
     docs = corpus()
-    want = sorted(brute(docs))
+    want = order(brute(docs))
     for pivots in (1, 12):
         monkeypatch.setattr(L, "PIVOTS", pivots)
         found = L.repeated_lines(frame(spark, docs)).collect()
-        assert sorted((r.id, r.line) for r in found) == want
-    texts = {(i, k): set(split_white(t.lower())) for i, text in docs if i is not None and text
+        assert order((r.id, r.row, r.line) for r in found) == want
+    texts = {(*place(i, text), k): set(split_white(t.lower())) for i, text in docs if text
              for k, t in enumerate(text.split("\n"))}
     for r in found:
-        a, b = texts[r.id, r.line], texts[r.of_id, r.of_line]
-        assert (r.of_id, r.of_line) < (r.id, r.line)
+        x, y = ((i is None, i or 0, row, k) for i, row, k in ((r.id, r.row, r.line), (r.of_id, r.of_row, r.of_line)))
+        a, b = texts[x], texts[y]
+        assert y < x
         assert abs(r.jaccard - len(a & b) / len(a | b)) < 1e-9 and r.jaccard >= 0.8
 
 
@@ -52,8 +66,14 @@ def test_texts_without_repeats(spark):
     gone = set(brute(docs))
     out = L.without_repeats(frame(spark, docs))
     assert out.columns == frame(spark, docs).columns
-    want = [(i, t if t is None or i is None else
-             "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone)) for i, t in docs]
+    seen, want = set(), []
+    for i, t in docs:
+        again = (i, t) in seen
+        seen.add((i, t))
+        want.append((i, t if t is None else "\n".join(
+            x for k, x in enumerate(t.split("\n")) if not split_white(x) or not (
+                again or (i, place(i, t)[2], k) in gone))))
+    assert (5, "a wholly different line that stands alone") in want
     key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
     assert sorted(((r.doc_id, r.text) for r in out.collect()), key=key) == sorted(want, key=key)
     assert L.without_repeats(frame(spark, docs).where("false")).count() == 0
@@ -68,7 +88,7 @@ def test_large_group_of_similar_lines(spark):
         for _ in range(rnd.randint(0, 3)):
             line[rnd.randrange(30)] = f"x{rnd.randrange(10 ** 6)}"
         docs.append((i, " ".join(line)))
-    found = {(r.id, r.line) for r in L.repeated_lines(frame(spark, docs)).collect()}
+    found = {(r.id, r.row, r.line) for r in L.repeated_lines(frame(spark, docs)).collect()}
     assert found == set(brute(docs))
 
 

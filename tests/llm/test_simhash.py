@@ -85,4 +85,6 @@ def test_one_of_each_stays(spark):
     kept = one_of_each(frame(spark, data))
     assert kept.columns == frame(spark, data).columns
     assert sorted(((r.doc_id or -1), r.text or "") for r in kept.collect()) == sorted(
-        [(3, near), (7, other), (-1, text), (11, "")])
+        [(3, near), (7, other), (11, "")])
+    alone = one_of_each(frame(spark, [(None, text), (None, near), (None, other)]), words=3)
+    assert sorted(r.text for r in alone.collect()) in (sorted([text, other]), sorted([near, other]))
