@@ -137,7 +137,8 @@ def src_daily_bars(s, d):
 
 @query
 def src_payload_rejects(s, d):
-    """Yearly bar pages, some cut off, some wrapped and some with a word for a number."""
+    """Yearly bar pages, some cut off, some wrapped, some with a word for a number and some with
+    days that are none."""
     item = F.struct(F.col("obs_date").cast("string").alias("date"), "open", "close", "volume")
     kind = F.pmod(F.col("y"), F.lit(4))
     page = F.to_json("items")
@@ -146,34 +147,51 @@ def src_payload_rejects(s, d):
         "symbol", F.when(kind == 0, F.substring(page, 1, 20))
         .when(kind == 1, F.concat(F.lit('{"page":'), page, F.lit("}")))
         .when(kind == 2, F.regexp_replace(page, r'"volume":(\d+)', '"volume":"about $1"'))
-        .otherwise(page).alias("payload"))
-    return L.payload_rejects(landed, "bars", "symbol").groupBy("key", "reason").agg(
-        F.count("*").alias("n_pages"))
+        .otherwise(F.regexp_replace(page, r'-0(\d)"', '-9$1"')).alias("payload"))
+    return L.payload_rejects(landed, "bars", "symbol").groupBy("key", "reason", "field").agg(
+        F.count("*").alias("n_rejects"))
+
+
+@query
+def src_payload_load(s, d):
+    """The same pages with nothing but bad days: rows and rejects of one stored pass, side by side."""
+    item = F.struct(F.col("obs_date").cast("string").alias("date"), "close")
+    page = F.regexp_replace(F.to_json("items"), r'-0(\d)"', '-9$1"')
+    landed = X.company_prices_raw(s, d).groupBy("symbol", F.year("obs_date").alias("y")).agg(
+        F.collect_list(item).alias("items")).select("symbol", page.alias("payload"))
+    rows, rejects = L.load(landed, "bars", "symbol", LOADED)
+    return rows.groupBy("symbol").agg(F.count("*").alias("n_rows"), F.max("obs_date").alias("newest")).join(
+        rejects.groupBy(F.col("key").alias("symbol")).agg(
+            F.count("*").alias("n_rejects"), F.min("raw").alias("first_raw")), "symbol", "full")
 
 
 @query
 def src_payload_rejects_kinds(s, d):
-    """Pages of all five kinds: of every four some are cut off, wrapped or hold words for numbers."""
+    """Pages of all five kinds: of every four some are cut off, wrapped, hold words for numbers, or
+    dates that are none."""
     year = F.year("obs_date")
-    word = lambda n, text: F.when(F.pmod(n, F.lit(4)) == 2, F.concat(F.lit("about "), text)).otherwise(text)
-    date = F.col("obs_date").cast("string").alias("date")
+    about = lambda n, text: F.when(F.pmod(n, F.lit(4)) == 2, F.concat(F.lit("about "), text)).otherwise(text)
+    never = lambda n, text: F.when(F.pmod(n, F.lit(4)) == 3, "2020-13-45").otherwise(text)
+    date = never(year, F.col("obs_date").cast("string")).alias("date")
     value = F.coalesce(F.col("value").cast("string"), F.lit("."))
     pages = {
         "macro": X.macro_raw(s, d).groupBy("series_id", year.alias("n")).agg(F.collect_list(
-            F.struct(date, word(year, value).alias("value"))).alias("observations")).select(
+            F.struct(date, about(year, value).alias("value"))).alias("observations")).select(
             "n", F.to_json(F.struct("observations")).alias("payload")),
         "bars": X.company_prices_raw(s, d).groupBy("symbol", year.alias("n")).agg(F.collect_list(
-            F.struct(date, word(year, F.col("volume").cast("string")).alias("volume"))).alias("items")).select(
+            F.struct(date, about(year, F.col("volume").cast("string")).alias("volume"))).alias("items")).select(
             "n", F.to_json("items").alias("payload")),
         "news": X.news_raw(s, d).select(F.length("article_id").alias("n"), F.to_json(F.array(
-            F.struct(F.col("article_id").alias("id"), "title"))).alias("payload")),
+            F.struct(F.col("article_id").alias("id"), "title", never(F.length("article_id"), F.lit("")).alias("crawlDate")))
+        ).alias("payload")),
         "trades": X.quotes_raw(s, d).select(F.col("trade_time").alias("n"), F.to_json(F.struct(
             F.lit("trade").alias("type"), F.array(F.struct(
                 F.col("symbol").alias("s"), F.col("price").cast("string").alias("p"),
-                word(F.col("trade_time"), F.col("trade_time").cast("string")).alias("t"))).alias("data"))
+                about(F.col("trade_time"), F.col("trade_time").cast("string")).alias("t"))).alias("data"))
+        ).alias("payload")),
+        "ticker": X.tickers_raw(s, d).select(F.length("symbol").alias("n"), F.to_json(F.struct(
+            F.col("symbol").alias("ticker"), "name", never(F.length("symbol"), F.lit("")).alias("endDate"))
         ).alias("payload")),
-        "ticker": X.tickers_raw(s, d).select(F.length("symbol").alias("n"), F.to_json(
-            F.struct(F.col("symbol").alias("ticker"), "name")).alias("payload")),
     }
     found = None
     for kind, frame in pages.items():
@@ -181,12 +199,24 @@ def src_payload_rejects_kinds(s, d):
         landed = frame.select(F.when(n == 0, F.substring("payload", 1, 10))
                               .when(n == 1, F.concat(F.lit('{"page":'), "payload", F.lit("}")))
                               .otherwise(F.col("payload")).alias("payload"))
-        counted = L.payload_rejects(landed, kind).groupBy(F.lit(kind).alias("kind"), "reason").agg(
-            F.count("*").alias("n_pages"))
+        counted = L.payload_rejects(landed, kind).groupBy(F.lit(kind).alias("kind"), "reason", "field").agg(
+            F.count("*").alias("n_rejects"))
         found = counted if found is None else found.unionByName(counted)
     return found
 
 
+@query
+def src_universe_rejects(s, d):
+    """A listing file in which every seventh end is none."""
+    path = scratch_dir(s, "universe")
+    end = F.when(F.pmod(F.dayofyear("start_date"), F.lit(7)) == 0, "2099-02-30").otherwise(F.col("end_date").cast("string"))
+    X.tickers_universe(s, d).select(
+        "ticker", "exchange", F.col("asset_type").alias("assetType"), F.col("price_currency").alias("priceCurrency"),
+        F.col("start_date").alias("startDate"), end.alias("endDate")).write.csv(path, header=True)
+    return L.universe_rejects(L.read_universe(s, path)).groupBy("reason", "field", "raw").agg(
+        F.count("*").alias("n_rejects"))
+
+
 @query
 def src_ticker_meta(s, d):
     raw = X.tickers_raw(s, d)

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom import schemas as S
-from barloom.sources.payloads import _number, _stamp, _texts
+from barloom.sources.payloads import _stamp, parsed
 
 
 def with_trade_times(landed: DataFrame, loaded_at=None) -> DataFrame:
@@ -33,16 +32,7 @@ def read_trade_files(spark: SparkSession, path: str, loaded_at=None) -> DataFram
 def flatten_envelopes(messages: DataFrame, column: str = "message") -> DataFrame:
     """One row per trade in each ``trade`` message; batch or streaming input. Numbers are read
     however they are spelled; ``payload_rejects`` lists what cannot be read."""
-    numbers = S.PAYLOAD_TRADES["data"].dataType
-    schema = T.StructType([S.PAYLOAD_TRADES["type"], T.StructField("data", _texts(numbers))])
-    kinds = {f.name: f.dataType.simpleString() for f in numbers.elementType.fields}
-    parsed = messages.select(F.from_json(column, schema).alias("m"))
-    return (
-        parsed.filter(F.col("m.type") == "trade")
-        .select(F.inline("m.data"))
-        .select(
-            F.col("s").alias("symbol"), _number("p", kinds["p"]).alias("price"),
-            _number("v", kinds["v"]).alias("volume"), _number("t", kinds["t"]).alias("trade_time"),
-            F.coalesce("c", F.array().cast("array<string>")).alias("conditions"),
-        )
-    )
+    rows = parsed(messages, "trades", column=column).where("row is not null").select("row.*")
+    return rows.select(
+        F.col("s").alias("symbol"), F.col("p").alias("price"), F.col("v").alias("volume"),
+        F.col("t").alias("trade_time"), F.coalesce("c", F.array().cast("array<string>")).alias("conditions"))

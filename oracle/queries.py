@@ -28,16 +28,35 @@ put("src_ticker_meta", f"""SELECT * REPLACE (CASE WHEN symbol <> 'ALL' THEN end_
 put("src_universe", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM tickers_universe")
 put("src_news", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM news_raw")
 put("src_payload_rejects", """
-SELECT symbol AS key, ['unreadable', 'other shape', 'bad number'][1 + y % 4] AS reason, count(*) AS n_pages
-FROM (SELECT DISTINCT symbol, year(obs_date) AS y FROM company_prices_raw) WHERE y % 4 < 3 GROUP BY ALL""")
+SELECT key, reason, field, count(*) AS n_rejects FROM (
+  SELECT DISTINCT symbol AS key, ['unreadable', 'other shape'][1 + year(obs_date) % 4] AS reason,
+    NULL::VARCHAR AS field, year(obs_date) AS n FROM company_prices_raw WHERE year(obs_date) % 4 < 2
+  UNION ALL SELECT symbol, 'bad number', 'volume', 0 FROM company_prices_raw WHERE year(obs_date) % 4 = 2
+  UNION ALL SELECT symbol, 'bad date', 'date', 0 FROM company_prices_raw WHERE year(obs_date) % 4 = 3 AND day(obs_date) < 10)
+GROUP BY ALL""")
+put("src_payload_load", """
+SELECT symbol, nullif(count(*) FILTER (day(obs_date) >= 10), 0) AS n_rows,
+  max(obs_date) FILTER (day(obs_date) >= 10) AS newest, nullif(count(*) FILTER (day(obs_date) < 10), 0) AS n_rejects,
+  min(strftime(obs_date, '%Y-%m-9') || day(obs_date)) FILTER (day(obs_date) < 10) AS first_raw
+FROM company_prices_raw GROUP BY symbol""")
 put("src_payload_rejects_kinds", """
-SELECT kind, ['unreadable', 'other shape', 'bad number'][1 + n % 4] AS reason, count(*) AS n_pages FROM (
-  SELECT DISTINCT 'macro' AS kind, series_id AS key, year(obs_date) AS n FROM macro_raw
-  UNION ALL SELECT DISTINCT 'bars', symbol, year(obs_date) FROM company_prices_raw
-  UNION ALL SELECT 'news', NULL, length(article_id) FROM news_raw
-  UNION ALL SELECT 'trades', NULL, trade_time FROM quotes_raw
-  UNION ALL SELECT 'ticker', NULL, length(symbol) FROM tickers_raw)
-WHERE n % 4 < 2 OR n % 4 = 2 AND kind IN ('macro', 'bars', 'trades') GROUP BY ALL""")
+SELECT * FROM (WITH elements AS (
+  SELECT 'macro' AS kind, series_id AS page, year(obs_date) AS n FROM macro_raw
+  UNION ALL SELECT 'bars', symbol, year(obs_date) FROM company_prices_raw
+  UNION ALL SELECT 'news', row_number() OVER ()::VARCHAR, length(article_id) FROM news_raw
+  UNION ALL SELECT 'trades', row_number() OVER ()::VARCHAR, trade_time FROM quotes_raw
+  UNION ALL SELECT 'ticker', symbol, length(symbol) FROM tickers_raw),
+fields AS (SELECT * FROM (VALUES ('macro', 2, 'value'), ('macro', 3, 'date'), ('bars', 2, 'volume'), ('bars', 3, 'date'),
+  ('news', 3, 'crawlDate'), ('trades', 2, 't'), ('ticker', 3, 'endDate')) AS t(kind, rest, field))
+SELECT kind, CASE rest WHEN 2 THEN 'bad number' ELSE 'bad date' END AS reason, field, count(*) AS n_rejects
+FROM elements JOIN fields USING (kind) WHERE n % 4 = rest GROUP BY ALL
+UNION ALL
+SELECT kind, ['unreadable', CASE kind WHEN 'ticker' THEN 'no text' ELSE 'other shape' END][1 + n % 4] AS reason,
+  CASE WHEN kind = 'ticker' AND n % 4 = 1 THEN 'ticker' END AS field, count(*) FROM (SELECT DISTINCT * FROM elements)
+WHERE n % 4 < 2 GROUP BY ALL)""")
+put("src_universe_rejects", """
+SELECT 'bad date' AS reason, 'endDate' AS field, '2099-02-30' AS raw, count(*) AS n_rejects
+FROM tickers_universe WHERE dayofyear(start_date) % 7 = 0""")
 put("src_holdings", f"""SELECT *, {STAMP} AS _ingested_at FROM (
   SELECT * REPLACE (CASE WHEN ticker = '-' THEN NULL ELSE symbol END AS symbol)
   FROM sheet_lines WHERE etf_symbol <> 'SMALL')""")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom import constants as C
+from barloom import schemas as S
 from barloom.functions.columns import mask_secrets, to_symbol
 from barloom.operators.dedupe import newest_listing
 from barloom.plans.staging import stg_etf_holdings, stg_macro
@@ -174,22 +175,49 @@ def test_secrets_are_masked_everywhere_in_the_text(spark):
 
 def test_payloads_lose_nothing_silently(spark):
     rows = [("A", '[{"date":"2024-01-02","close":1,"volume":10.0},{"date":"2024-01-03","close":"2.5","volume":"7"}]'),
-            ("B", "{broken"), ("C", '{"page":[]}'), ("D", '[{"date":"2024-01-02","close":"x","volume":1.5}]'), ("E", None)]
+            ("B", "{broken"), ("C", '{"page":[]}'), ("D", '[{"date":"2024-01-02","close":"x","volume":1.5}]'), ("E", None),
+            ("F", "[1, null, {}, [2]]"), ("G", '[{"date":"2020-13-45","close":1},{"date":"2020-1-2"},{"date":20200102}]'),
+            ("H", '{"x":1}'), ("I", "[]"), ("J", '[{"date":"2024-01-05T00:00:00.000Z","open":{"a":1},"high":null,"low":""}]')]
     landed = spark.createDataFrame(rows, "symbol string, payload string")
-    assert {(r.key, r.reason) for r in L.payload_rejects(landed, "bars", "symbol").collect()} == {
-        ("B", "unreadable"), ("C", "other shape"), ("D", "bad number"), ("E", "unreadable")}
-    bars = sorted((r.symbol, r.obs_date.day, r.close, r.volume) for r in L.parse_bars(landed).collect()
-                  if r.symbol != "C")
-    assert bars == [("A", 2, 1.0, 10), ("A", 3, 2.5, 7), ("D", 2, None, None)]
-    one = spark.createDataFrame([("T", '{"ticker":"T"}'), ("U", "{nope")], "symbol string, payload string")
-    types = spark.createDataFrame([("T", "etf"), ("U", "etf")], "symbol string, asset_type string")
-    assert [r.symbol for r in L.parse_tickers(one, types).collect()] == ["T"]
-    assert [r.key for r in L.payload_rejects(one, "ticker", "symbol").collect()] == ["U"]
+    found = {(r.key, r.reason, r.field, r.raw) for r in L.payload_rejects(landed, "bars", "symbol").collect()}
+    assert found == {
+        ("B", "unreadable", None, "{broken"), ("C", "other shape", None, '{"page":[]}'), ("D", "bad number", "close", "x"),
+        ("D", "bad number", "volume", "1.5"), ("E", "unreadable", None, None), ("F", "other element", None, "1"),
+        ("F", "other element", None, "null"), ("F", "no date", "date", None), ("F", "other element", None, "[2]"),
+        ("G", "bad date", "date", "2020-13-45"), ("G", "bad date", "date", "2020-1-2"), ("G", "bad date", "date", "20200102"),
+        ("H", "other shape", None, '{"x":1}'), ("J", "bad number", "open", '{"a":1}')}
+    want = [("A", 2, 1.0, 10), ("A", 3, 2.5, 7), ("D", 2, None, None), ("J", 5, None, None)]
+    bars = lambda frame: sorted((r.symbol, r.obs_date.day, r.close, r.volume) for r in frame.collect())
+    assert bars(L.parse_bars(landed)) == want and L.parse_bars(landed).columns == [f.name for f in S.BARS.fields]
+    kept, left = L.load(landed, "bars", "symbol")
+    assert bars(kept) == want and {tuple(r) for r in left.collect()} == found
+    one = spark.createDataFrame([("T", '{"ticker":"T","startDate":"soon"}'), ("U", "{nope"), ("V", '{"name":"V"}'), ("W", "3")],
+                                "symbol string, payload string")
+    types = spark.createDataFrame([(k, "etf") for k in "TUVW"], "symbol string, asset_type string")
+    assert [(r.symbol, r.start_date) for r in L.parse_tickers(one, types).collect()] == [("T", None)]
+    assert {(r.key, r.reason, r.field) for r in L.payload_rejects(one, "ticker", "symbol").collect()} == {
+        ("T", "bad date", "startDate"), ("U", "unreadable", None), ("V", "no text", "ticker"), ("W", "other shape", None)}
     messages = spark.createDataFrame([('{"type":"ping"}',), ('{"type":"trade"}',), ("x",)], "message string")
     assert [r.reason for r in L.payload_rejects(messages, "trades", column="message").collect()] == [
         "other shape", "unreadable"]
 
 
+def test_bad_dates_do_not_end_a_load(spark):
+    macro = spark.createDataFrame([("GDP", '{"observations":[{"date":"bad","value":"1"},{"date":"2020-01-01","value":"2"},{"value":"3"}]}')],
+                                  "series_id string, payload string")
+    assert [(r.obs_date, r.value) for r in L.parse_macro(macro).collect()] == [(D, 2.0)]
+    assert {(r.key, r.reason, r.raw) for r in L.payload_rejects(macro, "macro", "series_id").collect()} == {
+        ("GDP", "bad date", "bad"), ("GDP", "no date", None)}
+    news = spark.createDataFrame([('[{"id":1,"publishedDate":"junk","tags":["a"]},{"title":"x"},{"id":2,"tags":"b"}]',)], "payload string")
+    assert sorted((r.article_id, r.published_date, tuple(r.tags)) for r in L.parse_news(news).collect()) == [
+        ("1", None, ("a",)), ("2", None, ())]
+    assert {(r.reason, r.field, r.raw) for r in L.payload_rejects(news, "news").collect()} == {
+        ("bad date", "publishedDate", "junk"), ("no text", "id", None), ("bad list", "tags", "b")}
+    listed = spark.createDataFrame([("x", "", "Stock", "USD", "2020-99-01", "2020-01-01")], S.CSV_UNIVERSE)
+    assert [(r.exchange, r.start_date, r.end_date) for r in L.parse_universe(listed).collect()] == [(None, None, D)]
+    assert [tuple(r) for r in L.universe_rejects(listed).collect()] == [("x", "bad date", "startDate", "2020-99-01")]
+
+
 def test_numbers_of_trades_and_macro_are_read_or_listed(spark):
     trade = lambda p, t: f'{{"type":"trade","data":[{{"s":"A","p":{p},"v":"2","t":{t}}}]}}'
     texts = [trade('"101.5"', "1.7e12"), trade("1", '"x"'), trade("1", "5.5"), trade('{"a":1}', "5"),
@@ -197,12 +225,15 @@ def test_numbers_of_trades_and_macro_are_read_or_listed(spark):
     messages = spark.createDataFrame([(m,) for m in texts], "message string")
     assert sorted(tuple(r)[:4] for r in TR.flatten_envelopes(messages.limit(1)).collect()) == [
         ("A", 101.5, 2.0, 1_700_000_000_000)]
-    rejects = {r.payload: r.reason for r in L.payload_rejects(messages, "trades", column="message").collect()}
-    assert rejects == {t: "bad number" for t in texts[1:5]} | {texts[6]: "other shape"}
+    found = [(r.reason, r.field, r.raw) for r in L.payload_rejects(messages, "trades", column="message").collect()]
+    assert found == [("bad number", "t", "x"), ("bad number", "t", "5.5"), ("bad number", "p", '{"a":1}'),
+                     ("bad number", "p", "true"), ("other shape", None, texts[6])]
     page = lambda v: f'{{"observations":[{{"date":"2024-01-02","value":{v}}}]}}'
     pages = {"ok": '"1.5"', "plain": "2", "missing": '"."', "null": "null", "word": '"n/a"', "comma": '"1,234.5"'}
     landed = spark.createDataFrame([(k, page(v)) for k, v in pages.items()], "series_id string, payload string")
     assert {(r.key, r.reason) for r in L.payload_rejects(landed, "macro", "series_id").collect()} == {
         ("word", "bad number"), ("comma", "bad number")}
+    assert sorted((r.series_id, r.value) for r in L.parse_macro(landed).where("value is not null").collect()) == [
+        ("ok", 1.5), ("plain", 2.0)]
     bars = spark.createDataFrame([('[{"date":"2024-01-02","volume":1.5}]',)], "payload string")
     assert [r.reason for r in L.payload_rejects(bars, "bars").collect()] == ["bad number"]
