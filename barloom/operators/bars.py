@@ -13,54 +13,81 @@ from barloom.functions.columns import bar_start
 BAR_KEYS = ["symbol", "bar_minutes", "bar_start"]
 
 
-def _fold(tick_first, tick_last, high, low, volume, turnover, trades) -> list:
+# Sums and the order of trades are decimals, so that no result depends on the order of rows, and
+# every aggregate has a buffer of fixed size, so that all of them are hash aggregates.
+_PRICE, _TURNOVER_PRICE, _VOLUME = "decimal(23,12)", "decimal(19,8)", "decimal(18,6)"
+
+
+def _tick_order(start: Column) -> Column:
+    """Orders the trades of a bar by time, equal times by price (to 12 places)."""
+    offset = (F.unix_micros("trade_ts") - F.unix_micros(start)).cast("decimal(11,0)")
+    return offset * F.lit(10 ** 11).cast("decimal(12,0)") + F.col("price").try_cast(_PRICE)
+
+
+def tick_aggregates(start: Column) -> list[Column]:
+    """A bar's columns from its trades; ``start`` is the bar's start."""
+    volume = F.col("volume").try_cast(_VOLUME)
+    order = _tick_order(start)
+    return [
+        F.min("trade_date").alias("bar_date"),
+        F.min_by("price", order).alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", order).alias("close"),
+        F.sum(volume).alias("_volume"),
+        F.sum(F.col("price").try_cast(_TURNOVER_PRICE) * volume).alias("_turnover"),
+        F.count("*").alias("trade_count"),
+        F.bool_and("is_regular_session").alias("is_regular_session"),
+    ]
+
+
+def _bar_aggregates() -> list[Column]:
+    """A wide bar's columns from its narrow bars, each of which has a start of its own."""
     return [
         F.min("bar_date").alias("bar_date"),
-        F.min(tick_first).alias("_first"),
-        F.max(high).alias("high"),
-        F.min(low).alias("low"),
-        F.max(tick_last).alias("_last"),
-        F.sum(volume).alias("volume"),
-        F.sum(turnover).alias("_turnover"),
-        F.sum(trades).alias("trade_count"),
+        F.min_by("open", "bar_start").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "bar_start").alias("close"),
+        F.sum("_volume").alias("_volume"),
+        F.sum("_turnover").alias("_turnover"),
+        F.sum("trade_count").alias("trade_count"),
         F.bool_and("is_regular_session").alias("is_regular_session"),
     ]
 
 
 def _start(ts: str, width: int) -> Column:
-    return bar_start(F.col(ts), F.lit(width)).alias("bar_start")
+    return bar_start(F.col(ts), F.lit(width))
+
+
+def finished(bars: DataFrame) -> DataFrame:
+    """Bars with volume and VWAP as numbers."""
+    volume = F.col("_volume").cast("double")
+    return bars.select(
+        *BAR_KEYS, "bar_date", "open", "high", "low", "close", volume.alias("volume"),
+        F.try_divide(F.col("_turnover").cast("double"), volume).alias("vwap"),
+        "trade_count", "is_regular_session")
 
 
 def intraday_bars(trades: DataFrame, widths: Sequence[int] = C.BAR_MINUTES) -> DataFrame:
     """OHLCV and VWAP per (symbol, width, start).
 
     Trades are folded once, into the narrowest bars; wider bars are folded from those, so raw
-    trades are read, sorted and shuffled once however many widths there are. First and last
-    price are ordered by (time, price), which also settles equal times.
+    trades are read and shuffled once however many widths there are, and never sorted. First
+    and last price are ordered by (time, price), which also settles equal times. Volumes count to
+    six places, prices to eight in the VWAP.
     """
     narrow, *wider = sorted(widths)
     if any(w % narrow for w in wider):
         raise ValueError(f"bar widths {widths} must be multiples of the narrowest")
-    tick = F.struct("trade_ts", "price")
-    base = (
-        trades.withColumnRenamed("trade_date", "bar_date")
-        .groupBy("symbol", _start("trade_ts", narrow))
-        .agg(*_fold(tick, tick, "price", "price", "volume", F.col("price") * F.col("volume"),
-                    F.lit(1)))
-    )
+    start = _start("trade_ts", narrow)
+    base = trades.groupBy("symbol", start.alias("bar_start")).agg(*tick_aggregates(start))
     out = base.withColumn("bar_minutes", F.lit(narrow))
     for width in wider:
         out = out.unionByName(
-            base.groupBy("symbol", _start("bar_start", width))
-            .agg(*_fold("_first", "_last", "high", "low", "volume", "_turnover", "trade_count"))
-            .withColumn("bar_minutes", F.lit(width)))
-    return out.select(
-        *BAR_KEYS, "bar_date",
-        F.col("_first.price").alias("open"), "high", "low",
-        F.col("_last.price").alias("close"), "volume",
-        F.try_divide("_turnover", "volume").alias("vwap"),
-        "trade_count", "is_regular_session",
-    )
+            base.groupBy("symbol", _start("bar_start", width).alias("__start")).agg(*_bar_aggregates())
+            .withColumnRenamed("__start", "bar_start").withColumn("bar_minutes", F.lit(width)))
+    return finished(out)
 
 
 def affected_bars(late: DataFrame, trades: DataFrame,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.columns import differs
@@ -29,6 +29,14 @@ def _unique_rows(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     )
 
 
+def _checked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``; fails on a repeated key, as a merge must. Rows are counted in a window over the
+    join keys, so the check shares the join's exchange and sort, and columns stay flat."""
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    repeated = F.raise_error(F.concat(F.lit("repeated merge key "), F.to_json(F.struct(*keys))))
+    return df.withColumn("_new", F.when(copies == 1, F.lit(True)).otherwise(repeated.cast("boolean")))
+
+
 def upsert_actions(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
                    change_cols: Sequence[str] | None = None) -> DataFrame:
     """Next state of ``target`` with a ``_action`` column.
@@ -37,22 +45,31 @@ def upsert_actions(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     ``change_cols`` differs null-safely; ``None`` always replaces.
     """
     keys = list(keys)
-    old = target.select(*keys, F.struct(*target.columns).alias("_old"))
-    new = _unique_rows(incoming.select(*target.columns), keys, "_new")
-    moved = (F.lit(True) if change_cols is None
-             else differs(F.col("_old"), F.col("_new"), change_cols))
+    rest = [c for c in target.columns if c not in keys]
+    old = target.select(*keys, *(F.col(c).alias(f"_old_{c}") for c in rest), F.lit(True).alias("_old"))
+    new = _checked(incoming.select(*target.columns), keys).withColumnsRenamed({c: f"_new_{c}" for c in rest})
+    moved = F.lit(change_cols is None)
+    for c in change_cols or ():
+        if c not in keys:
+            moved |= ~F.col(f"_old_{c}").eqNullSafe(F.col(f"_new_{c}"))
     action = (
         F.when(F.col("_old").isNull(), INSERTED)
         .when(F.col("_new").isNotNull() & moved, UPDATED)
         .otherwise(KEPT)
     )
-    return (
-        old.join(new, keys, "full_outer")
-        .select(action.alias("_action"), "_old", "_new")
-        .select(F.when(F.col("_action") == KEPT, F.col("_old")).otherwise(F.col("_new"))
-                .alias("_row"), "_action")
-        .select("_row.*", "_action")
-    )
+    joined = old.join(new, keys, "full_outer").withColumn("_action", action)
+    take = lambda c: F.when(F.col("_action") == KEPT, F.col(f"_old_{c}")).otherwise(F.col(f"_new_{c}"))
+    return joined.select(*(F.col(c) if c in keys else take(c).alias(c) for c in target.columns), "_action")
+
+
+def observed_upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                    change_cols: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
+    """The next state, and its counts (inserted, updated, kept) once that has been written: they
+    are taken while the rows go by, without a second read."""
+    counts = Observation()
+    actions = upsert_actions(target, incoming, keys, change_cols)
+    return actions.observe(counts, *(
+        F.count_if(F.col("_action") == a).alias(a) for a in (INSERTED, UPDATED, KEPT))).drop("_action"), counts
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],

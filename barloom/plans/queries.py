@@ -29,6 +29,7 @@ from barloom.sources import holdings as H
 from barloom.sources import payloads as L
 from barloom.sources import planning as W
 from barloom.sources import trades as TR
+from barloom.streaming import stateful as SF
 from barloom.streaming import trades as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -393,6 +394,20 @@ def upsert_counts(s, d):
     return M.action_counts(upsert_changed(s, d))
 
 
+@query
+def upsert_observed(s, d):
+    """What a stored merge by month reports: counted while the rows are written."""
+    target, incoming = _bar_merge(s, d)
+    month = F.date_format("obs_date", "yyyy-MM")
+    path, staging = scratch_dir(s, "bars"), scratch_dir(s, "staging")
+    K.replace_slices(target.withColumn("obs_month", month), path, ["obs_month"])
+    counts = K.upsert_slices(s, path, incoming.withColumn("obs_month", month), ["symbol", "obs_date"], ["obs_month"],
+                             staging, C.BAR_CHANGE_COLS)
+    stored = s.read.parquet(path).agg(F.count("*").alias("stored"))
+    return stored.select(F.lit(counts["inserted"]).cast("bigint").alias("inserted"),
+                         F.lit(counts["updated"]).cast("bigint").alias("updated"), "stored")
+
+
 @query
 def upsert_slices(s, d):
     """The same merge against a stored table, rewriting only the touched months."""
@@ -636,7 +651,7 @@ def mart_macro_market_signals(s, d):
 
 @query
 def mart_intraday_bars(s, d):
-    return r6(intraday_bars(trades(s, d)), "vwap")
+    return intraday_bars(trades(s, d))
 
 
 # --- primitives --------------------------------------------------------------------------
@@ -999,8 +1014,49 @@ def stream_trades(s, d):
 
 @query
 def stream_bars(s, d):
-    bars = s.read.parquet(f"{_stream_all(s, d, 1)}/gold/mart_intraday_bars")
-    return r6(bars, "vwap")
+    return s.read.parquet(f"{_stream_all(s, d, 1)}/gold/mart_intraday_bars")
+
+
+def _stateful(s, d, delay: str) -> str:
+    """The same parts, one drain each, through stream state; every drain starts anew."""
+    quotes = X.quotes_raw(s, d)
+    landing, root = scratch_dir(s, "landing"), scratch_dir(s, "lake")
+    day = F.col("trade_ts")
+    for part in (day < "2024-01-11", (day >= "2024-01-11") & (day < "2024-01-21"), day >= "2024-01-21"):
+        quotes.filter(part).select(
+            "symbol", "price", "volume", "trade_time", "conditions").coalesce(1).write.mode(
+            "append").json(landing)
+        SF.start_trades(s, landing, f"{root}/trades", f"{root}/cp/trades", delay, loaded_at=LOADED).awaitTermination()
+        for width in C.BAR_MINUTES:
+            SF.start_bars(s, f"{root}/trades", f"{root}/bars_{width}", f"{root}/cp/bars_{width}", width,
+                          delay).awaitTermination()
+    return root
+
+
+@query
+def stream_stateful_trades(s, d):
+    rows = s.read.parquet(f"{_stateful(s, d, '60 days')}/trades")
+    return flat(rows.select(*trades(s, d).columns), "conditions")
+
+
+@query
+def stream_stateful_bars(s, d):
+    root = _stateful(s, d, "60 days")
+    bars = [s.read.parquet(f"{root}/bars_{width}") for width in C.BAR_MINUTES]
+    return bars[0].unionByName(bars[1])
+
+
+@query
+def stream_stateful_missed(s, d):
+    """The older part lands behind the watermark of the newer one, and is listed."""
+    quotes = X.quotes_raw(s, d)
+    landing, root = scratch_dir(s, "landing"), scratch_dir(s, "lake")
+    for part in (F.col("trade_ts") >= "2024-01-11", F.col("trade_ts") < "2024-01-11"):
+        quotes.filter(part).select("symbol", "price", "volume", "trade_time", "conditions").coalesce(1).write.mode(
+            "append").json(landing)
+        SF.start_trades(s, landing, f"{root}/trades", f"{root}/cp", "1 hour", loaded_at=LOADED).awaitTermination()
+    landed = TR.read_trade_files(s, landing, LOADED)
+    return flat(SF.missed(landed, s.read.parquet(f"{root}/trades")), "conditions")
 
 
 @query
@@ -1028,7 +1084,7 @@ def late_trades(s, d):
 @query
 def late_trades_repair(s, d):
     bars, silver, late = _late(s, d)
-    return r6(ST.repair_late_bars(bars, silver, late), "vwap")
+    return ST.repair_late_bars(bars, silver, late)
 
 
 # --- quality -----------------------------------------------------------------------------
@@ -1220,7 +1276,7 @@ def test_accepted_range(s, d):
 
 @query
 def test_expression(s, d):
-    return r6(V.test_expression(intraday_bars(trades(s, d)), "close >= open"), "vwap")
+    return V.test_expression(intraday_bars(trades(s, d)), "close >= open")
 
 
 @query

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from barloom.operators.merge import insert_only, upsert
+from barloom.operators.merge import insert_only, observed_upsert
 
 LAYERS = ("bronze", "silver", "gold", "ops")
 
@@ -156,9 +156,18 @@ def merge_slices(spark: SparkSession, path: str, incoming: DataFrame, slice_cols
 
 def upsert_slices(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],
                   slice_cols: Sequence[str], staging: str,
-                  change_cols: Sequence[str] | None = None) -> None:
-    merge_slices(spark, path, incoming, slice_cols,
-                 lambda old, new: upsert(old, new, keys, change_cols), staging)
+                  change_cols: Sequence[str] | None = None) -> dict[str, int]:
+    """Merge rows by key; gives the numbers of rows inserted, updated and kept in the touched
+    slices, counted while they are written. A repeat that only repeats the swap gives none."""
+    seen = []
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        rows, counts = observed_upsert(old, new, keys, change_cols)
+        seen.append(counts)
+        return rows
+
+    merge_slices(spark, path, incoming, slice_cols, merge, staging)
+    return dict(seen[0].get) if seen else {}
 
 
 def insert_slices(spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str],

@@ -113,6 +113,8 @@ put("upsert_changed", f"SELECT unnest(kept_row), _action FROM ({MERGED})")
 put("upsert_slices", f"SELECT unnest(kept_row) FROM ({MERGED})")
 put("upsert_counts", f"""SELECT count(*) FILTER (_action = 'inserted') AS inserted,
   count(*) FILTER (_action = 'updated') AS updated FROM ({MERGED})""")
+put("upsert_observed", f"""SELECT count(*) FILTER (_action = 'inserted') AS inserted,
+  count(*) FILTER (_action = 'updated') AS updated, count(*) AS stored FROM ({MERGED})""")
 put("upsert_insert_only", f"""SELECT * REPLACE (CASE WHEN source < 'n' THEN {STAMP} ELSE _ingested_at END AS _ingested_at)
 FROM news_raw""")
 put("overwrite_full", "SELECT * FROM tickers_universe")
@@ -257,7 +259,8 @@ SELECT symbol, m::INTEGER AS bar_minutes,
   epoch_ms(epoch_us(trade_ts) // 60000000 // m * m * 60000) AS bar_start, min(trade_date) AS bar_date,
   arg_min(price, row(trade_ts, price)) AS open, max(price) AS high, min(price) AS low,
   arg_max(price, row(trade_ts, price)) AS close, sum(volume) AS volume,
-  round(sum(price * volume) / nullif(sum(volume), 0), 6) AS vwap, count(*) AS trade_count,
+  sum(price::DECIMAL(19, 8) * volume::DECIMAL(18, 6))::DOUBLE / nullif(sum(volume::DECIMAL(18, 6))::DOUBLE, 0) AS vwap,
+  count(*) AS trade_count,
   bool_and(is_regular_session) AS is_regular_session
 FROM {src}, (VALUES (1), (5)) AS w(m) GROUP BY ALL"""
 put("mart_intraday_bars", BARS.format(src="stg_trades"))
@@ -347,6 +350,10 @@ put("stream_append", f"SELECT * REPLACE ({JOINED}, {STAMP} AS _ingested_at) FROM
 put("stream_available_now", "SELECT symbol, count(*) AS n FROM quotes_raw GROUP BY symbol")
 put("stream_trades", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM stg_trades")
 put("stream_bars", BARS.format(src="stg_trades"))
+put("stream_stateful_trades", f"SELECT * REPLACE ({STAMP} AS _ingested_at) FROM stg_trades")
+put("stream_stateful_bars", BARS.format(src="stg_trades"))
+put("stream_stateful_missed", f"""SELECT * REPLACE ({STAMP} AS _ingested_at) FROM stg_trades
+WHERE trade_ts < TIMESTAMP '2024-01-11'""")
 NEWEST = "(SELECT max(trade_date) FROM stg_trades WHERE volume <= 80)"
 put("late_trades", f"SELECT * FROM stg_trades WHERE volume > 80 AND trade_date < {NEWEST}")
 put("late_trades_repair", BARS.format(
