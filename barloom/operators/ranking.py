@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.operators.totals import running_before
 from barloom.session import written
 
-_BUCKETS = 512
-
 
 def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]) -> DataFrame:
     """Rank 1 is the largest value; rows without a value get no rank and shift nobody.
@@ -26,48 +25,25 @@ def rank_in_window(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]
     })
 
 
-def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str],
-                      buckets: int = _BUCKETS) -> DataFrame:
-    """The same ranks, exact, with a group's values spread over tasks by buckets.
+def rank_across_tasks(df: DataFrame, group: Sequence[str], ranks: Mapping[str, str]) -> DataFrame:
+    """The same ranks, exact, with a group's values spread over tasks by ranges.
 
-    Equal values are first folded into (value, copies). Approximate quantiles cut each group's
-    values into ordered buckets; a running sum of copies inside a bucket plus the copies in all
-    higher buckets gives the rank. The cuts only balance the work: any cut gives the same rank.
-    Input and buckets are each read several times, so both are written out first.
+    Equal values are folded into (value, copies), so a value that many rows share is one row; the
+    rank of a value is one more than the copies of the values before it. Rows are told apart by
+    a number, and ranks come back by that number: rows without a value take no part in any
+    join on values. The input is read several times, so it is written out first.
     """
     group = list(group)
     keys = [*group, "_rank"]
-    df = written(df, "rank-input")
-    values = (
-        df.select(*group, F.inline(F.array(*[
-            F.struct(F.lit(name).alias("_rank"), F.col(value).alias("_value"))
-            for name, value in ranks.items()])))
-        .filter(F.col("_value").isNotNull())
-        .groupBy(*keys, "_value").agg(F.count("*").alias("_copies"))
-    )
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = values.groupBy(*keys).agg(
-        F.percentile_approx("_value", shares, 10 * buckets).alias("_cuts"))
-    bucketed = written(values.join(cuts, keys).select(
-        *keys, "_value", "_copies",
-        F.size(F.filter("_cuts", lambda c: c > F.col("_value"))).alias("_bucket")),
-        "rank-buckets")
-    above = (
-        bucketed.groupBy(*keys, "_bucket").agg(F.sum("_copies").alias("_in_bucket"))
-        .withColumn("_above", F.coalesce(F.sum("_in_bucket").over(
-            Window.partitionBy(*keys).orderBy("_bucket")
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .drop("_in_bucket")
-    )
-    ranked = bucketed.join(above, [*keys, "_bucket"]).withColumn(
-        "_position",
-        (F.lit(1) + F.col("_above") + F.coalesce(F.sum("_copies").over(
-            Window.partitionBy(*keys, "_bucket").orderBy(F.desc("_value"))
-            .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).cast("int"),
-    )
-    out = df
-    for name, value in ranks.items():
-        one = ranked.filter(F.col("_rank") == name).select(
-            *group, F.col("_value").alias(value), F.col("_position").alias(name))
-        out = out.join(one, [*group, value], "left")
-    return out.select(*df.columns, *ranks)
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()), "rank-input")
+    valued = rows.select(*group, "_row", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("_rank"), F.col(value).alias("_value")) for name, value in ranks.items()]))
+    ).filter(F.col("_value").isNotNull())
+    values = valued.groupBy(*keys, "_value").agg(F.count("*").alias("_copies"))
+    placed = running_before(values, keys, [F.desc("_value")], "_copies", "_above")
+    # Null-safe, as a group may be null.
+    same = [valued[c].eqNullSafe(placed[c]) for c in [*keys, "_value"]]
+    ranked = valued.join(placed, same).select("_row", valued["_rank"], (F.col("_above") + 1).cast("int").alias("_position"))
+    wide = ranked.groupBy("_row").agg(*(
+        F.max(F.when(F.col("_rank") == name, F.col("_position"))).alias(name) for name in ranks))
+    return rows.join(wide, "_row", "left").select(*df.columns, *ranks)

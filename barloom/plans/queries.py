@@ -22,6 +22,7 @@ from barloom.plans import staging as P
 from barloom.quality import checks as Q
 from barloom.quality import run as R
 from barloom.quality import tests as V
+from barloom.quality.suite import Limits, standard_checks
 from barloom.seeds import indicator_seed
 from barloom.session import scratch_dir, written
 from barloom.sinks import tables as K
@@ -350,6 +351,24 @@ def src_refresh_worklist(s, d):
     return W.refresh_worklist(_listed(s, d), marks, "symbol", C.COMPANY_BUDGET)
 
 
+@query
+def src_request_budget(s, d):
+    """The queue cut by requests: a symbol with a corporate action takes two."""
+    bars = X.company_prices_raw(s, d)
+    marks = W.watermarks(bars, "symbol", "obs_date")
+    early = W.watermarks(bars.filter(F.col("obs_date") <= "2001-09-10"), "symbol", "obs_date")
+    queue = W.pull_costs(W.refresh_worklist(_listed(s, d), marks, "symbol", 0), W.corporate_actions(bars, early))
+    return W.within_budget(queue, [F.asc_nulls_first("watermark"), F.asc("symbol")], "requests", C.COMPANY_BUDGET)
+
+
+@query
+def src_newest_date(s, d):
+    """The pull start of a source without keys, of a full and of an empty table."""
+    news = X.news_raw(s, d)
+    return W.newest_date(news, "published_date").select(F.lit("news").alias("source"), "pull_start").unionByName(
+        W.newest_date(news.filter("false"), "published_date").select(F.lit("none").alias("source"), "pull_start"))
+
+
 @query
 def src_corporate_actions(s, d):
     bars = X.markets_raw(s, d).unionByName(X.company_prices_raw(s, d))
@@ -1083,8 +1102,15 @@ def late_trades(s, d):
 
 @query
 def late_trades_repair(s, d):
-    bars, silver, late = _late(s, d)
-    return ST.repair_late_bars(bars, silver, late)
+    """The repair of stored bars from stored trades: only days with late trades are read."""
+    bars, silver, _ = _late(s, d)
+    root = scratch_dir(s, "late")
+    K.replace_slices(silver, f"{root}/trades", ["trade_date"])
+    K.replace_slices(bars, f"{root}/bars", ["bar_date"])
+    stored = s.read.parquet(f"{root}/trades")
+    late = written(ST.late_trades(stored, s.read.parquet(f"{root}/bars"), stored.filter(F.col("volume") > 80)), "late-trades")
+    ST.repair_stored_bars(s, f"{root}/bars", stored, late, f"{root}/staging")
+    return s.read.parquet(f"{root}/bars").select(*bars.columns)
 
 
 # --- quality -----------------------------------------------------------------------------
@@ -1176,33 +1202,47 @@ def chk_row_count_age(s, d):
         C.UNIVERSE_MAX_AGE_DAYS, minimum=C.UNIVERSE_MIN_ROWS))
 
 
-@query
-def chk_latest_run(s, d):
+def _jobs(s, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     expected = s.createDataFrame(
         [("view", 48), ("click", 1), ("signup", 30), ("purchase", 24), ("error", 240),
          ("weekly", 192), ("stalled", 24), ("absent", 24)], "job_name string, max_age_hours int")
     jobs = X.job_runs(s, d).groupBy("job_name").agg(F.min("start_ts").alias("created_ts")).unionByName(
         s.createDataFrame([("weekly", "2024-01-28"), ("stalled", "2024-01-02")], "job_name string, d string")
         .select("job_name", F.col("d").cast("timestamp").alias("created_ts")))
-    return Q.check_latest_run(expected, jobs, X.job_runs(s, d), X.TRADES_NOW)
+    return expected, jobs, X.job_runs(s, d)
 
 
 @query
-def chk_run_all(s, d):
-    """All registered checks, one of them broken, stored as one run."""
+def chk_latest_run(s, d):
+    return Q.check_latest_run(*_jobs(s, d), X.TRADES_NOW)
+
+
+def _suite(s, d) -> DataFrame:
+    """All twelve checks, one broken and one switched off beside them, stored as one run."""
     def broken():
         return X.markets_raw(s, d).select(F.raise_error(F.lit("broken rule")).alias("check_name"),
                                           *[F.lit("").alias(c) for c in Q.RESULT_COLUMNS[1:]])
 
-    checks = {
-        "markets_duplicates": lambda: chk_duplicate_keys(s, d),
-        "broken_rule": broken,
-        "macro_integrity": lambda: chk_key_and_null(s, d),
-        "off": lambda: Q.check_recency_hours(X.news_raw(s, d), "off", "news_raw", "published_date",
-                                             X.TRADES_NOW, enabled=False),
-    }
-    out = R.run_all(s, checks, "run-1", X.TRADES_NOW, scratch_dir(s, "ops"))
-    return out.select("run_id", "check_name", "severity", "status", "observed")
+    limits = Limits(bars=BAR_LIMITS, other_bars=90, macro=MACRO_LIMITS, quote_symbols=[*X.TRADE_SYMBOLS, "refund"],
+                    quote_rows=100, tickers=len(X.WATCHLIST) + 1)
+    checks = standard_checks(lambda name: getattr(X, name)(s, d), X.AS_OF_DATE, X.TRADES_NOW, limits, lambda: _jobs(s, d))
+    off = standard_checks(lambda name: getattr(X, name)(s, d), X.AS_OF_DATE, X.TRADES_NOW, Limits(news_enabled=False))
+    checks |= {"broken_rule": broken, "off": off["news_freshness"]}
+    return R.run_all(s, checks, "run-1", X.TRADES_NOW, scratch_dir(s, "ops"))
+
+
+@query
+def chk_run_all(s, d):
+    return _suite(s, d).select("run_id", "check_name", "severity", "status", "observed")
+
+
+@query
+def chk_suite_gate(s, d):
+    """The gate over that run, and its incident."""
+    results = _suite(s, d)
+    none = s.createDataFrame([], "run_id string")
+    incident = R.incident_rollup(results, none, X.TRADES_NOW).select("run_id", F.array_join("failed_checks", ",").alias("failed"))
+    return R.gate(results).join(incident, "run_id")
 
 
 @query

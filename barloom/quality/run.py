@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 from barloom import constants as C
 from barloom import schemas as S
 from barloom.quality.checks import RESULT_COLUMNS
-from barloom.sinks.tables import replace_run
+from barloom.sinks.tables import append_run, replace_run
 
 Check = Callable[[], DataFrame]
-#: A check returns one row, or one per configured job.
-RESULTS_PER_CHECK = 10_000
-
 
 def crashed(spark: SparkSession, name: str, error: Exception) -> DataFrame:
     first_line = str(error).strip().split("\n")[0]
@@ -23,31 +20,24 @@ def crashed(spark: SparkSession, name: str, error: Exception) -> DataFrame:
     return spark.createDataFrame([row], ", ".join(f"{c} string" for c in RESULT_COLUMNS))
 
 
-def _evaluated(spark: SparkSession, name: str, check: Check) -> list[tuple]:
-    """The result rows of one check, at most ``RESULTS_PER_CHECK``; any failure is a row too."""
-    try:
-        rows = check().select(*RESULT_COLUMNS).limit(RESULTS_PER_CHECK + 1).collect()
-        if len(rows) > RESULTS_PER_CHECK:
-            raise ValueError(f"more than {RESULTS_PER_CHECK} result rows; findings belong elsewhere")
-    except Exception as e:  # noqa: BLE001
-        rows = crashed(spark, name, e).collect()
-    return [tuple(r) for r in rows]
-
-
 def run_all(spark: SparkSession, checks: Mapping[str, Check], run_id: str, check_ts,
             path: str) -> DataFrame:
     """Evaluate every check and store the run's results, replacing an earlier try.
 
-    Each check is evaluated on its own, so one that fails at run time becomes an ``error`` row
-    and cannot take the others with it. Only its finished result rows reach the driver: one per
-    check, or one per configured job.
+    Spark writes the rows of each check to the run's slice, however many they are; none pass
+    through the driver. A write either adds all rows of its check or none, so a check that fails at
+    run time becomes one ``error`` row and cannot take the others with it.
     """
-    rows = [row for name, check in checks.items() for row in _evaluated(spark, name, check)]
-    results = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RESULT_COLUMNS))
-    stamped = results.select(
-        F.lit(run_id).alias("run_id"), F.lit(check_ts).cast("timestamp").alias("check_ts"),
-        *RESULT_COLUMNS)
-    replace_run(stamped, path, run_id)
+    def stamped(rows: DataFrame) -> DataFrame:
+        return rows.select(F.lit(run_id).alias("run_id"), F.lit(check_ts).cast("timestamp").alias("check_ts"),
+                           *(F.col(c).cast("string").alias(c) for c in RESULT_COLUMNS))
+
+    replace_run(spark.createDataFrame([], S.DQ_RESULTS), path, run_id)
+    for name, check in checks.items():
+        try:
+            append_run(stamped(check()), path, run_id)
+        except Exception as e:  # noqa: BLE001
+            append_run(stamped(crashed(spark, name, e)), path, run_id)
     return spark.read.schema(S.DQ_RESULTS).parquet(path).filter(F.col("run_id") == run_id)
 
 

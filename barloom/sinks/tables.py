@@ -91,9 +91,18 @@ def replace_runs(results: DataFrame, path: str) -> None:
     replace_slices(results, path, ["run_id"])
 
 
+def _run_folder(path: str, run_id: str) -> str:
+    return f"{path}/run_id={quote(run_id, safe='')}"
+
+
+def append_run(results: DataFrame, path: str, run_id: str) -> None:
+    """More results of one run: all rows or, if it fails, none."""
+    results.drop("run_id").write.mode("append").parquet(_run_folder(path, run_id))
+
+
 def replace_run(results: DataFrame, path: str, run_id: str) -> None:
     """Results of one run replace its earlier rows, also when there are none this time."""
-    folder = f"{path}/run_id={quote(run_id, safe='')}"
+    folder = _run_folder(path, run_id)
     results.filter(F.col("run_id") == run_id).drop("run_id").write.mode("overwrite").parquet(folder)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom import constants as C
 from barloom.operators.dedupe import latest_snapshot
+from barloom.operators.totals import running_before
 
 
 def watermarks(table: DataFrame, key: str, date: str) -> DataFrame:
@@ -26,12 +27,39 @@ def pull_starts(keys: DataFrame, marks: DataFrame, key: str, backfill_start: str
         key, "watermark", F.coalesce(start, backfill).alias("pull_start"))
 
 
+def newest_date(table: DataFrame, column: str) -> DataFrame:
+    """One row: the newest date of a table without keys, null for an empty one. A pull from that
+    day on brings the day's rows again; an insert-only merge drops them."""
+    return table.agg(F.to_date(F.max(column)).alias("pull_start"))
+
+
 def refresh_worklist(keys: DataFrame, marks: DataFrame, key: str, budget: int) -> DataFrame:
     """Never-loaded keys first, then the oldest, names breaking ties; 0 means no budget."""
     queue = keys.join(marks, key, "left").orderBy(F.asc_nulls_first("watermark"), F.asc(key))
     return queue.limit(budget) if budget else queue
 
 
+def within_budget(queue: DataFrame, order: list, cost: str, budget: int) -> DataFrame:
+    """The part of a queue that a run can start before its requests are used up; 0 means no limit.
+
+    A row is taken while the costs of the rows before it are below the budget, so the last one
+    may go over it. The queue is cut by running totals over its ranges and may be of any length;
+    ``order`` must tell rows apart.
+    """
+    if not budget:
+        return queue
+    return running_before(queue, [], order, cost, "requests_before").filter(
+        F.col("requests_before") < budget).drop("requests_before")
+
+
+def pull_costs(keys: DataFrame, acted: DataFrame, key: str = "symbol") -> DataFrame:
+    """``keys`` with the requests a pull takes: one, and another for the history of a symbol with
+    a corporate action."""
+    again = acted.select(key, F.lit(True).alias("_acted")).distinct()
+    return keys.join(again, key, "left").withColumn(
+        "requests", F.when(F.col("_acted"), 2).otherwise(1)).drop("_acted")
+
+
 def corporate_actions(incoming: DataFrame, marks: DataFrame) -> DataFrame:
     """Symbols whose stored history must be replaced.
 
@@ -66,9 +94,13 @@ def priced_companies(holdings: DataFrame, universe: DataFrame) -> DataFrame:
 
 
 def company_pull_plan(holdings: DataFrame, universe: DataFrame, prices: DataFrame,
-                      budget: int = C.COMPANY_BUDGET,
-                      backfill_start: str = C.COMPANY_BACKFILL) -> DataFrame:
-    """The next run's companies with their pull starts."""
+                      budget: int = C.COMPANY_BUDGET, backfill_start: str = C.COMPANY_BACKFILL,
+                      acted: DataFrame | None = None) -> DataFrame:
+    """The next run's companies with their pull starts, as many as its requests allow. ``acted``
+    are symbols with a corporate action, whose pull takes two requests."""
     marks = watermarks(prices, "symbol", "obs_date")
-    queue = refresh_worklist(priced_companies(holdings, universe), marks, "symbol", budget)
+    queue = refresh_worklist(priced_companies(holdings, universe), marks, "symbol", 0 if acted is not None else budget)
+    if acted is not None:
+        queue = within_budget(pull_costs(queue, acted), [F.asc_nulls_first("watermark"), F.asc("symbol")],
+                              "requests", budget)
     return pull_starts(queue.select("symbol"), marks, "symbol", backfill_start)

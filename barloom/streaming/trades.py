@@ -55,10 +55,17 @@ def rebuild_bars(spark: SparkSession, trades: DataFrame, path: str, staging: str
 
 
 def late_trades(trades: DataFrame, bars: DataFrame, loaded_after: DataFrame) -> DataFrame:
-    """Trades that arrived for days before the newest bar date, which no rebuild will see."""
+    """Trades that arrived for days before the newest bar date, which no rebuild will see.
+
+    ``loaded_after`` holds what was loaded since, with its trade dates: their range prunes the
+    stored days before the keys are joined.
+    """
     newest = bars.agg(F.max("bar_date").alias("d")).scalar()
-    return trades.filter(F.col("trade_date") < newest).join(
-        loaded_after.select("trade_key"), "trade_key", "left_semi")
+    days = loaded_after.agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"))
+    first, last = (days.select(c).scalar() for c in ("low", "high"))
+    old = trades.filter((F.col("trade_date") < newest) & F.col("trade_date").between(first, last))
+    return old.join(loaded_after.select("trade_date", "trade_key"), ["trade_date", "trade_key"], "left_semi").select(
+        *trades.columns)
 
 
 def repair_late_bars(bars: DataFrame, trades: DataFrame, late: DataFrame) -> DataFrame:

@@ -76,6 +76,16 @@ put("src_watermark", f"""SELECT symbol, watermark, ifnull(watermark - 400, DATE
 FROM {LISTED} LEFT JOIN {MARKS} USING (symbol)""")
 put("src_refresh_worklist", f"""SELECT symbol, watermark FROM {LISTED} LEFT JOIN {MARKS} USING (symbol)
 ORDER BY watermark NULLS FIRST, symbol LIMIT 30""")
+put("src_request_budget", f"""SELECT symbol, watermark, requests FROM (
+  SELECT *, coalesce(sum(requests) OVER (ORDER BY watermark NULLS FIRST, symbol ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM (SELECT symbol, watermark, CASE WHEN a.symbol IS NULL THEN 1 ELSE 2 END AS requests
+        FROM {LISTED} LEFT JOIN {MARKS} USING (symbol) LEFT JOIN (
+          SELECT DISTINCT c.symbol FROM company_prices_raw AS c JOIN (
+            SELECT symbol, max(obs_date) AS seen FROM company_prices_raw WHERE obs_date <= DATE '2001-09-10' GROUP BY symbol) AS m
+          ON m.symbol = c.symbol
+          WHERE c.obs_date > m.seen AND (coalesce(c.div_cash, 0) <> 0 OR c.split_factor IS DISTINCT FROM 1.0)) AS a USING (symbol)))
+WHERE before < 30""")
+put("src_newest_date", "SELECT 'news' AS source, max(published_date)::DATE AS pull_start FROM news_raw UNION ALL SELECT 'none', NULL")
 put("src_corporate_actions", """
 SELECT DISTINCT b.symbol
 FROM (SELECT * FROM markets_raw UNION ALL SELECT * FROM company_prices_raw) AS b
@@ -402,12 +412,13 @@ JUMPS = """SELECT symbol, obs_date, prev_adj_close, adj_close FROM (
   FROM (SELECT DISTINCT symbol, obs_date, adj_close, split_factor FROM {table} WHERE obs_date >= DATE '2001-11-04' - {lead}))
 WHERE obs_date >= DATE '2001-11-04' - {days} AND prev_adj_close > 0 AND split_factor = 1
   AND abs(adj_close / prev_adj_close - 1) > 0.15"""
-put("chk_price_jump", checked(
+JUMP = checked(
     "markets_adj_jump", "markets_raw", "warn", "n = 0", "n || ' adjusted closes moved over 15% in a day, no split.'",
     "{'n_jumps': n, 'jumps': listed}",
     f"""SELECT (SELECT count(*) FROM ({JUMPS.format(table='markets_raw', lead=40, days=30)})) AS n,
-    (SELECT list(j ORDER BY j) FROM (SELECT * FROM ({JUMPS.format(table='markets_raw', lead=40, days=30)})
-       ORDER BY symbol, obs_date, prev_adj_close LIMIT 20) AS j) AS listed"""))
+    coalesce((SELECT list(j ORDER BY j) FROM (SELECT * FROM ({JUMPS.format(table='markets_raw', lead=40, days=30)})
+       ORDER BY symbol, obs_date, prev_adj_close LIMIT 20) AS j), []) AS listed""")
+put("chk_price_jump", JUMP)
 put("chk_price_jump_rows", JUMPS.format(table="company_prices_raw", lead=2010, days=2000))
 INTEGRITY = checked(
     "macro_integrity", "macro_raw", "error", "d + n = 0", "d || ' repeated keys, ' || n || ' null values.'",
@@ -435,12 +446,12 @@ put("chk_last_session", checked(
       list_filter(['click', 'error', 'purchase', 'refund', 'signup', 'view'], lambda x: NOT list_contains(list(DISTINCT symbol), x)) AS missing
     FROM quotes_raw, (SELECT max(trade_ts::DATE) AS last_day_seen FROM quotes_raw) WHERE trade_ts::DATE = last_day_seen"""))
 AGE = "SELECT count(*) AS n, (DATE '2001-12-31' - max(_ingested_at::DATE))::INTEGER AS age FROM "
-put("chk_row_count_age",
-    checked("tickers_refresh", "tickers_raw", "error", "n = 7 AND age <= 2", "n || ' rows (want exactly 7), loaded ' || age || ' days ago.'",
+AGES = (checked("tickers_refresh", "tickers_raw", "error", "n = 7 AND age <= 2", "n || ' rows (want exactly 7), loaded ' || age || ' days ago.'",
             "{'rows': n, 'age_days': age}", AGE + "tickers_raw") + "\nUNION ALL\n"
     + checked("universe_refresh", "tickers_universe", "error", "n >= 50000 AND age <= 9",
               "n || ' rows (want at least 50000), loaded ' || age || ' days ago.'", "{'rows': n, 'age_days': age}", AGE + "tickers_universe"))
-put("chk_latest_run", """
+put("chk_row_count_age", AGES)
+LATEST_RUN = """
 SELECT 'job_runs:' || job_name AS check_name, job_name AS table_name, 'error' AS severity,
   CASE WHEN created IS NULL THEN 'fail'
        WHEN last IS NULL THEN CASE WHEN exists_h <= max_age THEN 'pass' ELSE 'fail' END
@@ -456,9 +467,35 @@ FROM (
                ('stalled', 24), ('absent', 24)) AS e(job_name, max_age)
   LEFT JOIN (SELECT job_name, min(start_ts) AS created FROM job_runs GROUP BY job_name
              UNION ALL VALUES ('weekly', TIMESTAMP '2024-01-28'), ('stalled', TIMESTAMP '2024-01-02')) USING (job_name)
-  LEFT JOIN (SELECT job_name, arg_max(r, row(start_ts, run_id)) AS last FROM job_runs AS r WHERE end_ts IS NOT NULL GROUP BY job_name) USING (job_name))""")
-put("chk_run_all", f"""SELECT 'run-1' AS run_id, check_name, severity, status, observed FROM ({DUPES} UNION ALL {INTEGRITY})
-UNION ALL SELECT 'run-1', 'broken_rule', 'error', 'error', '{{}}'""")
+  LEFT JOIN (SELECT job_name, arg_max(r, row(start_ts, run_id)) AS last FROM job_runs AS r WHERE end_ts IS NOT NULL GROUP BY job_name) USING (job_name))"""
+put("chk_latest_run", LATEST_RUN)
+SUITE_MACRO = LAGS.format(key="series_id", table="macro_raw", other="NULL", limits="('DGS10', 100), ('DGS2', 7), ('T10Y2Y', 7), "
+                          "('CPIAUCSL', 100), ('UNRATE', 100), ('FEDFUNDS', 100), ('UMCSENT', 100), ('GDP', 230), ('ABSENT', 5)")
+SUITE = " UNION ALL ".join(f"SELECT check_name, severity, status, observed FROM ({part})" for part in (
+    checked("markets_freshness", "markets_raw", "error", *FRESH, TOTALS.format(lags=BAR_LAGS)),
+    DUPES,
+    checked("markets_ohlc_sanity", "markets_raw", "error", "n = 0", "''", "{'bad_rows': n}",
+            """SELECT count(*) AS n FROM markets_raw
+    WHERE obs_date >= DATE '2001-12-31' - 30 AND (close IS NULL OR low <= 0 OR NOT high >= low
+      OR close NOT BETWEEN low AND high OR open NOT BETWEEN low AND high OR volume < 0)"""),
+    JUMP.replace("2001-11-04", "2001-12-31"),
+    checked("macro_freshness", "macro_raw", "error", *FRESH, TOTALS.format(lags=SUITE_MACRO)),
+    INTEGRITY,
+    recency("news_freshness", "").replace("2024-01-03", "2024-01-31").replace("2023-12-31", "2024-01-28"),
+    checked("quotes_last_session", "quotes_raw", "warn", "n >= 100 AND len(missing) = 0", "''",
+            "{'session': day, 'rows': n, 'missing': missing}",
+            """SELECT any_value(m.day) AS day, count(q.symbol) AS n,
+      list_filter(['click', 'error', 'purchase', 'refund', 'signup', 'view'],
+        lambda x: NOT coalesce(list_contains(list(DISTINCT q.symbol), x), false)) AS missing
+    FROM (SELECT max(obs_date) AS day FROM markets_raw) AS m LEFT JOIN quotes_raw AS q ON q.trade_ts::DATE = m.day"""),
+    AGES, LATEST_RUN))
+SUITE = f"SELECT 'run-1' AS run_id, * FROM ({SUITE}) UNION ALL SELECT 'run-1', 'broken_rule', 'error', 'error', '{{}}'"
+put("chk_run_all", SUITE)
+put("chk_suite_gate", f"""SELECT run_id, count(*) FILTER (status <> 'pass' AND severity = 'error') AS n_errors,
+  count(*) FILTER (status <> 'pass' AND severity <> 'error') AS n_warnings,
+  NOT coalesce(bool_or(status <> 'pass' AND severity = 'error'), false) AS passed,
+  string_agg(DISTINCT check_name, ',' ORDER BY check_name) FILTER (status <> 'pass') AS failed
+FROM ({SUITE}) GROUP BY run_id""")
 put("dq_gate", """SELECT run_id, count(*) FILTER (status <> 'pass' AND severity = 'error') AS n_errors,
   count(*) FILTER (status <> 'pass' AND severity <> 'error') AS n_warnings,
   NOT bool_or(status <> 'pass' AND severity = 'error') AS passed FROM dq_results GROUP BY run_id""")

@@ -6,6 +6,7 @@ import pytest
 from barloom import schemas as S
 from barloom.quality import checks as Q
 from barloom.quality import run as R
+from barloom.quality.suite import Limits, standard_checks
 from barloom.quality import tests as V
 
 DAY = dt.date(2024, 3, 10)
@@ -184,3 +185,28 @@ def test_run_that_ends_without_results_replaces_its_rows(spark, root):
         assert R.run_all(spark, {"c": lambda: row}, run, "2024-01-01", f"{root}/ops").count() == 1
     assert R.run_all(spark, {"c": lambda: row.limit(0)}, "a", "2024-01-01", f"{root}/ops").count() == 0
     assert R.run_all(spark, {"c": lambda: row}, "b/1", "2024-01-01", f"{root}/ops").count() == 1
+
+
+def test_a_check_may_have_any_number_of_rows(spark, root):
+    many = spark.range(25_000).selectExpr("concat('job:', id) AS check_name", *[f"'pass' AS {c}" for c in Q.RESULT_COLUMNS[1:]])
+    half = spark.range(0, 1000, 1, 4).selectExpr(
+        "if(id = 999, raise_error('late'), 'x') AS check_name", *[f"'pass' AS {c}" for c in Q.RESULT_COLUMNS[1:]])
+    out = R.run_all(spark, {"many": lambda: many, "half": lambda: half}, "r", "2024-01-01", f"{root}/ops")
+    assert out.count() == 25_001 and [r.check_name for r in out.where("status = 'error'").collect()] == ["half"]
+
+
+def test_the_suite_loses_only_checks_of_a_missing_table(spark, root):
+    from barloom import fixtures as X
+
+    def table(name):
+        if name == "news_raw":
+            raise FileNotFoundError(name)
+        return getattr(X, name)(spark, "/root/testdata/sf0.001")
+
+    checks = standard_checks(table, X.AS_OF_DATE, X.TRADES_NOW)
+    assert len(standard_checks(table, X.AS_OF_DATE, X.TRADES_NOW, jobs=lambda: None)) == 12
+    out = R.run_all(spark, checks, "r", X.TRADES_NOW, f"{root}/ops")
+    found = {r.check_name: r.status for r in out.collect()}
+    assert set(found) == set(checks) and {k for k, v in found.items() if v == "error"} == {"news_freshness", "news_duplicates"}
+    off = standard_checks(table, X.AS_OF_DATE, X.TRADES_NOW, Limits(quotes_enabled=False))
+    assert off["quotes_last_session"]().count() == 0

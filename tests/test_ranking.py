@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from barloom import fixtures as X
 from barloom.operators.ranking import rank_across_tasks, rank_in_window
+from barloom.operators.totals import running_before
 from barloom.plans import marts as G
 from barloom.plans import queries as Q
 
@@ -38,6 +39,20 @@ def test_both_ways_agree_and_match_brute_force(spark):
         assert ra == (None if a is None else 1 + sum(v > a for v in values[g]))
 
 
+def test_null_groups_and_spread(spark):
+    """Rows without a value or a group are ranked like others, and no range holds all."""
+    df = data(spark, 900).withColumn("g", F.when(F.col("g") != "g3", F.col("g")))
+    ranks = {"ra": "a", "rb": "b"}
+    assert rows(rank_across_tasks(df, ["g"], ranks)) == rows(rank_in_window(df, ["g"], ranks))
+    placed = running_before(spark.range(1000).selectExpr("id", "id % 3 AS n"), [], [F.desc("id")], "n", "before")
+    want, total = {}, 0
+    for i in range(999, -1, -1):
+        want[i] = total
+        total += i % 3
+    assert {r.id: r.before for r in placed.collect()} == want
+    assert placed.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+
+
 @pytest.fixture(scope="module")
 def models(spark):
     return Q.stored_models(spark, SF_DIR)

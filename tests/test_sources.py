@@ -123,6 +123,17 @@ def test_worklist_order_and_budget(spark):
     assert [r.symbol for r in W.refresh_worklist(keys, marks, "symbol", 2).collect()] == ["b", "c"]
 
 
+@pytest.mark.parametrize("budget,taken", [(0, "bcda"), (1, "b"), (2, "bc"), (3, "bc"), (4, "bcd"), (5, "bcda"), (9, "bcda")])
+def test_requests_are_counted(spark, budget, taken):
+    """b costs one request, c two, d and a one: c is started with one request left."""
+    keys = spark.createDataFrame([(k,) for k in "dcba"], "symbol string")
+    marks = spark.createDataFrame([("a", days(5)), ("c", days(1)), ("d", days(1))], "symbol string, watermark date")
+    acted = spark.createDataFrame([("c",), ("c",), ("z",)], "symbol string")
+    queue = W.pull_costs(W.refresh_worklist(keys, marks, "symbol", 0), acted)
+    got = W.within_budget(queue, [F.asc_nulls_first("watermark"), F.asc("symbol")], "requests", budget)
+    assert sorted(r.symbol for r in got.collect()) == sorted(taken)
+
+
 @pytest.mark.parametrize("row,acted", [
     ((6, 0.1, 1.0), True), ((6, None, 1.0), False), ((6, 0.0, 2.0), True), ((6, 0.0, None), True),
     ((5, 0.1, 2.0), False)])
