@@ -18,8 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm.columns import with_package
+from barloom.llm.page_text import language, links, page_text, title
 
 VERSION = "WARC/1.1"
+_VERSIONS = "WARC/1."
 #: Date of records built from pages that bring none.
 DATE = "2024-01-01T00:00:00Z"
 #: Identifiers of derived records follow from the source's, so a repeated run gives the same ones.
@@ -37,15 +39,6 @@ RECORD = ", ".join(f"{c} {'bigint' if c == 'content_length' else 'string'}" for
 _ARROW = pa.schema([(c, pa.int64() if c == "content_length" else pa.string()) for c in HEADERS]
                    + [("block", pa.binary())])
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head|svg)\b[^>]*>.*?</\1\s*>",
-                      re.DOTALL | re.IGNORECASE)
-_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""  # of a tag, whose quoted values may hold a >
-_BREAK = re.compile(r"</?(?:br|hr|p|div|h[1-6]|li|ul|ol|tr|table|article|section|blockquote|pre)\b" + _REST,
-                    re.IGNORECASE)
-_TAG = re.compile("<[a-zA-Z/!?]" + _REST)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.DOTALL | re.IGNORECASE)
-_LANG = re.compile(r"""<html\b[^>]*\blang\s*=\s*["']?([A-Za-z-]+)""", re.IGNORECASE)
-_LINK = re.compile(r"""<(a|img|link|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*["']([^"']*)["']""", re.IGNORECASE)
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w-]+)", re.IGNORECASE)
 
 
@@ -57,13 +50,6 @@ def _identifier(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(SPACE, chr(0).join(parts))}>"
 
 
-def page_text(page: str) -> str:
-    """Visible text: a line per block element, entities resolved, white space folded."""
-    body = _BREAK.sub("\n", " ".join(_DROPPED.sub(" ", page).split()))
-    lines = (" ".join(line.split()) for line in html.unescape(_TAG.sub("", body)).split("\n"))
-    return "\n".join(line for line in lines if line)
-
-
 def split_response(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """Status line, headers and payload of an HTTP response; without an empty line all is payload."""
     head, gap, payload = block.partition(b"\r\n\r\n")
@@ -92,16 +78,16 @@ def derive(source: dict) -> list[dict]:
     block = source["block"] or b""
     status, headers, payload = split_response(block)
     page = _decoded(payload, headers)
-    title, lang = _TITLE.search(page), _LANG.search(page)
+    named, lang = title(page), language(page)
     fields = [("source-status", status)] if status else []
     fields += [(f"source-{name.lower()}", value) for name, value in headers]
     # The source's digests are kept as they were; what is derived anew is named so.
     fields += [("source-block-digest", source["block_digest"] or ""),
                ("source-payload-digest", source["payload_digest"] or ""),
                ("computed-payload-digest", digest(payload))]
-    fields += [("title", _one_line(html.unescape(title[1])))] if title else []
-    fields += [("language", lang[1])] if lang else []
-    fields += [("outlink", f"{_one_line(html.unescape(url))} {tag.lower()}") for tag, url in _LINK.findall(page)]
+    fields += [("title", _one_line(html.unescape(named)))] if named is not None else []
+    fields += [("language", lang)] if lang else []
+    fields += [("outlink", f"{_one_line(html.unescape(url))} {tag}") for tag, url in links(page)]
     about = "".join(f"{name}: {value}\r\n" for name, value in fields).encode()
     text = page_text(page).encode()
     made = []
@@ -182,15 +168,16 @@ def write_records(records: DataFrame, path: str) -> None:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of archive files, split at the version line: record columns, block, and intact
-    (the block is as long as its header says and fits its digest). Nothing is left out: a record
-    whose block holds a version line of its own comes as pieces that are not intact."""
+    """Records of archive files of any 1.x version, split where a version line follows the end of
+    a record: record columns, block, and intact (the block is as long as its header says and fits
+    its digest). Nothing is left out: a record whose block holds such a place itself comes as
+    pieces that are not intact."""
     schema = RECORD + ", intact boolean"
     arrow = _ARROW.append(pa.field("intact", pa.bool_()))
     columns = {name.lower(): c for c, name in HEADERS.items()}
 
     def parse(data: bytes) -> dict:
-        head, _, block = data.partition(b"\r\n\r\n")
+        head, _, block = data.removeprefix(_VERSIONS.encode()).partition(b"\r\n\r\n")
         row: dict = {}
         for line in head.decode("utf-8", "replace").split("\r\n"):
             name, colon, value = line.partition(":")
@@ -207,6 +194,5 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             yield from pa.Table.from_pylist([parse(d.as_py()) for d in batch.column(0)], arrow).to_batches()
 
-    # The version line ends the text before it, so what precedes the first is empty.
-    split = spark.read.option("lineSep", f"{VERSION}\r\n").text(path).where("value != ''")
+    split = spark.read.option("lineSep", f"\r\n\r\n{_VERSIONS}").text(path).where("value != ''")
     return with_package(split).select(F.col("value").cast("binary")).mapInArrow(run, schema)

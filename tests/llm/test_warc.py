@@ -2,7 +2,14 @@
 
 import base64
 import hashlib
+import html
+import random
+import re
+import time
 
+import pytest
+
+from barloom.llm import page_text as P
 from barloom.llm import warc as W
 
 PAGE = """<!DOCTYPE html><html lang="de"><head><title>A &amp; B
@@ -22,8 +29,8 @@ def sha1(data):
 
 
 def test_text():
-    assert W.page_text(PAGE) == "One two <three>\nfour\nfünf\nsix 1 < 2"
-    assert W.page_text("") == "" and W.page_text("a < b > c") == "a < b > c"
+    assert P.page_text(PAGE) == "One two <three>\nfour\nfünf\nsix 1 < 2"
+    assert P.page_text("") == "" and P.page_text("a < b > c") == "a < b > c"
 
 
 def test_derivatives(spark):
@@ -45,7 +52,7 @@ def test_derivatives(spark):
     assert "source-content-type: text/html; charset=utf-8" in lines and "source-status: HTTP/1.1 200 OK" in lines
     assert "title: A & B c" in lines and "language: de" in lines and "outlink: /x?a=1&b=2 a" in lines
     texts = {r.page_id: bytes(r.block).decode() for r in found if r.warc_type == "conversion"}
-    assert texts[1] == W.page_text(PAGE) and texts[2] == texts[3] == "" and texts[None] == "plain"
+    assert texts[1] == P.page_text(PAGE) and texts[2] == texts[3] == "" and texts[None] == "plain"
     assert len(texts[4]) == 200_000 * 5 - 1
     assert W.derivatives(sources.where("false"), "page_id").count() == 0
     again = W.derivatives(sources.unionByName(W.derivatives(sources, "page_id")), "page_id")
@@ -73,6 +80,57 @@ def test_files_round_trip(spark, root):
     plain = lambda df: sorted(str(r) for r in df.collect())
     # An empty address is written as an empty header and comes back as one.
     assert plain(back.drop("intact").fillna("")) == plain(records.fillna(""))
+    with open(root + "/old.warc", "wb") as out:
+        for k in range(3):
+            out.write(b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (k, b"x" * k))
+    old = W.read_records(spark, root + "/old.warc").collect()
+    assert sorted((r.warc_type, bytes(r.block), r.intact) for r in old) == [("resource", b"x" * k, True) for k in range(3)]
     with open(root + "/bad.warc", "wb") as out:
         out.write(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 99\r\n\r\nshort\r\n\r\n")
     assert [r.intact for r in W.read_records(spark, root + "/bad.warc").collect()] == [False]
+
+
+_REST = r"""(?:[^>"']|"[^"]*"|'[^']*')*>"""
+_BREAKS = re.compile(r"</?(?:br|p|div|li)\b" + _REST, re.IGNORECASE)
+_TAGS = re.compile("<[a-zA-Z/!?]" + _REST)
+_HIDDEN = re.compile(r"<!--.*?-->|<(script|head)\b[^>]*>.*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+
+
+def brute_text(page):
+    """The same by trying each pattern at each place."""
+    body, out, k = " ".join(_HIDDEN.sub(" ", page).split()), "", 0
+    while k < len(body):
+        m = _BREAKS.match(body, k)
+        if m:
+            out, k = out + "\n", m.end()
+        elif m := _TAGS.match(body, k):
+            k = m.end()
+        else:
+            out, k = out + body[k], k + 1
+    lines = (" ".join(x.split()) for x in html.unescape(out).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+def test_broken_markup_against_brute_force():
+    rnd = random.Random(4)
+    parts = ["<", ">", '"', "'", "<p>", "</p ", "<a href='x'", "<a ", "<!--", "-->", "<script>", "</script>", "<SCRIPT x", "</script >",
+             "<head>", "</head>", "word ", "&amp;", "<br/>", "< ", "<1", "<b", "\n", "=", "<div title=\"a>b\">", "é"]
+    for _ in range(4000):
+        page = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25)))
+        assert P.page_text(page) == brute_text(page), page
+
+
+def test_links_title_language():
+    page = PAGE + "<IMG alt='>' src='i.png'><a name=x><link rel=y href = 'z'><a href='open"
+    assert P.links(page) == [("a", "/x?a=1&amp;b=2"), ("img", "i.png"), ("link", "z")]
+    assert P.title(page) == "A &amp; B\n c" and P.language(page) == "de"
+    assert P.title("<title") is P.title("<title>x") is P.language("<html lang=de") is P.language("") is None
+
+
+@pytest.mark.parametrize("piece", ["<script>", "<!--", "<a \"", "<a ", "<a '\"", "<title>", "<html ", "</script ", "<a href=", "<p", "<", "\"'", "<title "])
+def test_a_megabyte_of_unclosed_markup(piece):
+    page = piece * (1_000_000 // len(piece))
+    for whole in (page, page + ">"):
+        began = time.thread_time()
+        P.page_text(whole), P.links(whole), P.title(whole), P.language(whole)
+        assert time.thread_time() - began < 12
