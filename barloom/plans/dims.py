@@ -66,8 +66,7 @@ def dim_symbol(tickers: DataFrame, universe: DataFrame, stg_markets: DataFrame,
     """Watchlist symbols with metadata, currency, role and price range."""
     currency = newest_listing(universe).select("symbol", "price_currency")
     return (
-        # The watchlist is configuration, so its size does not follow the data.
-        tickers.join(F.broadcast(watchlist), "symbol", "left")
+        tickers.join(watchlist, "symbol", "left")
         .join(currency, "symbol", "left")
         .join(price_range(stg_markets), "symbol", "left")
         .select(
