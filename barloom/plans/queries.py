@@ -369,6 +369,16 @@ def src_newest_date(s, d):
         W.newest_date(news.filter("false"), "published_date").select(F.lit("none").alias("source"), "pull_start"))
 
 
+@query
+def src_stored_span(s, d):
+    """Oldest and newest day of a stored table, from its files' footers and from its folders' names."""
+    bars = X.company_prices_raw(s, d).select("symbol", "obs_date", F.trunc("obs_date", "month").alias("month"))
+    path = scratch_dir(s, "bars")
+    K.replace_slices(bars, path, ["month"])
+    day, month = K.stored_span(s, path, "obs_date"), K.stored_span(s, path, "month", in_folders=True)
+    return s.createDataFrame([("obs_date", *day), ("month", *month)], "name string, oldest date, newest date")
+
+
 @query
 def src_corporate_actions(s, d):
     bars = X.markets_raw(s, d).unionByName(X.company_prices_raw(s, d))

@@ -7,11 +7,12 @@ that becomes current only once it is complete.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -44,6 +45,36 @@ def read_or_none(spark: SparkSession, path: str, schema: StructType | None = Non
         raise
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+#: Aggregates over partition columns become a scan of folder names; those over numbers and dates
+#: are answered from the footers of parquet files.
+_FROM_FOLDERS = {"spark.sql.optimizer.metadataOnly": "true"}
+_FROM_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+                 "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def stored_span(spark: SparkSession, path: str, column: str, in_folders: bool = False) -> Row | None:
+    """(oldest, newest) value of a column of a stored table, without reading its rows; None before
+    the first load. ``in_folders`` says that the table is partitioned by the column; a folder
+    counts even if its files are empty. A column of a type without statistics, such as a
+    timestamp, is read."""
+    with _settings(spark, _FROM_FOLDERS if in_folders else _FROM_FOOTERS):
+        stored = read_or_none(spark, path)
+        return None if stored is None else stored.agg(
+            F.min(column).alias("oldest"), F.max(column).alias("newest")).first()
+
+
 def with_docs(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
     """Attach column comments; parquet and catalog tables keep them."""
     return df.select(*[

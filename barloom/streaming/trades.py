@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators.bars import BAR_KEYS, affected_bars, intraday_bars
-from barloom.operators.merge import newer_than, upsert
+from barloom.operators.merge import upsert
 from barloom.plans.staging import stg_trades
-from barloom.sinks.tables import merge_slices, read_or_none, swap_slices
+from barloom.sinks.tables import merge_slices, stored_span, swap_slices
 from barloom.sources.trades import stream_trade_files
 
 
@@ -45,11 +45,11 @@ def rebuild_bars(spark: SparkSession, trades: DataFrame, path: str, staging: str
     so a repeat after a cut swap puts in all of them, whatever is stored by then.
     """
     def make() -> DataFrame:
-        stored = read_or_none(spark, path)
-        if stored is None:
+        # The newest date is the name of a folder; no bar is read for it.
+        span = stored_span(spark, path, "bar_date", in_folders=True)
+        if span is None or span["newest"] is None:
             return intraday_bars(trades)
-        return intraday_bars(newer_than(trades, "trade_date", stored, "bar_date", "1900-01-01",
-                                        inclusive=True))
+        return intraday_bars(trades.filter(F.col("trade_date") >= F.lit(span["newest"])))
 
     swap_slices(spark, path, ["bar_date"], staging, make)
 

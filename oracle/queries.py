@@ -86,6 +86,8 @@ put("src_request_budget", f"""SELECT symbol, watermark, requests FROM (
           WHERE c.obs_date > m.seen AND (coalesce(c.div_cash, 0) <> 0 OR c.split_factor IS DISTINCT FROM 1.0)) AS a USING (symbol)))
 WHERE before < 30""")
 put("src_newest_date", "SELECT 'news' AS source, max(published_date)::DATE AS pull_start FROM news_raw UNION ALL SELECT 'none', NULL")
+put("src_stored_span", """SELECT 'obs_date' AS name, min(obs_date) AS oldest, max(obs_date) AS newest FROM company_prices_raw
+UNION ALL SELECT 'month', date_trunc('month', min(obs_date))::DATE, date_trunc('month', max(obs_date))::DATE FROM company_prices_raw""")
 put("src_corporate_actions", """
 SELECT DISTINCT b.symbol
 FROM (SELECT * FROM markets_raw UNION ALL SELECT * FROM company_prices_raw) AS b

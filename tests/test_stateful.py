@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators import merge as M
 from barloom.operators.bars import intraday_bars
@@ -76,5 +77,20 @@ def test_upsert_counts_come_with_the_write(spark, root):
         M.upsert(old, new.union(new), ["k"]).collect()
 
 
+def test_span_comes_from_folders_and_footers(spark, root):
+    path = f"{root}/t"
+    assert K.stored_span(spark, path, "d") is None
+    spark.range(100).selectExpr("id", "date_add(date'2020-01-01', cast(id % 50 AS int)) AS d",
+                                "date_add(date'2020-01-01', cast(id % 5 AS int)) AS p").write.partitionBy("p").parquet(path)
+    for column, folders, newest in (("p", True, dt.date(2020, 1, 5)), ("d", False, dt.date(2020, 2, 19)), ("id", False, 99)):
+        assert K.stored_span(spark, path, column, folders)["newest"] == newest
+    with K._settings(spark, K._FROM_FOOTERS):
+        plan = spark.read.parquet(path).agg(F.max("d"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(d)]" in plan
+    with K._settings(spark, K._FROM_FOLDERS):
+        plan = spark.read.parquet(path).agg(F.max("p"))._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "Scan parquet" not in plan
+
+
 def test_times_are_utc(spark):
     assert minute(0) == dt.datetime(2024, 1, 10, 15, 0)
