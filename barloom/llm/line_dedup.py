@@ -71,17 +71,24 @@ def _least_overlap(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * SIMILAR / (SIMILAR + OF))
 
 
-def row_key(id_column: str, text: str) -> Column:
-    """A row's place: by id, null last, rows of one id by a hash of their text. Rows that agree
-    in both are one document."""
-    return F.struct(F.col(id_column).isNull().alias("no_id"), F.col(id_column).alias("id"), F.xxhash64(text).alias("row"))
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["id"].eqNullSafe(b["id"]) & (a["row"] == b["row"])
 
 
-def line_table(docs: DataFrame, id_column: str, text: str, steps: Column) -> DataFrame:
+def _distinct_rows(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame:
+    """(id, t): one row for all that agree in id and text. As id the row's place: by id, null
+    last, rows of one id by a hash of their text."""
+    rows = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("row"), F.col(text).alias("t"))
+    again = put(rows.groupBy("id", "row").agg(F.count("*").alias("n")).where("n > 1").select("id", "row"), "again")
+    one = rows.join(again, _same(rows, again), "left_semi").groupBy("id", "row").agg(F.first("t").alias("t"))
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    return rows.join(again, _same(rows, again), "left_anti").unionByName(one).select(place.alias("id"), "t")
+
+
+def line_table(rows: DataFrame, steps: Column) -> DataFrame:
     """One row per line with a word: the row's key as id, line (from 0), n words, the set's two
     hashes, the parity signature, and the prefix."""
-    lines = docs.select(
-        row_key(id_column, text).alias("id"), F.posexplode(F.split(text, "\n")).alias("line", "t")
+    lines = rows.select("id", F.posexplode(F.split("t", "\n")).alias("line", "t")
     ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
     made = lines.select("id", "line", tokens(F.col("t"), steps).alias("tokens"))
     n = F.size("tokens")
@@ -126,17 +133,15 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     ).select("id", "line", "of_id", "of_line").distinct()
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_column: str, text: str, steps: Column,
-              put: Put) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, steps: Column, put: Put) -> DataFrame:
     """The earliest similar line for each line that has one."""
     pairs = put(pairs, "pairs")
     used = pairs.select("id", "line").unionByName(pairs.select(
         F.col("of_id").alias("id"), F.col("of_line").alias("line"))).distinct()
     per_doc = used.groupBy("id").agg(F.collect_list("line").alias("used"))  # at most a text's lines
-    # Rows of one key have one text, and any of them gives its lines.
-    fetched = docs.select(row_key(id_column, text).alias("id"), F.col(text).alias("t")).join(per_doc, "id").select(
+    fetched = rows.join(per_doc, "id").select(
         "id", F.explode("used").alias("line"), F.split("t", "\n").alias("all")).select(
-        "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens")).dropDuplicates(["id", "line"])
+        "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens"))
     fetched = put(fetched, "fetched")
     of = fetched.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"),
                         F.col("tokens").alias("of_tokens"))
@@ -171,7 +176,8 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
 def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame:
     steps = rarity(docs, text)
-    table = put(line_table(docs, id_column, text, steps), "lines")
+    rows = _distinct_rows(docs, id_column, text, put)
+    table = put(line_table(rows, steps), "lines")
     place = Window.partitionBy("k1", "k2").orderBy("id", "line")
     firsts = put(table.withColumn("__r", F.row_number().over(place)).where("__r = 1").drop("__r"), "firsts")
     copies = table.select("id", "line", "k1", "k2").join(
@@ -185,7 +191,7 @@ def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame
         pivots = postings.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= PIVOTS)
         return _candidates(postings, pivots)
 
-    settled = put(_verified(_by_parts(early, put), docs, id_column, text, steps, put), "settled")
+    settled = put(_verified(_by_parts(early, put), rows, steps, put), "settled")
     open_ones = firsts.join(settled.select("id", "line"), ["id", "line"], "left_anti")
 
     def late(part: int) -> DataFrame:
@@ -195,7 +201,7 @@ def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame
             F.col("m") > PIVOTS).select("token")
         return _candidates(_postings(open_ones, part).join(crowded, "token", "left_semi"), postings)
 
-    late_ones = _verified(_by_parts(late, put), docs, id_column, text, steps, put)
+    late_ones = _verified(_by_parts(late, put), rows, steps, put)
     return copies.unionByName(settled).unionByName(late_ones).distinct()
 
 
@@ -204,10 +210,19 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows with one id and one text the first keeps its lines, and the others have lines without a
     word only."""
     gone = repeated_lines(docs, id_column, text).groupBy("id", "row").agg(F.collect_set("line").alias("__gone"))
-    gone = gone.select(F.col("id").alias("__id"), F.col("row").alias("__row"), "__gone")
-    again = F.row_number().over(Window.partitionBy(id_column, "__hash").orderBy(id_column)) > 1
-    named = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__again", again)
-    joined = named.join(gone, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__row")), "left")
+    hashed = docs.select(*docs.columns, F.col(id_column).alias("__id"), F.xxhash64(text).alias("__row"))
+    key = lambda df: df.select(F.col("id").alias("__i"), F.col("row").alias("__r"), *df.columns[2:])
+    same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__row") == F.col("__r"))
+    again = key(hashed.groupBy(F.col("__id").alias("id"), F.col("__row").alias("row")).agg(
+        F.count("*").alias("n")).where("n > 1").drop("n"))
+    once = hashed.join(again, same, "left_anti").withColumn("__again", F.lit(False))
+    # Equal rows are counted, so that a group of any size is small before one of it is chosen.
+    several = hashed.join(again, same, "left_semi").groupBy(*hashed.columns).agg(F.count("*").alias("__n"))
+    nth = F.row_number().over(Window.partitionBy("__id", "__row").orderBy(F.xxhash64(*docs.columns)))
+    copies = several.withColumn("__nth", nth).select(
+        *hashed.columns, "__nth", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__copy")).select(
+        *hashed.columns, ((F.col("__nth") > 1) | (F.col("__copy") > 1)).alias("__again"))
+    joined = once.unionByName(copies).join(key(gone), same, "left")
     lines = F.split(text, "\n")
     blank = lambda x: F.length(F.btrim(x, F.lit(" " + WHITE))) == 0
     dropped = F.coalesce("__gone", F.array().cast("array<int>"))

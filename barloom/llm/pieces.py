@@ -64,7 +64,7 @@ class Memo(dict):
     older one, and what is asked for again moves over. So memory stays bounded and chunks in use
     are not lost."""
 
-    LIMIT, LONGEST = 200_000, 48
+    LIMIT, LONGEST = 100_000, 48
 
     def __init__(self, compute):
         super().__init__()
