@@ -25,6 +25,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.taskcontext import TaskContext
 
 from barloom.llm.columns import add_columns, with_package
 from barloom.llm.components import components
@@ -39,9 +41,11 @@ SIMILAR, OF = 85, 100
 SKETCH_BITS = 20
 _SLICES = 16
 #: Pivots that cut a region, and how often regions are cut.
-PIVOTS, DEPTH = 8, 4
+PIVOTS, DEPTH = 4, 4
 #: A region is joined as it is if its rows have so many possible partners on the average.
-PARTNERS = 32
+PARTNERS = 16
+#: 64-bit words of a set's parity. Pairs that differ in too many bits are not compared further.
+PARITY_WORDS = 8
 #: Against rounding: windows may be wider than they need to be, never narrower.
 _SLACK = 1e-9
 _SEED = 42
@@ -72,107 +76,138 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return made[0] if len(made) == 1 else np.unique(np.concatenate(made))
 
 
-def _sets(docs: DataFrame, words: int, with_set: bool) -> DataFrame:
-    """The columns but the text, with the set's size, two hashes of it and, as wanted, itself."""
+def _identity(found: np.ndarray) -> tuple[int, int, int]:
+    """Size and two hashes of a set."""
+    raw = found.tobytes()
+    return len(found), *(xxhash.xxh64_intdigest(raw, seed) - (1 << 63) for seed in (1, 2))
+
+
+def _members(docs: DataFrame, words: int) -> DataFrame:
+    """(id, n, hi, lo) of each row of ``docs`` (id, text); and in rows with a slice the counters
+    of each task's shingles, so that the texts are read once for both."""
+    schema = StructType([docs.schema["id"]]).add("n", "long").add("hi", "long").add("lo", "long") \
+        .add("slice", "integer").add("task", "integer").add("counts", "binary")
+    size = 1 << SKETCH_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, kind = np.zeros(size, dtype=np.uint32), pa.null()
+        for whole in batches:
+            kind = whole.column(0).type
+            for start in range(0, whole.num_rows, 128):
+                batch = whole.slice(start, 128)
+                rows = []
+                for t in batch.column(1).to_pylist():
+                    found = shingles(t, words)
+                    np.add.at(total, (found & np.uint64(size - 1)).astype(np.int64), np.uint32(1))
+                    rows.append(_identity(found))
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(x, pa.int64()) for x in zip(*rows)), pa.nulls(n, pa.int32()),
+                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=schema.fieldNames())
+        task = TaskContext.get().partitionId() % 64
+        nothing = [pa.nulls(_SLICES, kind)] + [pa.nulls(_SLICES, pa.int64())] * 3
+        if not pa.types.is_null(kind):
+            yield pa.RecordBatch.from_arrays(
+                [*nothing, pa.array(range(_SLICES), pa.int32()), pa.array([task] * _SLICES, pa.int32()),
+                 pa.array([part.tobytes() for part in np.split(total, _SLICES)], pa.binary())], names=schema.fieldNames())
+
+    return with_package(docs).select("id", "text").mapInArrow(run, schema)
+
+
+def _identified(docs: DataFrame, words: int) -> DataFrame:
     def make():
-        def compute(texts):
-            for t in texts:
-                found = shingles(t, words)
-                raw = found.tobytes()
-                row = (len(found), *(xxhash.xxh64_intdigest(raw, seed) - (1 << 63) for seed in (1, 2)))
-                yield (*row, raw) if with_set else row
-        return compute
+        return lambda texts: (_identity(shingles(t, words)) for t in texts)
 
-    return add_columns(docs, "text", "n bigint, hi bigint, lo bigint" + ", members binary" * with_set, make,
-                       keep=[] if with_set else ["id"])
+    return add_columns(docs, "text", "n bigint, hi bigint, lo bigint", make, keep=["text"])
 
 
 def _added_up(slices: DataFrame, keys: list[str]) -> DataFrame:
     def run(_, table):
-        parts = [np.frombuffer(x, dtype=np.int64) for x in table.column("counts").to_pylist()]
-        total = sum(parts[1:], parts[0])
+        total = np.zeros(size, dtype=np.uint64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
+        total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
         return pa.table([table.column("slice")[:1], table.column("task")[:1],
                          pa.array([total.tobytes()], pa.binary())], names=["slice", "task", "counts"])
 
+    size = (1 << SKETCH_BITS) // _SLICES
     return slices.groupBy(*keys).applyInArrow(run, "slice int, task int, counts binary")
 
 
-def _steps(classes: DataFrame) -> bytes:
-    """For each counter how frequent its shingles are, as a bit length: 2**SKETCH_BITS bytes. The
+def _steps(counted: DataFrame) -> bytes:
+    """For each counter how frequent its shingles are, in half octaves: 2**SKETCH_BITS bytes. The
     counters are added up in slices, first of 64 groups of tasks, so that no task holds many."""
-    size = 1 << SKETCH_BITS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        total = np.zeros(size, dtype=np.int64)
-        for batch in batches:
-            for raw in batch.column(0):
-                at = np.frombuffer(raw.as_buffer(), dtype=np.uint64) & np.uint64(size - 1)
-                np.add.at(total, at.astype(np.int64), 1)
-        parts = np.split(total, _SLICES)
-        task = TaskContext.get().partitionId() % 64
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(_SLICES), pa.int32()), pa.array([task] * _SLICES, pa.int32()),
-             pa.array([p.tobytes() for p in parts], pa.binary())], names=["slice", "task", "counts"])
-
-    counted = classes.select("members").mapInArrow(count, "slice int, task int, counts binary")
     summed = _added_up(_added_up(counted, ["slice", "task"]), ["slice"])
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            short = [np.ceil(2 * np.log2(np.frombuffer(x, dtype=np.int64) + 1)).astype(np.uint8).tobytes()
+            short = [np.ceil(2 * np.log2(np.frombuffer(x, dtype=np.uint32) + 1.0)).astype(np.uint8).tobytes()
                      for x in batch.column("counts").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(short, pa.binary())], names=["slice", "steps"])
 
     found = {r.slice: bytes(r.steps) for r in summed.mapInArrow(shorten, "slice int, steps binary").collect()}
-    return b"".join(found.get(k, bytes(size // _SLICES)) for k in range(_SLICES))
+    return b"".join(found.get(k, bytes((1 << SKETCH_BITS) // _SLICES)) for k in range(_SLICES))
 
 
 def prefix_length(n: int, similar: int, of: int) -> int:
     return n - -(-n * similar // of) + 1
 
 
-def _first_regions(classes: DataFrame, similar: int, of: int, put: Put) -> DataFrame:
-    """(g, c, n, at, lead): the class c lies in the region of the shingle g, which stands in its
-    order at the place ``at``; lead is the step of its rarest shingle. Regions of one are left out."""
-    steps = _steps(classes)
+def parity(found: np.ndarray) -> np.ndarray:
+    """Bits that each shingle of the set turns over, in words, so that two sets differ in at least
+    as many shingles as bits."""
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = np.frombuffer(steps, dtype=np.uint8)
+def _described(classes: DataFrame, words: int, similar: int, of: int, steps: bytes) -> DataFrame:
+    """(c, n, parity, lead, prefix) of each class: lead is the step of its rarest shingle."""
+    order = classes.sparkSession.sparkContext.broadcast(steps)  # of fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = np.frombuffer(order.value, dtype=np.uint8)
         for whole in batches:
             for start in range(0, whole.num_rows, 128):
                 batch = whole.slice(start, 128)
-                made = []
-                for c, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    found = np.frombuffer(raw.as_buffer(), dtype=np.uint64)
+                rows = []
+                for t in batch.column(1).to_pylist():
+                    found = shingles(t, words)
                     rare = step[(found & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-                    p = prefix_length(len(found), similar, of)
-                    first = np.lexsort((found, rare))[:p]
-                    made.append((found[first].view(np.int64), np.full(p, c), np.full(p, len(found)),
-                                 np.arange(p), np.full(p, rare[first[0]], dtype=np.int64)))
-                if made:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)],
-                                                     names=["g", "c", "n", "at", "lead"])
-
-    posted = put(classes.select("c", "members").mapInArrow(
-        post, "g bigint, c bigint, n bigint, at bigint, lead bigint"), "postings")
+                    first = np.lexsort((found, rare))[:prefix_length(len(found), similar, of)]
+                    rows.append((len(found), parity(found), int(rare[first[0]]), found[first].view(np.int64)))
+                kinds = pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(x, kind) for x, kind in zip(zip(*rows), kinds))],
+                    names=["c", "n", "parity", "lead", "prefix"])
+
+    return classes.select("c", "text").mapInArrow(
+        run, "c bigint, n bigint, parity array<bigint>, lead bigint, prefix array<bigint>")
+
+
+def _first_regions(described: DataFrame, put: Put) -> DataFrame:
+    """(g, c, n, at, lead): the class c lies in the region of the shingle g, which stands in its
+    order at the place ``at``. Regions of one are left out."""
+    posted = described.select("c", "n", "lead", F.posexplode("prefix").alias("at", "g"))
     held = posted.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
-    return put(posted.join(held, "g"), "regions")
+    return put(posted.join(held, "g").select("g", "c", "n", "at", "lead"), "regions")
 
 
 def _may_link(similar: int, of: int) -> Column:
-    """Of two rows of a region, by their sizes and the places of a shingle they share: what
-    comes before the first shared one is not shared, and one of the regions of a linked pair is
-    that of its first."""
-    least = F.ceil((F.col("n") + F.col("of_n")) * similar / (similar + of) - _SLACK)
+    """Of two rows of a region, by their sizes, their parities, and the places of a shingle they
+    share: what comes before the first shared one is not shared, and one of the regions of a
+    linked pair is that of its first."""
+    both = F.col("n") + F.col("of_n")
+    least = F.ceil(both * similar / (similar + of) - _SLACK)
+    differ = sum((F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("of_parity")[k])) for k in range(1, PARITY_WORDS)),
+                 F.bit_count(F.col("parity")[0].bitwiseXOR(F.col("of_parity")[0])))
     reach = F.least("at", "of_at") + F.least(F.col("n") - F.col("at"), F.col("of_n") - F.col("of_at"))
-    return (F.least("n", "of_n") * of >= F.greatest("n", "of_n") * similar) & (reach >= least)
+    return (F.least("n", "of_n") * of >= F.greatest("n", "of_n") * similar) & (reach >= least) \
+        & (differ <= both - 2 * least)
 
 
 def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
-    """(a, b, d, near) for the pairs (a, b): their distance, and whether they are linked, which
-    is decided in whole numbers by the caller's fraction."""
+    """(a, b, shared, either) for the pairs (a, b): the sizes of intersection and union."""
     of = lambda c: sets.select(F.col("c").alias(c), F.col("members").alias(f"in_{c}"))
     pairs = wanted.join(of("b"), "b").join(of("a"), "a").select("a", "b", "in_a", "in_b")
 
@@ -193,27 +228,52 @@ def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
     return put(pairs.mapInArrow(run, "a bigint, b bigint, shared bigint, either bigint"), "measured")
 
 
+def _sets(classes: DataFrame, words: int) -> DataFrame:
+    def make():
+        return lambda texts: ((shingles(t, words).tobytes(),) for t in texts)
+
+    return add_columns(classes, "text", "members binary", make, keep=["c"])
+
+
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _rooted(regions: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return regions.withColumn("root", F.col("c"))
-    return regions.join(roots, regions.c == roots.node, "left").select(
-        *regions.columns, F.coalesce("root", "c").alias("root"))
+def _told(regions: DataFrame, described: DataFrame, roots: DataFrame) -> DataFrame:
+    return regions.join(described.select("c", "parity"), "c").join(
+        roots.withColumnRenamed("node", "c"), "c", "left").select(
+        *regions.columns, "parity", F.coalesce("root", "c").alias("root"))
+
+
+def _with_links(roots: DataFrame, links: DataFrame, put: Put) -> DataFrame:
+    """(node, root) with more links: they are drawn between the roots that there are, so what is
+    connected already is not gone through again."""
+    drawn = put(_other_roots(links, roots).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "drawn")
+    if drawn.isEmpty():
+        return roots
+    moved = put(components(drawn, put).select(F.col("node").alias("root"), F.col("root").alias("to")), "moved")
+    known = roots.select("node", "root").unionByName(
+        moved.select(F.col("root").alias("node"), "root").join(roots.select("node"), "node", "left_anti"))
+    return put(known.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root")), "roots")
+
+
+def _other_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) that links have not connected, with the roots of both."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    found = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("root_a", "a").alias("root_a"), F.coalesce("root_b", "b").alias("root_b"))
+    return found.where("root_a != root_b")
 
 
-def linked_classes(classes: DataFrame, similar: int, of: int, put: Put) -> DataFrame:
-    """(a, b, shared, either): links between ``classes`` (c, members) whose components are those
-    of all links. Pairs that others have connected by then may be left out."""
+def linked_classes(classes: DataFrame, described: DataFrame, words: int, similar: int, of: int, put: Put) -> DataFrame:
+    """(node, root) for ``classes`` (c, text) that are linked with others: the components of all
+    links. Pairs that others have connected by then are not looked at."""
     radius = 1 - similar / of
-    regions = _first_regions(classes, similar, of, put)
-    sets = put(classes.join(regions.select("c").distinct(), "c", "left_semi"), "sets")
-    regions = regions.withColumns({"visits": F.lit(0), "d": F.lit(None).cast("double")})
-    links, roots = None, None
+    regions = _first_regions(described, put).withColumns({"visits": F.lit(0), "d": F.lit(None).cast("double")})
+    sets = None
+    roots = put(regions.sparkSession.createDataFrame([], "node bigint, root bigint"), "roots")
     for depth in range(DEPTH + 1):
-        rows = put(_rooted(regions, roots), "rooted")
+        rows = put(_told(regions, described, roots), "told")
         by_root = rows.groupBy("g", "root").agg(F.count("*").alias("k"))
         size = by_root.groupBy("g").agg(
             F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("sq"),
@@ -222,24 +282,27 @@ def linked_classes(classes: DataFrame, similar: int, of: int, put: Put) -> DataF
         crowded = (F.col("m") * F.col("m") - F.col("sq") > 2 * PARTNERS * F.col("m")) & F.lit(depth < DEPTH)
         live = put(rows.join(size, "g").select(
             *rows.columns, (F.col("root") != F.col("most.root")).alias("minor"), crowded.alias("crowded")), "live")
-        wanted = _joined(live.where("not crowded"), radius, similar, of)
-        large = live.where("crowded")
+        large = live.where("crowded").drop("parity")
         pivots = put(_pivots(large, depth), "pivots")
-        wanted = put(wanted.unionByName(large.join(pivots, "g").where("c != p").select(*_pair("c", "p"))).distinct(), "wanted")
+        near = _joined(live.where("not crowded"), radius, similar, of)
+        far = large.join(pivots, "g").where("c != p").select(*_pair("c", "p"))
+        wanted = put(near.unionByName(far).distinct(), "wanted")
+        if sets is None:
+            used = wanted.select(F.col("a").alias("c")).unionByName(wanted.select(F.col("b").alias("c"))).unionByName(
+                large.select("c")).distinct()
+            sets = put(_sets(classes.join(used, "c", "left_semi"), words), "sets")
         found = _measured(wanted, sets, put)
-        new = found.where(F.col("shared") * of >= F.col("either") * similar)
-        links = new if links is None else links.unionByName(new)
+        roots = _with_links(roots, found.where(F.col("shared") * of >= F.col("either") * similar), put)
+        if pivots.isEmpty():
+            break
         regions = _cut(large, pivots, found, radius, depth, put)
-        if regions.isEmpty():
-            return links
-        roots = put(components(links.select("a", "b"), put), "roots")
-    return links
+    return roots
 
 
 def _joined(rows: DataFrame, radius: float, similar: int, of: int) -> DataFrame:
     """Pairs of a region that may be linked: not of one component (at least one is outside the
     region's largest), not both visitors of a region that one of them visits on one level."""
-    other = rows.select("g", *(F.col(c).alias(f"of_{c}") for c in ("c", "n", "at", "visits", "d", "root", "minor")))
+    other = rows.select("g", *(F.col(c).alias(f"of_{c}") for c in ("c", "n", "at", "visits", "d", "root", "minor", "parity")))
     apart = F.coalesce(F.abs(F.col("d") - F.col("of_d")) <= radius + _SLACK, F.lit(True))
     return rows.where("minor").join(other, "g").where(
         (F.col("root") != F.col("of_root")) & (~F.col("of_minor") | (F.col("c") < F.col("of_c")))
@@ -299,10 +362,14 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     """
     plain = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
     with workspace() as put:
-        members = stored(_sets(with_package(plain), words, False), "members")
-        classes = put(_sets(plain, words, True).where("n > 0").groupBy("hi", "lo").agg(
-            F.first("members").alias("members")).withColumn("c", F.monotonically_increasing_id()), "classes")
-        roots = components(linked_classes(classes.select("c", "members"), similar, of, put).select("a", "b"), put)
+        told = put(_members(plain, words), "counted")
+        members = stored(told.where("slice is null").select("id", "n", "hi", "lo"), "members")
+        steps = _steps(told.where("slice is not null").select("slice", "task", "counts"))
+        keyed = _identified(plain, words).where("n > 0")
+        classes = put(keyed.groupBy("hi", "lo").agg(F.first("text").alias("text")).withColumn(
+            "c", F.monotonically_increasing_id()), "classes")
+        described = put(_described(classes, words, similar, of, steps), "described")
+        roots = linked_classes(classes.select("c", "text"), described, words, similar, of, put)
         keyed = classes.select("hi", "lo", "c").join(roots, F.col("c") == F.col("node"), "left").select(
             "hi", "lo", "c", F.coalesce("root", "c").alias("root"))
         least = members.groupBy("hi", "lo").agg(F.min("id").alias("least"))

@@ -58,7 +58,7 @@ def test_shingles():
         assert len(nj.shingles(t)) == len(brute_set(t, 4))
 
 
-@pytest.mark.parametrize("pivots, partners, depth", [(8, 32, 4), (2, 1, 3), (3, 2, 0)])
+@pytest.mark.parametrize("pivots, partners, depth", [(4, 16, 4), (2, 1, 3), (3, 2, 0)])
 def test_components(spark, monkeypatch, pivots, partners, depth):
     monkeypatch.setattr(nj, "PIVOTS", pivots)
     monkeypatch.setattr(nj, "PARTNERS", partners)
@@ -72,7 +72,7 @@ def test_other_parameters_and_regions_apart(spark, monkeypatch):
     """Families that share a tail, in an order that does not put it last, and a radius so small
     that regions of the tail are cut by family."""
     monkeypatch.setattr(nj, "PARTNERS", 1)
-    monkeypatch.setattr(nj, "_steps", lambda classes: bytes(1 << nj.SKETCH_BITS))
+    monkeypatch.setattr(nj, "_steps", lambda counted: bytes(1 << nj.SKETCH_BITS))
     cuts, cut = [], nj._cut
 
     def spied(rows, *rest):
