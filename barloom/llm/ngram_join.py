@@ -43,7 +43,9 @@ _SLICES = 16
 #: Pivots that cut a region, and how often regions are cut.
 PIVOTS, DEPTH = 4, 4
 #: A region is joined as it is if its rows have so many possible partners on the average.
-PARTNERS = 16
+PARTNERS = 32
+#: Pairs are compared in so many parts, so that the sets of one part only are on disk at a time.
+PARTS = 4
 #: 64-bit words of a set's parity. Pairs that differ in too many bits are not compared further.
 PARITY_WORDS = 8
 #: Against rounding: windows may be wider than they need to be, never narrower.
@@ -207,9 +209,10 @@ def _may_link(similar: int, of: int) -> Column:
 
 
 def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
-    """(a, b, shared, either) for the pairs (a, b): the sizes of intersection and union."""
-    of = lambda c: sets.select(F.col("c").alias(c), F.col("members").alias(f"in_{c}"))
-    pairs = wanted.join(of("b"), "b").join(of("a"), "a").select("a", "b", "in_a", "in_b")
+    """(a, b, shared, either) for the pairs (a, b): the sizes of intersection and union. The pairs
+    go in parts, as each takes two sets through a shuffle."""
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(PARTS))
+    of = lambda c, rows: rows.select(F.col("c").alias(c), F.col("members").alias(f"in_{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -225,7 +228,13 @@ def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
                 [whole.column(0), whole.column(1), pa.array(shared, pa.int64()), pa.array(either, pa.int64())],
                 names=["a", "b", "shared", "either"])
 
-    return put(pairs.mapInArrow(run, "a bigint, b bigint, shared bigint, either bigint"), "measured")
+    found = None
+    for k in range(PARTS):
+        pairs = wanted.where(part("a") == k).join(of("b", sets), "b").join(
+            of("a", sets.where(part("c") == k)), "a").select("a", "b", "in_a", "in_b")
+        measured = put(pairs.mapInArrow(run, "a bigint, b bigint, shared bigint, either bigint"), "measured")
+        found = measured if found is None else found.unionByName(measured)
+    return found
 
 
 def _sets(classes: DataFrame, words: int) -> DataFrame:

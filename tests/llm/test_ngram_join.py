@@ -58,7 +58,7 @@ def test_shingles():
         assert len(nj.shingles(t)) == len(brute_set(t, 4))
 
 
-@pytest.mark.parametrize("pivots, partners, depth", [(4, 16, 4), (2, 1, 3), (3, 2, 0)])
+@pytest.mark.parametrize("pivots, partners, depth", [(4, 32, 4), (2, 1, 3), (3, 2, 0)])
 def test_components(spark, monkeypatch, pivots, partners, depth):
     monkeypatch.setattr(nj, "PIVOTS", pivots)
     monkeypatch.setattr(nj, "PARTNERS", partners)
