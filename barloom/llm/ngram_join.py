@@ -48,6 +48,9 @@ PARTNERS = 32
 PARTS = 4
 #: 64-bit words of a set's parity. Pairs that differ in too many bits are not compared further.
 PARITY_WORDS = 8
+#: Rows that Python gets at a time: a pair comes with two whole sets, of up to 160 KB each for a
+#: text of 20,000 words, which the executor and its worker both hold.
+ARROW_ROWS = 512
 #: Against rounding: windows may be wider than they need to be, never narrower.
 _SLACK = 1e-9
 _SEED = 42
@@ -112,6 +115,7 @@ def _members(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*nothing, pa.array(range(_SLICES), pa.int32()), pa.array([task] * _SLICES, pa.int32()),
                  pa.array([part.tobytes() for part in np.split(total, _SLICES)], pa.binary())], names=schema.fieldNames())
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return with_package(docs).select("id", "text").mapInArrow(run, schema)
 
@@ -123,31 +127,29 @@ def _identified(docs: DataFrame, words: int) -> DataFrame:
     return add_columns(docs, "text", "n bigint, hi bigint, lo bigint", make, keep=["text"])
 
 
-def _added_up(slices: DataFrame, keys: list[str]) -> DataFrame:
+def _added_up(slices: DataFrame, keys: list[str], told: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """One row per ``keys``, with what ``told`` makes of the sum of its counters."""
     def run(_, table):
         total = np.zeros(size, dtype=np.uint64)
         for x in table.column("counts"):
             total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
         total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
         return pa.table([table.column("slice")[:1], table.column("task")[:1],
-                         pa.array([total.tobytes()], pa.binary())], names=["slice", "task", "counts"])
+                         pa.array([told(total).tobytes()], pa.binary())], names=["slice", "task", "counts"])
 
     size = (1 << SKETCH_BITS) // _SLICES
     return slices.groupBy(*keys).applyInArrow(run, "slice int, task int, counts binary")
 
 
-def _steps(counted: DataFrame) -> bytes:
-    """For each counter how frequent its shingles are, in half octaves: 2**SKETCH_BITS bytes. The
-    counters are added up in slices, first of 64 groups of tasks, so that no task holds many."""
-    summed = _added_up(_added_up(counted, ["slice", "task"]), ["slice"])
+def _by_task(counted: DataFrame) -> DataFrame:
+    """The counters of each slice added up by 64 groups of tasks, so that no task holds many."""
+    return _added_up(counted, ["slice", "task"], lambda total: total)
 
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            short = [np.ceil(2 * np.log2(np.frombuffer(x, dtype=np.uint32) + 1.0)).astype(np.uint8).tobytes()
-                     for x in batch.column("counts").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("slice"), pa.array(short, pa.binary())], names=["slice", "steps"])
 
-    found = {r.slice: bytes(r.steps) for r in summed.mapInArrow(shorten, "slice int, steps binary").collect()}
+def _steps(counted: DataFrame) -> bytes:
+    """For each counter how frequent its shingles are, in half octaves: 2**SKETCH_BITS bytes."""
+    short = _added_up(counted, ["slice"], lambda total: np.ceil(2 * np.log2(total + 1.0)).astype(np.uint8))
+    found = {r.slice: bytes(r.counts) for r in short.select("slice", "counts").collect()}
     return b"".join(found.get(k, bytes((1 << SKETCH_BITS) // _SLICES)) for k in range(_SLICES))
 
 
@@ -182,6 +184,7 @@ def _described(classes: DataFrame, words: int, similar: int, of: int, steps: byt
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array(x, kind) for x, kind in zip(zip(*rows), kinds))],
                     names=["c", "n", "parity", "lead", "prefix"])
+        pa.default_memory_pool().release_unused()
 
     return classes.select("c", "text").mapInArrow(
         run, "c bigint, n bigint, parity array<bigint>, lead bigint, prefix array<bigint>")
@@ -227,6 +230,7 @@ def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [whole.column(0), whole.column(1), pa.array(shared, pa.int64()), pa.array(either, pa.int64())],
                 names=["a", "b", "shared", "either"])
+        pa.default_memory_pool().release_unused()
 
     found = None
     for k in range(PARTS):
@@ -370,10 +374,11 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     Shingles are told apart by 64 bits of a hash, sets by 128.
     """
     plain = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    with workspace() as put:
+    with workspace(ARROW_ROWS) as put:
         told = put(_members(plain, words), "counted")
         members = stored(told.where("slice is null").select("id", "n", "hi", "lo"), "members")
-        steps = _steps(told.where("slice is not null").select("slice", "task", "counts"))
+        # Stored between, as a task of both sums would have two Python workers at once.
+        steps = _steps(put(_by_task(told.where("slice is not null").select("slice", "task", "counts")), "summed"))
         keyed = _identified(plain, words).where("n > 0")
         classes = put(keyed.groupBy("hi", "lo").agg(F.first("text").alias("text")).withColumn(
             "c", F.monotonically_increasing_id()), "classes")

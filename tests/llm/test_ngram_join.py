@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from barloom.llm import ngram_join as nj
+from barloom.llm import storage
 from barloom.llm.queries import QUERIES
 from tests.llm.data import frame, lower, rows, split_white
 from tests.llm.test_simhash import roots
@@ -103,3 +105,31 @@ def test_query(spark, tmp_path):
     got = QUERIES["op12_ngram_join"](spark, str(tmp_path))
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert order(tuple(r) for r in got.collect()) == order(brute(data))
+
+
+def test_one_worker_and_few_rows_at_a_time(spark, monkeypatch):
+    """No task runs two Python functions behind each other, and Python gets few rows at once."""
+    sums, batches, added_up, write = [], [], nj._added_up, storage._write
+
+    def spied(*args):
+        sums.append(added_up(*args))
+        return sums[-1]
+
+    def written(df, *rest):
+        path, table = write(df, *rest)
+        if df.columns == ["rows"]:
+            batches.extend(r.rows for r in table.collect())
+        return path, table
+
+    monkeypatch.setattr(nj, "_added_up", spied)
+    nj.similar_documents(frame(spark, rows())).count()
+    assert [s._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInArrow") for s in sums] == [1, 1]
+
+    monkeypatch.setattr(storage, "_write", written)
+    before = spark.conf.get(storage.ARROW_ROWS, None)
+    with storage.workspace(nj.ARROW_ROWS) as put:
+        put(spark.range(0, 3 * nj.ARROW_ROWS, 1, 1).mapInArrow(
+            lambda found: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["rows"]) for b in found),
+            "rows bigint"), "sizes")
+    assert batches == [nj.ARROW_ROWS] * 3
+    assert spark.conf.get(storage.ARROW_ROWS, None) == before
