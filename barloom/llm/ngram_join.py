@@ -11,13 +11,15 @@ The first pivots are the sets of a single shingle. A document has distance 1 to
 its own shingles, so it lies with its rarest one, and visits those behind it as long as a
 document within r may have only these: that is its prefix, as two sets within r that shared no
 prefix shingle would have too little left in common. Shingles of one document make no region.
-Later pivots are documents of the region. What lies within r of a pivot is linked by that, and
+A large region is first cut by size, as linked sets are of nearly one size: a document visits the
+next larger class. Later pivots are documents of the region. What lies within r of a pivot is linked by that, and
 pairs that links have connected already are not looked at again; so a large group of copies
 costs a few distances for each of its members instead of one for each pair.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,8 +44,9 @@ SKETCH_BITS = 20
 _SLICES = 16
 #: Pivots that cut a region, and how often regions are cut.
 PIVOTS, DEPTH = 4, 4
-#: A region is joined as it is if its rows have so many possible partners on the average.
-PARTNERS = 32
+#: A region is joined as it is if its rows have so many possible partners on the average; and of
+#: more, once pivots have linked its large groups and parities can be compared in the join.
+PARTNERS, MORE_PARTNERS = 32, 2048
 #: Pairs are compared in so many parts, so that the sets of one part only are on disk at a time.
 PARTS = 4
 #: 64-bit words of a set's parity. Pairs that differ in too many bits are not compared further.
@@ -53,6 +56,8 @@ PARITY_WORDS = 8
 ARROW_ROWS = 512
 #: Against rounding: windows may be wider than they need to be, never narrower.
 _SLACK = 1e-9
+#: The level of the cut by size among the visits of a row; those of pivots are the lower bits.
+_BY_SIZE = 1 << 30
 _SEED = 42
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _WORDS_AT_ONCE = 1 << 16
@@ -190,32 +195,57 @@ def _described(classes: DataFrame, words: int, similar: int, of: int, steps: byt
         run, "c bigint, n bigint, parity array<bigint>, lead bigint, prefix array<bigint>")
 
 
-def _first_regions(described: DataFrame, put: Put) -> DataFrame:
-    """(g, c, n, at, lead): the class c lies in the region of the shingle g, which stands in its
-    order at the place ``at``. Regions of one are left out."""
+def _first_regions(described: DataFrame, similar: int, of: int, put: Put) -> DataFrame:
+    """(g, c, n, at, lead, visits): the class c lies in the region of the shingle g, which stands
+    in its order at the place ``at``. Regions of one are left out. A region of so many that it would
+    be cut by pivots is cut by size first, which takes no distances: a row is in its own class of
+    sizes and visits the next, unless only visitors would meet there."""
     posted = described.select("c", "n", "lead", F.posexplode("prefix").alias("at", "g"))
-    held = posted.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
-    return put(posted.join(held, "g").select("g", "c", "n", "at", "lead"), "regions")
+    held = posted.groupBy("g").agg(F.count("*").alias("m")).where("m > 1")
+    regions = put(posted.join(held, "g").select("g", "c", "n", "at", "lead", "m"), "regions")
+    kept = ["g", "c", "n", "at", "lead", "visits"]
+    large = F.col("m") > 2 * PARTNERS
+    size = F.floor(F.log("n") / (math.log(of / similar) + _SLACK))
+    cut = regions.where(large).withColumn("up", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns(
+        {"g": F.xxhash64("g", size + F.col("up")), "visits": F.col("up") * _BY_SIZE}).select(kept)
+    met = cut.groupBy("g").agg(F.count("*").alias("m"), F.min("visits").alias("least")).where("m > 1 and least = 0")
+    sized = put(cut.join(met, "g", "left_semi"), "sized")
+    return regions.where(~large).withColumn("visits", F.lit(0)).select(kept).unionByName(sized)
 
 
 def _may_link(similar: int, of: int) -> Column:
-    """Of two rows of a region, by their sizes, their parities, and the places of a shingle they
-    share: what comes before the first shared one is not shared, and one of the regions of a
-    linked pair is that of its first."""
-    both = F.col("n") + F.col("of_n")
-    least = F.ceil(both * similar / (similar + of) - _SLACK)
-    differ = sum((F.bit_count(F.col("parity")[k].bitwiseXOR(F.col("of_parity")[k])) for k in range(1, PARITY_WORDS)),
-                 F.bit_count(F.col("parity")[0].bitwiseXOR(F.col("of_parity")[0])))
+    """Of two rows of a region, by their sizes and the places of a shingle they share: what comes
+    before the first shared one is not shared, and one of the regions of a linked pair is that of
+    its first."""
     reach = F.least("at", "of_at") + F.least(F.col("n") - F.col("at"), F.col("of_n") - F.col("of_at"))
-    return (F.least("n", "of_n") * of >= F.greatest("n", "of_n") * similar) & (reach >= least) \
-        & (differ <= both - 2 * least)
+    return (F.least("n", "of_n") * of >= F.greatest("n", "of_n") * similar) & (
+        reach >= _least_overlap(F.col("n") + F.col("of_n"), similar, of))
+
+
+def _least_overlap(both: Column, similar: int, of: int) -> Column:
+    return F.ceil(both * similar / (similar + of) - _SLACK)
+
+
+def _parities_allow(x: str, y: str, both: Column, similar: int, of: int) -> Column:
+    """Two sets may link only if their parities differ in no more bits than they may in shingles."""
+    differ = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(1, PARITY_WORDS)),
+                 F.bit_count(F.col(x)[0].bitwiseXOR(F.col(y)[0])))
+    return differ <= both - 2 * _least_overlap(both, similar, of)
+
+
+def _alike(pairs: DataFrame, described: DataFrame, similar: int, of: int) -> DataFrame:
+    """The pairs (a, b) whose parities allow a link."""
+    told = lambda c: described.select(F.col("c").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"in_{c}"))
+    return pairs.join(told("a"), "a").join(told("b"), "b").where(
+        _parities_allow("in_a", "in_b", F.col("n_a") + F.col("n_b"), similar, of)).select("a", "b")
 
 
 def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
     """(a, b, shared, either) for the pairs (a, b): the sizes of intersection and union. The pairs
-    go in parts, as each takes two sets through a shuffle."""
+    go in parts, as each takes two sets through a shuffle, and sets in no pair of a part stay."""
     part = lambda c: F.pmod(F.xxhash64(c), F.lit(PARTS))
-    of = lambda c, rows: rows.select(F.col("c").alias(c), F.col("members").alias(f"in_{c}"))
+    of = lambda c, pairs: sets.join(pairs.select(F.col(c).alias("c")), "c", "left_semi").select(
+        F.col("c").alias(c), F.col("members").alias(f"in_{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -234,9 +264,9 @@ def _measured(wanted: DataFrame, sets: DataFrame, put: Put) -> DataFrame:
 
     found = None
     for k in range(PARTS):
-        pairs = wanted.where(part("a") == k).join(of("b", sets), "b").join(
-            of("a", sets.where(part("c") == k)), "a").select("a", "b", "in_a", "in_b")
-        measured = put(pairs.mapInArrow(run, "a bigint, b bigint, shared bigint, either bigint"), "measured")
+        pairs = wanted.where(part("a") == k)
+        both = pairs.join(of("b", pairs), "b").join(of("a", pairs), "a").select("a", "b", "in_a", "in_b")
+        measured = put(both.mapInArrow(run, "a bigint, b bigint, shared bigint, either bigint"), "measured")
         found = measured if found is None else found.unionByName(measured)
     return found
 
@@ -252,10 +282,16 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _told(regions: DataFrame, described: DataFrame, roots: DataFrame) -> DataFrame:
-    return regions.join(described.select("c", "parity"), "c").join(
-        roots.withColumnRenamed("node", "c"), "c", "left").select(
-        *regions.columns, "parity", F.coalesce("root", "c").alias("root"))
+def _told(regions: DataFrame, roots: DataFrame) -> DataFrame:
+    return regions.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
+        *regions.columns, F.coalesce("root", "c").alias("root"))
+
+
+def _still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the regions that links have not connected into one component yet."""
+    told = _told(rows.drop("root"), roots)
+    apart = told.groupBy("g").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least != most")
+    return told.join(apart, "g", "left_semi")
 
 
 def _with_links(roots: DataFrame, links: DataFrame, put: Put) -> DataFrame:
@@ -282,22 +318,27 @@ def linked_classes(classes: DataFrame, described: DataFrame, words: int, similar
     """(node, root) for ``classes`` (c, text) that are linked with others: the components of all
     links. Pairs that others have connected by then are not looked at."""
     radius = 1 - similar / of
-    regions = _first_regions(described, put).withColumns({"visits": F.lit(0), "d": F.lit(None).cast("double")})
+    regions = _first_regions(described, similar, of, put).withColumn("d", F.lit(None).cast("double"))
     sets = None
     roots = put(regions.sparkSession.createDataFrame([], "node bigint, root bigint"), "roots")
     for depth in range(DEPTH + 1):
-        rows = put(_told(regions, described, roots), "told")
+        rows = put(_told(regions, roots), "told")
         by_root = rows.groupBy("g", "root").agg(F.count("*").alias("k"))
         size = by_root.groupBy("g").agg(
             F.sum("k").alias("m"), F.sum(F.col("k") * F.col("k")).alias("sq"),
             F.max(F.struct("k", "root")).alias("most")).where("m * m > sq")
         # Rows of a region in one component have nothing left to find.
-        crowded = (F.col("m") * F.col("m") - F.col("sq") > 2 * PARTNERS * F.col("m")) & F.lit(depth < DEPTH)
+        partners = PARTNERS if depth == 0 else MORE_PARTNERS
+        crowded = (F.col("m") * F.col("m") - F.col("sq") > 2 * partners * F.col("m")) & F.lit(depth < DEPTH)
         live = put(rows.join(size, "g").select(
             *rows.columns, (F.col("root") != F.col("most.root")).alias("minor"), crowded.alias("crowded")), "live")
-        large = live.where("crowded").drop("parity")
+        large = live.where("crowded")
         pivots = put(_pivots(large, depth), "pivots")
-        near = _joined(live.where("not crowded"), radius, similar, of)
+        small = live.where("not crowded")
+        if depth == 0:  # most rows: few of their pairs get as far as the parities
+            near = _alike(put(_joined(small, radius, similar, of).distinct(), "near"), described, similar, of)
+        else:
+            near = _joined(small.join(described.select("c", "parity"), "c"), radius, similar, of)
         far = large.join(pivots, "g").where("c != p").select(*_pair("c", "p"))
         wanted = put(near.unionByName(far).distinct(), "wanted")
         if sets is None:
@@ -308,18 +349,21 @@ def linked_classes(classes: DataFrame, described: DataFrame, words: int, similar
         roots = _with_links(roots, found.where(F.col("shared") * of >= F.col("either") * similar), put)
         if pivots.isEmpty():
             break
-        regions = _cut(large, pivots, found, radius, depth, put)
+        regions = _cut(put(_still_apart(large, roots), "apart"), pivots, found, radius, depth, put)
     return roots
 
 
 def _joined(rows: DataFrame, radius: float, similar: int, of: int) -> DataFrame:
     """Pairs of a region that may be linked: not of one component (at least one is outside the
     region's largest), not both visitors of a region that one of them visits on one level."""
-    other = rows.select("g", *(F.col(c).alias(f"of_{c}") for c in ("c", "n", "at", "visits", "d", "root", "minor", "parity")))
+    other = rows.select("g", *(F.col(c).alias(f"of_{c}") for c in rows.columns if c != "g"))
     apart = F.coalesce(F.abs(F.col("d") - F.col("of_d")) <= radius + _SLACK, F.lit(True))
+    may_link = _may_link(similar, of)
+    if "parity" in rows.columns:
+        may_link &= _parities_allow("parity", "of_parity", F.col("n") + F.col("of_n"), similar, of)
     return rows.where("minor").join(other, "g").where(
         (F.col("root") != F.col("of_root")) & (~F.col("of_minor") | (F.col("c") < F.col("of_c")))
-        & (F.col("visits").bitwiseAND(F.col("of_visits")) == 0) & apart & _may_link(similar, of)
+        & (F.col("visits").bitwiseAND(F.col("of_visits")) == 0) & apart & may_link
     ).select(*_pair("c", "of_c"))
 
 

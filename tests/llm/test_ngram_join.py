@@ -133,3 +133,39 @@ def test_one_worker_and_few_rows_at_a_time(spark, monkeypatch):
             "rows bigint"), "sizes")
     assert batches == [nj.ARROW_ROWS] * 3
     assert spark.conf.get(storage.ARROW_ROWS, None) == before
+
+
+def test_few_distances_in_regions_of_unlike_documents(spark, monkeypatch):
+    """A line in documents of many sizes: its regions are cut by size, without a distance. In
+    documents of one size pivots are tried once, then parities tell them apart in the join."""
+    monkeypatch.setattr(nj, "_steps", lambda counted: bytes(1 << nj.SKETCH_BITS))
+    seen, measured = [], nj._measured
+
+    def spied(wanted, sets, put):
+        seen.append(wanted.count())
+        return measured(wanted, sets, put)
+
+    monkeypatch.setattr(nj, "_measured", spied)
+    line = " ".join(f"z{k}" for k in range(12))
+    texts = lambda sizes: [f"{line} " + " ".join(f"u{k}_{j}" for j in range(n)) for k, n in enumerate(sizes)]
+    for sizes, most, rounds in (([3 * k for k in range(1, 91)], 0, 1), ([30] * 90, 90 * nj.PIVOTS, 2)):
+        data = list(enumerate(texts(sizes)))
+        del seen[:]
+        got = nj.similar_documents(frame(spark, data)).select("doc_id", "n_shingles", "component_id")
+        assert order(tuple(r) for r in got.collect()) == order(brute(data))
+        assert sum(seen) <= most and len(seen) <= rounds
+
+
+def test_regions_of_one_component_are_not_cut(spark, monkeypatch):
+    rows_cut, cut = [], nj._cut
+
+    def spied(rows, *rest):
+        rows_cut.append(rows.count())
+        return cut(rows, *rest)
+
+    monkeypatch.setattr(nj, "_cut", spied)
+    monkeypatch.setattr(nj, "_steps", lambda counted: bytes(1 << nj.SKETCH_BITS))
+    data = list(enumerate(family(random.Random(3), "k", 150, 300, 2)))
+    got = nj.similar_documents(frame(spark, data)).select("doc_id", "n_shingles", "component_id")
+    assert order(tuple(r) for r in got.collect()) == order(brute(data))
+    assert rows_cut == [0]
