@@ -1,14 +1,15 @@
 """Repeated and nearly repeated lines of a corpus, by an exact set-similarity join.
 
-A line is the set of its words. Words are ordered from rare to frequent, so that two lines of
-the wanted similarity must share a word among their first few (the prefix). Pairs that share
-one are cut by length, by the place of the shared word, and by parity signatures, before
-the Jaccard similarity is taken from the lines themselves.
+A line is the set of its words, ordered from long to short, as long words are mostly rare ones. Two
+sets of the wanted similarity differ in few words, and each of those parts two shared words at
+most; so among the first words (the prefix) there must be several couples of words that are
+neighbours in both lines. A couple is much rarer than a word, so a line meets few others by it. For
+pairs that share enough couples the Jaccard similarity is taken from the lines themselves.
 
 Lines of equal sets are one class with its first line in front, so copies are never paired.
-Each line is first held against a few of the earliest lines of each of its prefix words; in a
-large group of similar lines nearly all are settled by that. Only lines without a match then
-meet all earlier lines that share a word with them.
+Each line is first held against a few of the earliest lines of each of its couples; in a
+large group of similar lines nearly all are settled by that. Only lines without a match that have
+more lines before them then meet all earlier lines that share a couple with them.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ Put = Callable[[DataFrame, str], DataFrame]
 
 #: Least similarity, as a fraction in whole numbers.
 SIMILAR, OF = 4, 5
-#: Counters of the frequency sketch. Words that share one only make a prefix less rare.
-SKETCH_BITS = 16
-#: Earliest lines of a word that every line is held against first.
-PIVOTS = 4
-#: Parts of the words that are joined one after the other, so that the postings of one part only
-#: are on disk at a time.
-PARTS = 4
+#: Couples that a pair must share besides the first. Each makes the prefix a word longer.
+MORE = 2
+#: Earliest lines of a couple that every line is held against first.
+PIVOTS = 16
+#: Parts of the couples that are gone through one after the other, so that the postings of one part
+#: only are on disk at a time.
+PARTS = 2
 WHITE = "\t\n\v\f\r"
 
 
@@ -41,29 +42,14 @@ def _words(text: Column | str) -> Column:
     return F.array_remove(F.split(blank, " "), "")
 
 
-def _bucket(h: Column) -> Column:
-    return h.bitwiseAND(F.lit((1 << SKETCH_BITS) - 1))
+def tokens(line: Column) -> Column:
+    """The line's different words as numbers, longest first: 63 less the bytes, at least 0, in front
+    of 57 bits of the word's hash."""
+    def token(w: Column) -> Column:
+        short = F.greatest(63 - F.octet_length(w), F.lit(0)).cast("bigint")
+        return F.shiftleft(short, 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
 
-
-def rarity(docs: DataFrame, text: str = "text") -> Column:
-    """For each counter of the sketch the frequency of its words in steps of half an octave, at
-    most 63: an array of fixed size."""
-    h = docs.select(F.explode(_words(text)).alias("w")).select(_bucket(F.xxhash64("w")).alias("b"))
-    steps = ["0"] * (1 << SKETCH_BITS)
-    counted = h.groupBy("b").agg(F.least(F.floor(2 * F.log2(F.count("*"))), F.lit(63)).alias("step"))
-    for b, step in counted.toPandas().itertuples(index=False):  # at most 2**SKETCH_BITS rows
-        steps[b] = str(step)
-    return F.split(F.lit(",".join(steps)), ",").cast("array<int>")  # folded to a constant
-
-
-def tokens(line: Column, steps: Column) -> Column:
-    """The line's different words as numbers, rarest first: a step of frequency in front of 57
-    bits of the word's hash."""
-    def token(h: Column) -> Column:
-        step = F.get(steps, _bucket(h).cast("int")).cast("bigint")
-        return F.shiftleft(step, 57).bitwiseOR(F.shiftrightunsigned(h, 7))
-
-    return F.sort_array(F.array_distinct(F.transform(F.transform(_words(line), lambda w: F.xxhash64(w)), token)))
+    return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
 
 
 def _least_overlap(a: Column, b: Column) -> Column:
@@ -85,77 +71,80 @@ def _distinct_rows(docs: DataFrame, id_column: str, text: str, put: Put) -> Data
     return rows.join(again, _same(rows, again), "left_anti").unionByName(one).select(place.alias("id"), "t")
 
 
-def line_table(rows: DataFrame, steps: Column) -> DataFrame:
-    """One row per line with a word: the row's key as id, line (from 0), n words, the set's two
-    hashes, the parity signature, and the prefix."""
-    lines = rows.select("id", F.posexplode(F.split("t", "\n")).alias("line", "t")
+def line_table(rows: DataFrame) -> DataFrame:
+    """One row per line with a word: f, a number that ascends with (id, line), the row's key as id,
+    line (from 0), n words, the set's two hashes, and the prefix.
+
+    Let sets of a and b words share s, with s / (a + b - s) at least t = SIMILAR / OF. The other
+    d = a + b - 2s words part at most d couples of neighbouring shared words. Thus at least MORE + 1
+    of the first d + MORE + 1 are left, or s - 1 - d if there are fewer. They lie among the first
+    (d + MORE + 2) + (a - s) words of the first set, which are at most 2 * (1 - t) * a + MORE + 2 as
+    b is at least t * a.
+    """
+    placed = rows.repartitionByRange("id").sortWithinPartitions("id")
+    lines = placed.select("id", F.posexplode(F.split("t", "\n")).alias("line", "t")
     ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
-    made = lines.select("id", "line", tokens(F.col("t"), steps).alias("tokens"))
+    made = lines.select("id", "line", tokens(F.col("t")).alias("tokens"))
     n = F.size("tokens")
-    # 128 places that each token of the set turns over; two sets differ in at least as many words
-    # as in places.
-    parity = F.expr("aggregate(tokens, 0L, (s, x) -> s ^ shiftleft(1L - (x >> 6 & 1L), int(x & 63)))")
-    more = F.expr("aggregate(tokens, 0L, (s, x) -> s ^ shiftleft(x >> 6 & 1L, int(x & 63)))")
     return made.select(
-        "id", "line", n.alias("n"), F.xxhash64("tokens").alias("k1"),
-        F.xxhash64(F.lit(1), "tokens").alias("k2"), parity.alias("parity"),
-        more.alias("more"),
-        F.slice("tokens", F.lit(1), n - F.ceil(n * SIMILAR / OF).cast("int") + 1).alias("prefix"))
+        F.monotonically_increasing_id().alias("f"), "id", "line", n.alias("n"), F.xxhash64("tokens").alias("k1"),
+        F.xxhash64(F.lit(1), "tokens").alias("k2"),
+        F.slice("tokens", F.lit(1), F.floor(2 * n * (OF - SIMILAR) / OF).cast("int") + MORE + 2).alias("prefix"))
 
 
 def _postings(firsts: DataFrame, part: int) -> DataFrame:
+    """(couple, f, n): the neighbours in the prefix of each line."""
+    couples = F.size("prefix") - 1
+    two = F.arrays_zip(F.slice("prefix", F.lit(1), couples).alias("x"), F.slice("prefix", F.lit(2), couples).alias("y"))
     # A set of fewer words than SIMILAR is similar to none but itself.
-    return firsts.where(F.col("n") >= SIMILAR).select(
-        "id", "line", "n", "parity", "more", F.posexplode("prefix").alias("place", "token")).where(
-        F.pmod("token", F.lit(PARTS)) == part)
+    return firsts.where(F.col("n") >= SIMILAR).select("f", "n", F.explode(two).alias("two")).select(
+        F.xxhash64("two.x", "two.y").alias("couple"), "f", "n").where(F.pmod("couple", F.lit(PARTS)) == part)
 
 
-def _by_parts(make: Callable[[int], DataFrame], put: Put) -> DataFrame:
+def _meetings(firsts: DataFrame, put: Put) -> DataFrame:
+    """(couple, f, n, nth) for the couples of more than one line, nth being the line's place among
+    them."""
+    place = Window.partitionBy("couple").orderBy("f")
     found = None
     for part in range(PARTS):
-        pairs = put(make(part), "candidates")
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct()
+        met = _postings(firsts, part).withColumns({"nth": F.row_number().over(place), "next": F.lead("f").over(place)})
+        met = put(met.where("nth > 1 or next is not null").drop("next"), "met")
+        found = met if found is None else found.unionByName(met)
+    return found
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of a line (id, line) and an earlier one (of_id, of_line) that may be similar."""
-    r = right.select("token", *(F.col(c).alias(f"of_{c}") for c in ("id", "line", "n", "parity", "more", "place")))
-    need = _least_overlap(F.col("n"), F.col("of_n"))
-    reach = 1 + F.least("place", "of_place") + F.least(
-        F.col("n") - F.col("place"), F.col("of_n") - F.col("of_place")) - 1
-    differ = lambda c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"of_{c}")))
-    apart = F.col("n") + F.col("of_n") - 2 * need
-    return left.join(r, "token").where(
-        (F.struct("of_id", "of_line") < F.struct("id", "line"))
-        & (F.least("n", "of_n") * OF >= F.greatest("n", "of_n") * SIMILAR)
-        & (reach >= need) & (differ("parity") + differ("more") <= apart)
-    ).select("id", "line", "of_id", "of_line").distinct()
-
-
-def _verified(pairs: DataFrame, rows: DataFrame, steps: Column, put: Put) -> DataFrame:
-    """The earliest similar line for each line that has one."""
+    """(f, of): the lines of ``left`` with the earlier ones of ``right`` that share enough couples."""
+    a, b = F.col("n"), F.col("of_n")
+    left_over = 3 * _least_overlap(a, b) - a - b - 1
+    met = left.select("couple", "f", "n").join(
+        right.select("couple", F.col("f").alias("of"), F.col("n").alias("of_n")), "couple").where(
+        (F.col("of") < F.col("f")) & (F.least(a, b) * OF >= F.greatest(a, b) * SIMILAR))
+    return met.groupBy("f", "of").agg(
+        F.count("*").alias("shared"), F.min(F.least(left_over, F.lit(MORE + 1))).alias("need")
+    ).where("shared >= need").select("f", "of")
+
+
+def _verified(pairs: DataFrame, names: DataFrame, rows: DataFrame, put: Put) -> DataFrame:
+    """(f, id, line, of, of_id, of_line, jaccard): the earliest similar line for each line that has one."""
     pairs = put(pairs, "pairs")
-    used = pairs.select("id", "line").unionByName(pairs.select(
-        F.col("of_id").alias("id"), F.col("of_line").alias("line"))).distinct()
-    per_doc = used.groupBy("id").agg(F.collect_list("line").alias("used"))  # at most a text's lines
-    fetched = rows.join(per_doc, "id").select(
-        "id", F.explode("used").alias("line"), F.split("t", "\n").alias("all")).select(
-        "id", "line", tokens(F.element_at("all", F.col("line") + 1), steps).alias("tokens"))
+    used = pairs.select("f").unionByName(pairs.select(F.col("of").alias("f"))).distinct()
+    per_doc = names.select("f", "id", "line").join(used, "f", "left_semi").groupBy("id").agg(
+        F.collect_list(F.struct("line", "f")).alias("used"))  # at most a text's lines
+    fetched = rows.join(per_doc, "id").select("id", F.explode("used").alias("at"), F.split("t", "\n").alias("all")).select(
+        "at.f", "id", "at.line", tokens(F.element_at("all", F.col("at.line") + 1)).alias("tokens"))
     fetched = put(fetched, "fetched")
-    of = fetched.select(F.col("id").alias("of_id"), F.col("line").alias("of_line"),
-                        F.col("tokens").alias("of_tokens"))
+    of = fetched.select(*(F.col(c).alias(c if c == "of" else f"of_{c}") for c in ("id", "line", "tokens")), F.col("f").alias("of"))
     shared = F.size(F.array_intersect("tokens", "of_tokens"))
     both = F.size("tokens") + F.size("of_tokens")
-    similar = pairs.join(fetched, ["id", "line"]).join(of, ["of_id", "of_line"]).select(
-        "id", "line", "of_id", "of_line", shared.alias("shared"), (both - shared).alias("of_all")
+    similar = pairs.join(fetched, "f").join(of, "of").select(
+        "f", "id", "line", "of", "of_id", "of_line", shared.alias("shared"), (both - shared).alias("of_all")
     ).where(F.col("shared") * OF >= F.col("of_all") * SIMILAR)
-    return similar.groupBy("id", "line").agg(
-        F.min(F.struct("of_id", "of_line", (F.col("shared") / F.col("of_all")).alias("jaccard"))).alias("of")
-    ).select("id", "line", "of.*")
+    found = F.struct("of", "id", "line", "of_id", "of_line", (F.col("shared") / F.col("of_all")).alias("jaccard"))
+    return similar.groupBy("f").agg(F.min(found).alias("found")).select("f", "found.*")
 
 
-def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", of: bool = True) -> DataFrame:
     """(id, row, line, of_id, of_row, of_line, jaccard) for each line that an earlier line of the
     corpus matches.
 
@@ -166,50 +155,41 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     itself; of_id and of_line name the first line of the same set, else the earliest match found.
     Lines without a word match nothing. A null text has no lines. Rows that share an id are
     documents of their own; rows with one id and one text are one document, whose lines are listed
-    once. An empty table gives no rows; other columns are not read.
+    once. An empty table gives no rows; other columns are not read. Without ``of`` only (id, row,
+    line) are given.
     """
     with workspace() as put:
-        found = stored(_repeated(docs, id_column, text, put), "repeated")
-    return found.select("id.id", "id.row", "line", F.col("of_id.id").alias("of_id"),
-                        F.col("of_id.row").alias("of_row"), "of_line", "jaccard")
+        found = stored(_repeated(docs, id_column, text, put, of), "repeated")
+    matched = [F.col("of_id.id").alias("of_id"), F.col("of_id.row").alias("of_row"), "of_line", "jaccard"] if of else []
+    return found.select("id.id", "id.row", "line", *matched)
 
 
-def _repeated(docs: DataFrame, id_column: str, text: str, put: Put) -> DataFrame:
-    steps = rarity(docs, text)
+def _repeated(docs: DataFrame, id_column: str, text: str, put: Put, of: bool = True) -> DataFrame:
     rows = _distinct_rows(docs, id_column, text, put)
-    table = put(line_table(rows, steps), "lines")
-    place = Window.partitionBy("k1", "k2").orderBy("id", "line")
-    firsts = put(table.withColumn("__r", F.row_number().over(place)).where("__r = 1").drop("__r"), "firsts")
-    copies = table.select("id", "line", "k1", "k2").join(
-        firsts.select("k1", "k2", F.col("id").alias("of_id"), F.col("line").alias("of_line")), ["k1", "k2"]
-    ).where((F.col("id") != F.col("of_id")) | (F.col("line") != F.col("of_line"))).select(
-        "id", "line", "of_id", "of_line", F.lit(1.0).alias("jaccard"))
-
-    def early(part: int) -> DataFrame:
-        postings = _postings(firsts, part)
-        order = Window.partitionBy("token").orderBy("id", "line")
-        pivots = postings.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= PIVOTS)
-        return _candidates(postings, pivots)
-
-    settled = put(_verified(_by_parts(early, put), rows, steps, put), "settled")
-    open_ones = firsts.join(settled.select("id", "line"), ["id", "line"], "left_anti")
-
-    def late(part: int) -> DataFrame:
-        # What is left meets the later holders of words that have more than PIVOTS of them.
-        postings = _postings(firsts, part)
-        crowded = postings.groupBy("token").agg(F.count("*").alias("m")).where(
-            F.col("m") > PIVOTS).select("token")
-        return _candidates(_postings(open_ones, part).join(crowded, "token", "left_semi"), postings)
-
-    late_ones = _verified(_by_parts(late, put), rows, steps, put)
-    return copies.unionByName(settled).unionByName(late_ones).distinct()
+    with workspace() as brief:
+        table = brief(line_table(rows), "lines")
+        leads = table.groupBy("k1", "k2").agg(F.min("f").alias("of"))
+        # Of a class the prefix of the first line only goes on.
+        first = lambda c: F.when(F.col("f") == F.col("of"), F.col(c)).alias(c)
+        led = brief(table.join(leads, ["k1", "k2"]).select("f", "id", "line", "of", "n", first("prefix")), "led")
+        names = put(led.select("f", "id", "line", "of"), "names")
+        met = _meetings(led.where("f = of"), put)
+    settled = put(_verified(_candidates(met, met.where(F.col("nth") <= PIVOTS)), names, rows, put), "settled")
+    # What is left meets all earlier lines, if one of its couples had others before it than the pivots.
+    crowded = met.where(F.col("nth") > PIVOTS + 1).select("f").distinct().join(settled.select("f"), "f", "left_anti")
+    late = _verified(_candidates(met.join(crowded, "f", "left_semi"), met), names, rows, put)
+    kept = ["id", "line", "of_id", "of_line", "jaccard"] if of else ["id", "line"]
+    copies = names.where("f != of").withColumn("jaccard", F.lit(1.0))
+    if of:
+        copies = copies.join(names.select(F.col("f").alias("of"), F.col("id").alias("of_id"), F.col("line").alias("of_line")), "of")
+    return copies.select(kept).unionByName(settled.select(kept)).unionByName(late.select(kept))
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without their repeated lines; every row stays, if need be with an empty text. Of
     rows with one id and one text the first keeps its lines, and the others have lines without a
     word only."""
-    gone = repeated_lines(docs, id_column, text).groupBy("id", "row").agg(F.collect_set("line").alias("__gone"))
+    gone = repeated_lines(docs, id_column, text, of=False).groupBy("id", "row").agg(F.collect_set("line").alias("__gone"))
     hashed = docs.select(*docs.columns, F.col(id_column).alias("__id"), F.xxhash64(text).alias("__row"))
     key = lambda df: df.select(F.col("id").alias("__i"), F.col("row").alias("__r"), *df.columns[2:])
     same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__row") == F.col("__r"))

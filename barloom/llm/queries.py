@@ -82,7 +82,7 @@ def op4_lm_scoring(s, d):
 @query
 def op3_line_dedup(s, d):
     docs = documents(s, d)
-    gone = repeated_lines(docs).groupBy("id", "row").agg(
+    gone = repeated_lines(docs, of=False).groupBy("id", "row").agg(
         F.count("*").alias("n_removed"),
         F.array_join(F.array_sort(F.collect_list("line")), ",").alias("removed_lines"))
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("bigint")

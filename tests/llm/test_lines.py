@@ -1,11 +1,12 @@
 """op3 against all pairs."""
 
 import random
+from contextlib import contextmanager
 
 import xxhash
 
 from barloom.llm import line_dedup as L
-from barloom.llm.storage import stored
+from barloom.llm.storage import stored, workspace
 from tests.llm.data import frame, rows, split_white
 
 
@@ -107,3 +108,51 @@ def test_no_python_in_the_plan(spark):
 def test_long_lines_and_repeated_rows(spark):
     docs = [r for r in rows() if r[0] in (43, 44, 47)]
     assert {(r.id, r.line) for r in L.repeated_lines(frame(spark, docs)).collect()} == {(44, 0)}
+
+
+def test_short_lines_that_differ_in_few_words(spark, monkeypatch):
+    rnd = random.Random(12)
+    vocabulary = [rnd.choice("abcdefgh") * rnd.randint(1, 4) + str(k) for k in range(60)]
+    docs = []
+    for i in range(120):
+        line = rnd.sample(vocabulary, rnd.randint(4, 16))
+        lines = [line]
+        for _ in range(2):
+            other = list(line)
+            for _ in range(rnd.randint(1, 3)):
+                if rnd.random() < 0.5 and len(other) > 4:
+                    other.pop(rnd.randrange(len(other)))
+                else:
+                    other.append(rnd.choice(vocabulary))
+            rnd.shuffle(other)
+            lines.append(other)
+        docs.append((i, "\n".join(map(" ".join, lines))))
+    want = set(brute(docs))
+    assert len(want) > 50
+    for more, pivots in ((0, 1), (5, 16)):
+        monkeypatch.setattr(L, "MORE", more)
+        monkeypatch.setattr(L, "PIVOTS", pivots)
+        assert {(r.id, r.row, r.line) for r in L.repeated_lines(frame(spark, docs), of=False).collect()} == want
+
+
+def test_tables_of_lines_are_gone_before_pairs_are_compared(spark, monkeypatch):
+    seen = []
+
+    def noted(put):
+        def run(df, label):
+            seen.append((label, df._jdf.queryExecution().toString()))
+            return put(df, label)
+        return run
+
+    @contextmanager
+    def watched():
+        with workspace() as put:
+            yield noted(put)
+        seen.append(("emptied", ""))
+
+    monkeypatch.setattr(L, "workspace", watched)
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d")], "doc_id bigint, text string")
+    L._repeated(docs, "doc_id", "text", noted(stored)).collect()
+    labels = [label for label, _ in seen]
+    assert labels.index("lines") < labels.index("met") < labels.index("emptied") < labels.index("pairs")
+    assert not any(x in plan for _, plan in seen for x in ("Python", "Arrow", "Pandas"))
