@@ -1,15 +1,20 @@
 """Repeated and nearly repeated lines of a corpus, by an exact set-similarity join.
 
-A line is the set of its words, ordered from long to short, as long words are mostly rare ones. Two
-sets of the wanted similarity differ in few words, and each of those parts two shared words at
-most; so among the first words (the prefix) there must be several couples of words that are
-neighbours in both lines. A couple is much rarer than a word, so a line meets few others by it. For
-pairs that share enough couples the Jaccard similarity is taken from the lines themselves.
+A line is the set of its words, ordered by a hash. Two sets of the wanted similarity differ in few
+words, and each of those parts two triples of neighbouring shared words at most; so they must have
+several triples of neighbours in common. Of its triples a line keeps those with the longest words,
+which are mostly rare, as many as make sure that some common ones are among them on both sides. Three
+words that are neighbours by a hash seldom meet again by chance, so a line meets few others but those
+that are like it. For pairs that share enough triples the Jaccard similarity is taken from the lines
+themselves, first for the one that shares most, then for the others if that one is not similar.
 
 Lines of equal sets are one class with its first line in front, so copies are never paired.
-Each line is first held against a few of the earliest lines of each of its couples; in a
+Each line is first held against a few of the earliest lines of each of its triples; in a
 large group of similar lines nearly all are settled by that. Only lines without a match that have
-more lines before them then meet all earlier lines that share a couple with them.
+more lines before them then meet all earlier lines that share a triple with them.
+
+Sets are made from the texts three times, for the classes, the triples and the pairs: words are
+more than the text, and moving or keeping them would need several times its disk.
 """
 
 from __future__ import annotations
@@ -25,13 +30,18 @@ Put = Callable[[DataFrame, str], DataFrame]
 
 #: Least similarity, as a fraction in whole numbers.
 SIMILAR, OF = 4, 5
-#: Couples that a pair must share besides the first. Each makes the prefix a word longer.
-MORE = 2
-#: Earliest lines of a couple that every line is held against first.
+#: Triples that a pair must share besides the first. Each is one more for a line to keep.
+MORE = 1
+#: Sets of at most so many words go by couples of neighbours too, as two of them may share no triple.
+FEW = 5
+#: Earliest lines of a triple that every line is held against first.
 PIVOTS = 16
-#: Parts of the couples that are gone through one after the other, so that the postings of one part
+#: Parts of the triples that are gone through one after the other, so that the postings of one part
 #: only are on disk at a time.
-PARTS = 2
+PARTS = 4
+#: Lines meet in parts of at most so many meetings for each posting (and of at least so many meetings),
+#: so that what is counted of a part stays in proportion to the postings.
+MEETINGS, LEAST_MEETINGS = 3, 1_000_000
 WHITE = "\t\n\v\f\r"
 
 
@@ -43,11 +53,11 @@ def _words(text: Column | str) -> Column:
 
 
 def tokens(line: Column) -> Column:
-    """The line's different words as numbers, longest first: 63 less the bytes, at least 0, in front
-    of 57 bits of the word's hash."""
+    """The line's different words as ascending numbers: 53 bits of the word's hash in front of 42
+    less its bytes, at least 0. Three of them can be added up."""
     def token(w: Column) -> Column:
-        short = F.greatest(63 - F.octet_length(w), F.lit(0)).cast("bigint")
-        return F.shiftleft(short, 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 7))
+        short = F.greatest(42 - F.octet_length(w), F.lit(0)).cast("bigint")
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64(w), 11), 8).bitwiseOR(short)
 
     return F.sort_array(F.array_distinct(F.transform(_words(line), token)))
 
@@ -71,77 +81,110 @@ def _distinct_rows(docs: DataFrame, id_column: str, text: str, put: Put) -> Data
     return rows.join(again, _same(rows, again), "left_anti").unionByName(one).select(place.alias("id"), "t")
 
 
-def line_table(rows: DataFrame) -> DataFrame:
+def line_table(rows: DataFrame, put: Put) -> DataFrame:
     """One row per line with a word: f, a number that ascends with (id, line), the row's key as id,
-    line (from 0), n words, the set's two hashes, and the prefix.
+    line (from 0), n words and the set's two hashes."""
+    lines = rows.select("id", F.posexplode(F.split("t", "\n")).alias("line", "t")
+    ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
+    made = lines.select("id", "line", tokens(F.col("t")).alias("tokens"))
+    sets = put(made.select("id", "line", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("k1"),
+                           F.xxhash64(F.lit(1), "tokens").alias("k2")), "lines")
+    placed = sets.repartitionByRange("id", "line").sortWithinPartitions("id", "line")
+    return put(placed.select(F.monotonically_increasing_id().alias("f"), "*"), "placed")
+
+
+def _sets(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """(f, tokens) for ``lines`` (f, id, line), from the texts."""
+    per_doc = lines.groupBy("id").agg(F.collect_list(F.struct("line", "f")).alias("used"))  # at most a text's lines
+    # Merged, as the lists are far larger than Spark takes them to be.
+    return rows.hint("merge").join(per_doc, "id").select(
+        F.explode("used").alias("at"), F.split("t", "\n").alias("all")).select(
+        "at.f", tokens(F.element_at("all", F.col("at.line") + 1)).alias("tokens"))
+
+
+def _grams(words: Column) -> Column:
+    """The triples of neighbours that a line keeps, as numbers.
 
     Let sets of a and b words share s, with s / (a + b - s) at least t = SIMILAR / OF. The other
-    d = a + b - 2s words part at most d couples of neighbouring shared words. Thus at least MORE + 1
-    of the first d + MORE + 1 are left, or s - 1 - d if there are fewer. They lie among the first
-    (d + MORE + 2) + (a - s) words of the first set, which are at most 2 * (1 - t) * a + MORE + 2 as
-    b is at least t * a.
+    d = a + b - 2s words part at most 2d of the s - 2 triples of neighbouring shared words. Of the a - 2
+    triples of the first set, without k - 1 of those that are shared, 3a + 2b - 5s + k are left to be taken
+    before the k-th shared one in any order that is the same for all lines. That is at most
+    3 * (1 - t) * a + k, as b is at least t * a. Two sets share no triple for certain if one has
+    FEW words and the other one less; these share two couples.
     """
-    placed = rows.repartitionByRange("id").sortWithinPartitions("id")
-    lines = placed.select("id", F.posexplode(F.split("t", "\n")).alias("line", "t")
-    ).where(F.length(F.btrim("t", F.lit(" " + WHITE))) > 0)
-    made = lines.select("id", "line", tokens(F.col("t")).alias("tokens"))
-    n = F.size("tokens")
-    return made.select(
-        F.monotonically_increasing_id().alias("f"), "id", "line", n.alias("n"), F.xxhash64("tokens").alias("k1"),
-        F.xxhash64(F.lit(1), "tokens").alias("k2"),
-        F.slice("tokens", F.lit(1), F.floor(2 * n * (OF - SIMILAR) / OF).cast("int") + MORE + 2).alias("prefix"))
+    moved = lambda k, n: F.slice(words, k, F.size(words) - n + 1)
+    # The low bits of a sum tell how short the three words are; they go in front.
+    triple = lambda x, y: F.shiftleft(x + y, 56).bitwiseOR(F.shiftrightunsigned(x + y, 8))
+    triples = F.zip_with(F.zip_with(moved(1, 3), moved(2, 3), lambda x, y: x + y), moved(3, 3), triple)
+    kept = F.slice(F.sort_array(triples), F.lit(1),
+                   F.floor(3 * F.size(words) * (OF - SIMILAR) / OF).cast("int") + 1 + MORE)
+    couples = F.zip_with(moved(1, 2), moved(2, 2), lambda x, y: F.xxhash64(x, y))
+    return F.when(F.size(words) > FEW, kept).otherwise(F.concat(kept, couples))
 
 
-def _postings(firsts: DataFrame, part: int) -> DataFrame:
-    """(couple, f, n): the neighbours in the prefix of each line."""
-    couples = F.size("prefix") - 1
-    two = F.arrays_zip(F.slice("prefix", F.lit(1), couples).alias("x"), F.slice("prefix", F.lit(2), couples).alias("y"))
-    # A set of fewer words than SIMILAR is similar to none but itself.
-    return firsts.where(F.col("n") >= SIMILAR).select("f", "n", F.explode(two).alias("two")).select(
-        F.xxhash64("two.x", "two.y").alias("couple"), "f", "n").where(F.pmod("couple", F.lit(PARTS)) == part)
+def _postings(led: DataFrame, part: int) -> DataFrame:
+    """(gram, f, n): what each line keeps."""
+    return led.select("f", "n", F.explode("grams").alias("gram")).where(F.pmod("gram", F.lit(PARTS)) == part)
 
 
-def _meetings(firsts: DataFrame, put: Put) -> DataFrame:
-    """(couple, f, n, nth) for the couples of more than one line, nth being the line's place among
+def _meetings(led: DataFrame, put: Put) -> DataFrame:
+    """(gram, f, n, nth) for the triples of more than one line, nth being the line's place among
     them."""
-    place = Window.partitionBy("couple").orderBy("f")
+    place = Window.partitionBy("gram").orderBy("f")
     found = None
     for part in range(PARTS):
-        met = _postings(firsts, part).withColumns({"nth": F.row_number().over(place), "next": F.lead("f").over(place)})
+        met = _postings(led, part).withColumns({"nth": F.row_number().over(place), "next": F.lead("f").over(place)})
         met = put(met.where("nth > 1 or next is not null").drop("next"), "met")
         found = met if found is None else found.unionByName(met)
     return found
 
 
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(f, of): the lines of ``left`` with the earlier ones of ``right`` that share enough couples."""
+    """(f, of, shared): the lines of ``left`` with the earlier ones of ``right`` that share enough triples."""
     a, b = F.col("n"), F.col("of_n")
-    left_over = 3 * _least_overlap(a, b) - a - b - 1
-    met = left.select("couple", "f", "n").join(
-        right.select("couple", F.col("f").alias("of"), F.col("n").alias("of_n")), "couple").where(
+    certain = 5 * _least_overlap(a, b) - 2 * (a + b) - 2
+    met = left.select("gram", "f", "n").join(
+        right.select("gram", F.col("f").alias("of"), F.col("n").alias("of_n")).hint("merge"), "gram").where(
         (F.col("of") < F.col("f")) & (F.least(a, b) * OF >= F.greatest(a, b) * SIMILAR))
     return met.groupBy("f", "of").agg(
-        F.count("*").alias("shared"), F.min(F.least(left_over, F.lit(MORE + 1))).alias("need")
-    ).where("shared >= need").select("f", "of")
+        F.count("*").alias("shared"), F.min(F.least(certain, F.lit(MORE + 1))).alias("need")
+    ).where("shared >= need").select("f", "of", "shared")
 
 
-def _verified(pairs: DataFrame, names: DataFrame, rows: DataFrame, put: Put) -> DataFrame:
-    """(f, id, line, of, of_id, of_line, jaccard): the earliest similar line for each line that has one."""
-    pairs = put(pairs, "pairs")
-    used = pairs.select("f").unionByName(pairs.select(F.col("of").alias("f"))).distinct()
-    per_doc = names.select("f", "id", "line").join(used, "f", "left_semi").groupBy("id").agg(
-        F.collect_list(F.struct("line", "f")).alias("used"))  # at most a text's lines
-    fetched = rows.join(per_doc, "id").select("id", F.explode("used").alias("at"), F.split("t", "\n").alias("all")).select(
-        "at.f", "id", "at.line", tokens(F.element_at("all", F.col("at.line") + 1)).alias("tokens"))
-    fetched = put(fetched, "fetched")
-    of = fetched.select(*(F.col(c).alias(c if c == "of" else f"of_{c}") for c in ("id", "line", "tokens")), F.col("f").alias("of"))
+def _pairs(left: DataFrame, right: DataFrame, most: int | None, put: Put) -> DataFrame:
+    """The candidates of ``left``, whose lines have at most ``most`` lines of a triple before them in
+    ``right``, in parts by the line."""
+    before = F.col("nth") - 1
+    meetings = left.agg(F.coalesce(F.sum(before if most is None else F.least(before, F.lit(most))), F.lit(0))).first()[0]
+    parts = 1 + meetings // max(LEAST_MEETINGS, MEETINGS * right.count())
+    found = None
+    for part in range(parts):
+        pairs = put(_candidates(left.where(F.pmod(F.xxhash64("f"), F.lit(parts)) == part), right), "pairs")
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with their jaccard; null if it is too small."""
+    of = sets.select(F.col("f").alias("of"), F.col("tokens").alias("of_tokens"))
     shared = F.size(F.array_intersect("tokens", "of_tokens"))
     both = F.size("tokens") + F.size("of_tokens")
-    similar = pairs.join(fetched, "f").join(of, "of").select(
-        "f", "id", "line", "of", "of_id", "of_line", shared.alias("shared"), (both - shared).alias("of_all")
-    ).where(F.col("shared") * OF >= F.col("of_all") * SIMILAR)
-    found = F.struct("of", "id", "line", "of_id", "of_line", (F.col("shared") / F.col("of_all")).alias("jaccard"))
-    return similar.groupBy("f").agg(F.min(found).alias("found")).select("f", "found.*")
+    counted = pairs.join(sets, "f").join(of, "of").select(*pairs.columns, shared.alias("both"), (both - shared).alias("all"))
+    return counted.select(*pairs.columns, F.when(
+        F.col("both") * OF >= F.col("all") * SIMILAR, F.col("both") / F.col("all")).alias("jaccard"))
+
+
+def _verified(pairs: DataFrame, names: DataFrame, rows: DataFrame, put: Put) -> DataFrame:
+    """(f, of, jaccard): a similar earlier line for each line that has one."""
+    used = pairs.select("f").unionByName(pairs.select(F.col("of").alias("f"))).distinct()
+    sets = put(_sets(names.select("f", "id", "line").join(used, "f", "left_semi"), rows), "sets")
+    likely = pairs.groupBy("f").agg(F.max(F.struct("shared", (-F.col("of")).alias("of"))).alias("best"), F.count("*").alias("n"))
+    tried = put(_compared(likely.select("f", (-F.col("best.of")).alias("of"), "n"), sets), "tried")
+    others = tried.where("jaccard is null and n > 1").select("f", F.col("of").alias("not"))
+    rest = pairs.join(others, "f").where("of != not").select("f", "of")
+    similar = _compared(rest, sets).where("jaccard is not null").groupBy("f").agg(
+        F.min(F.struct("of", "jaccard")).alias("found")).select("f", "found.*")
+    return tried.where("jaccard is not null").select("f", "of", "jaccard").unionByName(similar)
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", of: bool = True) -> DataFrame:
@@ -167,22 +210,25 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 def _repeated(docs: DataFrame, id_column: str, text: str, put: Put, of: bool = True) -> DataFrame:
     rows = _distinct_rows(docs, id_column, text, put)
     with workspace() as brief:
-        table = brief(line_table(rows), "lines")
+        table = line_table(rows, brief)
         leads = table.groupBy("k1", "k2").agg(F.min("f").alias("of"))
-        # Of a class the prefix of the first line only goes on.
-        first = lambda c: F.when(F.col("f") == F.col("of"), F.col(c)).alias(c)
-        led = brief(table.join(leads, ["k1", "k2"]).select("f", "id", "line", "of", "n", first("prefix")), "led")
-        names = put(led.select("f", "id", "line", "of"), "names")
-        met = _meetings(led.where("f = of"), put)
-    settled = put(_verified(_candidates(met, met.where(F.col("nth") <= PIVOTS)), names, rows, put), "settled")
-    # What is left meets all earlier lines, if one of its couples had others before it than the pivots.
+        names = put(table.join(leads, ["k1", "k2"]).select("f", "id", "line", "of", "n"), "names")
+        # Of a class its first line only goes on. A set of fewer words than SIMILAR is similar to none but itself.
+        firsts = _sets(names.where((F.col("f") == F.col("of")) & (F.col("n") >= SIMILAR)), rows)
+        led = brief(firsts.select("f", F.size("tokens").alias("n"), _grams(F.col("tokens")).alias("grams")), "led")
+        met = _meetings(led, put)
+    settled = put(_verified(_pairs(met, met.where(F.col("nth") <= PIVOTS), PIVOTS, put), names, rows, put), "settled")
+    # What is left meets all earlier lines, if one of its triples had others before it than the pivots.
     crowded = met.where(F.col("nth") > PIVOTS + 1).select("f").distinct().join(settled.select("f"), "f", "left_anti")
-    late = _verified(_candidates(met.join(crowded, "f", "left_semi"), met), names, rows, put)
-    kept = ["id", "line", "of_id", "of_line", "jaccard"] if of else ["id", "line"]
-    copies = names.where("f != of").withColumn("jaccard", F.lit(1.0))
-    if of:
-        copies = copies.join(names.select(F.col("f").alias("of"), F.col("id").alias("of_id"), F.col("line").alias("of_line")), "of")
-    return copies.select(kept).unionByName(settled.select(kept)).unionByName(late.select(kept))
+    left = put(met.join(crowded, "f", "left_semi"), "left")
+    late = _verified(_pairs(left, met, None, put), names, rows, put)
+    copies = names.where("f != of").select("f", "of", F.lit(1.0).alias("jaccard"))
+    matched = copies.unionByName(settled).unionByName(late)
+    found = matched.join(names.select("f", "id", "line"), "f")
+    if not of:
+        return found.select("id", "line")
+    return found.join(names.select(F.col("f").alias("of"), F.col("id").alias("of_id"), F.col("line").alias("of_line")), "of").select(
+        "id", "line", "of_id", "of_line", "jaccard")
 
 
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,7 +248,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     copies = several.withColumn("__nth", nth).select(
         *hashed.columns, "__nth", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("__copy")).select(
         *hashed.columns, ((F.col("__nth") > 1) | (F.col("__copy") > 1)).alias("__again"))
-    joined = once.unionByName(copies).join(key(gone), same, "left")
+    joined = once.unionByName(copies).join(key(gone).hint("merge"), same, "left")
     lines = F.split(text, "\n")
     blank = lambda x: F.length(F.btrim(x, F.lit(" " + WHITE))) == 0
     dropped = F.coalesce("__gone", F.array().cast("array<int>"))
