@@ -106,7 +106,9 @@ def linked_pairs(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     # With a bit left open, only pairs that do differ there: the others share the whole key.
     opened = F.pmod(F.col("kind") + 1, F.lit(100)) - 1
     open_differs = (opened < 0) | (F.getbit(differ, F.greatest(opened, F.lit(0))) == 1)
-    return keyed.join(other, ["kind", "key"]).where(
+    # Merged: Spark takes a frame to be as small after the explode as before it, and would broadcast
+    # a table of a few MB that has grown by the number of keys.
+    return keyed.join(other.hint("merge"), ["kind", "key"]).where(
         (F.col("a") < F.col("b")) & open_differs & chain).select("a", "b").distinct()
 
 

@@ -3,6 +3,7 @@
 import random
 
 import xxhash
+from pyspark.sql import functions as F
 
 from barloom.llm.components import components
 from barloom.llm.simhash import fingerprint, linked_pairs, near_duplicates, one_of_each
@@ -88,3 +89,9 @@ def test_one_of_each_stays(spark):
         [(3, near), (7, other), (11, "")])
     alone = one_of_each(frame(spark, [(None, text), (None, near), (None, other)]), words=3)
     assert sorted(r.text for r in alone.collect()) in (sorted([text, other]), sorted([near, other]))
+
+
+def test_keys_of_a_small_table_are_not_broadcast(spark):
+    prints = spark.range(1000).select((F.xxhash64("id")).alias("fingerprint"))
+    plan = linked_pairs(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
