@@ -222,7 +222,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     one = found.select("row", "toxic", F.explode("words").alias("word"))
     useful = one.groupBy("word").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n")).where(
         (F.col("hits") >= LEAST_ROWS) & (4 * F.col("hits") >= F.col("n"))).select("word")
-    words = one.join(useful, "word").groupBy("row").agg(F.array_sort(F.collect_list("word")).alias("words"))
+    # A semi-join never broadcasts its left side, which Spark takes to be as small as before the explode.
+    words = one.join(useful, "word", "left_semi").groupBy("row").agg(F.array_sort(F.collect_list("word")).alias("words"))
     return found.select("row", "toxic", "fold").join(words, "row", "left").select(
         F.coalesce("words", F.array().cast("array<binary>")).alias("words"), "toxic", "fold")
 

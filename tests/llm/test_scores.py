@@ -132,3 +132,10 @@ def test_no_labels(spark):
     assert T.score_toxicity(docs, chain).where("is_toxic").count() == 0
     zeros = spark.createDataFrame([(k, 0) for k in range(30)], "doc_id bigint, toxic int")
     assert T.score_toxicity(docs, T.learn_toxicity(docs, zeros)).where("is_toxic").count() == 0
+
+
+def test_words_of_training_rows_are_not_broadcast(spark):
+    docs = frame(spark, [(k, f"word{k % 3} other text") for k in range(12)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id bigint, toxic int")
+    plan = T.training_rows(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "Join Inner" not in plan
